@@ -260,7 +260,7 @@ _LIQ = f"""SELECT date, ticker, {r('lag(retvol) OVER w', 'retvol')}, {r('lag(max
   (SELECT date, ticker, {roll('stddev_samp', 'ret', 21)} AS retvol, {roll('max', 'ret', 21)} AS maxret, dolvol,
     close / {roll('max', 'close', 252)} AS rel, {roll('avg', 'ill', 21)} AS ill, {roll('sum', 'z', 21)} AS idle FROM
     (SELECT *, abs(ret) / nullif(dolvol, 0) AS ill FROM
-      (SELECT date, ticker, close, x / lag(x) OVER w - 1 AS ret, close * volume AS dolvol, CASE WHEN volume = 0 THEN 1.0 ELSE 0.0 END AS z FROM
+      (SELECT date, ticker, close, x / lag(x) OVER w - 1 AS ret, close * volume AS dolvol, CASE WHEN volume = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS z FROM
         (SELECT *, {fill('close')} AS x FROM grid) a {W}) b) c) e {W}"""
 
 

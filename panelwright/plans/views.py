@@ -133,8 +133,8 @@ SQL["filings"] = (
        dimension, assets, revenue, capex, inventory, shareswa
 FROM (SELECT l_suppkey AS dcm_security_id, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS fq,
              CASE WHEN l_linestatus = 'F' THEN 'ARQ' ELSE 'ART' END AS dimension,
-             round(sum(l_extendedprice), 2) AS assets, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
-             round(sum(l_extendedprice * l_tax), 2) AS capex, sum(l_quantity) AS inventory,
+             round(sum(l_extendedprice), 2) AS assets, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
+             round(sum(l_extendedprice * l_tax), 4) AS capex, sum(l_quantity) AS inventory,
              CAST(count(*) AS DOUBLE) AS shareswa
       FROM lineitem GROUP BY 1, 2, 3) q
 WHERE NOT (dcm_security_id % 5 = 0 AND dimension = 'ARQ' AND quarter(fq) IN (2, 3, 4))""",
@@ -152,8 +152,8 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
         )
         .agg(
             F.round(F.sum("l_extendedprice"), 2).alias("assets"),
-            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
-            F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 2).alias("capex"),
+            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("revenue"),
+            F.round(F.sum(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("capex"),
             F.sum("l_quantity").alias("inventory"),
             F.count(F.lit(1)).cast("double").alias("shareswa"),
         )
@@ -263,9 +263,8 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
 # signals and predictions ---------------------------------------------------
 SQL["scores"] = (
     ("months",),
-    """SELECT date, ticker, round(close / lag(close) OVER w - 1, 9) AS momentum_score,
-       round(-ln(high / low), 9) AS calm_score, round(ln(volume), 9) AS size_score,
-       round(lead(close) OVER w / close - 1, 9) AS future_ret_5B
+    """SELECT date, ticker, close / lag(close) OVER w - 1 AS momentum_score, -ln(high / low) AS calm_score,
+       ln(volume) AS size_score, lead(close) OVER w / close - 1 AS future_ret_5B
 FROM months WINDOW w AS (PARTITION BY ticker ORDER BY date)""",
 )
 
@@ -275,10 +274,10 @@ def scores(spark: SparkSession, d: str) -> DataFrame:
     return months(spark, d).select(
         "date",
         "ticker",
-        F.round(F.col("close") / F.lag("close").over(w) - 1, 9).alias("momentum_score"),
-        F.round(-F.ln(F.col("high") / F.col("low")), 9).alias("calm_score"),
-        F.round(F.ln("volume"), 9).alias("size_score"),
-        F.round(F.lead("close").over(w) / F.col("close") - 1, 9).alias("future_ret_5B"),
+        (F.col("close") / F.lag("close").over(w) - 1).alias("momentum_score"),
+        (-F.ln(F.col("high") / F.col("low"))).alias("calm_score"),
+        F.ln("volume").alias("size_score"),
+        (F.lead("close").over(w) / F.col("close") - 1).alias("future_ret_5B"),
     )
 
 
@@ -296,7 +295,7 @@ def pct_rank_sql(x: str, part: str = "date") -> str:
 SQL["signals"] = (
     ("scores",),
     "SELECT date, ticker, momentum_rank, calm_rank, size_rank, future_ret_5B,"
-    " round(0.5 * momentum_rank + 0.3 * calm_rank + 0.2 * size_rank, 9) AS ensemble FROM (SELECT date, ticker, future_ret_5B, "
+    " 0.5 * momentum_rank + 0.3 * calm_rank + 0.2 * size_rank AS ensemble FROM (SELECT date, ticker, future_ret_5B, "
     + ", ".join(f"{pct_rank_sql(c)} AS {c.replace('score', 'rank')}" for c in ENSEMBLE)
     + " FROM scores) s",
 )
@@ -308,7 +307,7 @@ def signals(spark: SparkSession, d: str) -> DataFrame:
     ranks = avg_ranks(rows, list(ENSEMBLE), ["date", "ticker"], ["date"], pct=True)
     named = ranks.withColumnsRenamed({c: c.replace("score", "rank") for c in ENSEMBLE})
     blend = 0.5 * F.col("momentum_rank") + 0.3 * F.col("calm_rank") + 0.2 * F.col("size_rank")
-    return named.withColumn("ensemble", F.round(blend, 9)).join(
+    return named.withColumn("ensemble", blend).join(
         rows.select("date", "ticker", "future_ret_5B"), ["date", "ticker"]
     )
 
@@ -363,18 +362,18 @@ COEFFICIENTS = {
 
 SQL["features"] = (
     ("months",),
-    "SELECT date, ticker, " + ", ".join(f"round({e}, 9) AS {n}" for n, e in FEATURES.items()) + " FROM months",
+    "SELECT date, ticker, " + ", ".join(f"{e} AS {n}" for n, e in FEATURES.items()) + " FROM months",
 )
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    return months(spark, d).select("date", "ticker", *[F.round(F.expr(e), 9).alias(n) for n, e in FEATURES.items()])
+    return months(spark, d).select("date", "ticker", *[F.expr(e).alias(n) for n, e in FEATURES.items()])
 
 
 SQL["attribution"] = (
     ("features",),
     "SELECT date, ticker, "
-    + ", ".join(f"round({COEFFICIENTS[n]} * ({n} - avg({n}) OVER ()), 9) AS {n}" for n in FEATURES)
+    + ", ".join(f"{COEFFICIENTS[n]} * ({n} - avg({n}) OVER ()) AS {n}" for n in FEATURES)
     + " FROM features",
 )
 
@@ -383,8 +382,7 @@ def attribution(spark: SparkSession, d: str) -> DataFrame:
     """Contribution of each feature to the linear score."""
     from panelwright.operators.models import linear_attribution
 
-    rows = linear_attribution(features(spark, d), COEFFICIENTS)
-    return rows.select("date", "ticker", *[F.round(n, 9).alias(n) for n in FEATURES])
+    return linear_attribution(features(spark, d), COEFFICIENTS).select("date", "ticker", *FEATURES)
 
 # SQL-only helpers ----------------------------------------------------------
 SQL["grid"] = (
