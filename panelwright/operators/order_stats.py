@@ -97,7 +97,9 @@ def quantiles(
     long, keys = _long(frame, cols, by_), [*by_, "feature"]
 
     def position(p: float, total: Column) -> tuple[Column, Column, Column]:
-        at = (total - 1) * F.lit(float(p))
+        exact = (total - 1) * F.lit(float(p))
+        whole = F.rint(exact)  # a position that misses a whole number by rounding is that number
+        at = F.when(F.abs(exact - whole) < 1e-9, whole).otherwise(exact)
         lower = F.floor(at)
         return lower, F.least(lower + 1, total - 1), at - lower
 

@@ -386,13 +386,13 @@ def dominant_category(spark, d):
         """SELECT dcm_security_id, fq, max(filing_date) AS filing_date, arg_max(dimension, (filing_date, dimension)) AS dimension, round(arg_max(assets, (filing_date, dimension)), 2) + 0 AS assets,
         round(arg_max(capex, (filing_date, dimension)), 2) + 0 AS capex FROM (SELECT dcm_security_id, fq, filing_date, dimension, assets, CASE WHEN dimension = 'ARQ' THEN capex END AS capex FROM filings) f GROUP BY 1, 2""".replace(
             "arg_max(capex, (filing_date, dimension))", "arg_max(CASE WHEN capex IS NOT NULL THEN capex END, CASE WHEN capex IS NOT NULL THEN (filing_date, dimension) END)"
-        ),
+        ).replace("END), 2) + 0 AS capex", "END), 4) + 0 AS capex"),
         "filings",
     ),
 )
 def last_values(spark, d):
     rows = V.filings(spark, d).select("dcm_security_id", "fq", "filing_date", "dimension", "assets", F.when(F.col("dimension") == "ARQ", F.col("capex")).alias("capex"))
-    return rnd(K.last_values(rows, ["dcm_security_id", "fq"], ["filing_date", "dimension"]), 2)
+    return rnd(K.last_values(rows, ["dcm_security_id", "fq"], ["filing_date", "dimension"]), 2, capex=4)
 
 
 @query("a05_group_demean", S(f"SELECT date, ticker, {r('bm - avg(bm) OVER (PARTITION BY date, Sector)', 'bm_ia_sector')} FROM features JOIN (SELECT dcm_security_id, Sector FROM master) m ON dcm_security_id = ticker", "features", "master"))

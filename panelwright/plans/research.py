@@ -747,11 +747,11 @@ def metric_registry(spark, d):
     S(
         f"""SELECT p.date, {r('product(1 + portfolio_ret) OVER o - 1', 'portfolio_cum')}, {r('product(1 + coalesce(b.ret, 0)) OVER o - 1', 'benchmark_cum')} FROM port p
         LEFT JOIN (SELECT date, avg(ret) AS ret FROM ret WHERE ticker = 1 GROUP BY date) b ON b.date = p.date WINDOW o AS (ORDER BY p.date)""",
-        "prices", "membership", extra=_DAILY_RET.replace("coalesce(close", "0.01 * coalesce(close") + ",\n" + _PORT,
+        "prices", "membership", extra=_DAILY_RET.replace("coalesce(close", "0.0001 * coalesce(close") + ",\n" + _PORT,
     ),
 )
 def portfolio_vs_benchmark(spark, d):
-    rets = _daily_returns(spark, d).withColumn("ret", 0.01 * F.col("ret"))
+    rets = _daily_returns(spark, d).withColumn("ret", 0.0001 * F.col("ret"))
     return rnd(G.portfolio_vs_benchmark(rets, _weights(spark, d), 1))
 
 

@@ -295,7 +295,7 @@ def pct_rank_sql(x: str, part: str = "date") -> str:
 SQL["signals"] = (
     ("scores",),
     "SELECT date, ticker, momentum_rank, calm_rank, size_rank, future_ret_5B,"
-    " 0.5 * momentum_rank + 0.3 * calm_rank + 0.2 * size_rank AS ensemble FROM (SELECT date, ticker, future_ret_5B, "
+    " round(0.5 * momentum_rank + 0.3 * calm_rank + 0.2 * size_rank, 9) AS ensemble FROM (SELECT date, ticker, future_ret_5B, "
     + ", ".join(f"{pct_rank_sql(c)} AS {c.replace('score', 'rank')}" for c in ENSEMBLE)
     + " FROM scores) s",
 )
@@ -307,7 +307,7 @@ def signals(spark: SparkSession, d: str) -> DataFrame:
     ranks = avg_ranks(rows, list(ENSEMBLE), ["date", "ticker"], ["date"], pct=True)
     named = ranks.withColumnsRenamed({c: c.replace("score", "rank") for c in ENSEMBLE})
     blend = 0.5 * F.col("momentum_rank") + 0.3 * F.col("calm_rank") + 0.2 * F.col("size_rank")
-    return named.withColumn("ensemble", blend).join(
+    return named.withColumn("ensemble", F.round(blend, 9)).join(
         rows.select("date", "ticker", "future_ret_5B"), ["date", "ticker"]
     )
 
@@ -318,9 +318,11 @@ def qcut_sql(x: str, part: str | None = "date", q: int = 5, start: int = 0) -> s
     over = f"(PARTITION BY {part})" if part else "()"
     edges = f"quantile_cont({x}, {probs}) OVER {over}"
     flat = f"min({x}) OVER {over} = max({x}) OVER {over}"
+    # rounded, so that an edge that is a value of the group equals that value
+    cuts = f"list_distinct(list_transform({edges}, lambda e: round(e, 12)))"
     return (
-        f"CASE WHEN {x} IS NULL OR {flat} THEN NULL ELSE CAST(greatest(len(list_distinct("
-        f"list_filter({edges}, lambda e: e < {x}))) - 1, 0) + {start} AS INTEGER) END"
+        f"CASE WHEN {x} IS NULL OR {flat} THEN NULL ELSE CAST(greatest(len("
+        f"list_filter({cuts}, lambda e: e < round({x}, 12))) - 1, 0) + {start} AS INTEGER) END"
     )
 
 
