@@ -71,16 +71,6 @@ def rolling(
     return F.when(F.count(x).over(w) >= need, _ROLLING[fn](x).over(w))
 
 
-def rolling_pair(a: Column, b: Column, n: int, fn: str, by: str = KEY, order: str = TIME) -> Column:
-    """Covariance or correlation of two columns over the last n rows, null unless all n pairs exist."""
-    w = own(by, order).rowsBetween(-(n - 1), 0)
-    pair = F.when(a.isNotNull() & b.isNotNull(), F.lit(1))
-    stat = F.covar_samp(a, b).over(w)
-    if fn == "corr":
-        stat = ratio(stat, F.stddev_samp(a).over(w) * F.stddev_samp(b).over(w))
-    return F.when(F.count(pair).over(w) == n, stat)
-
-
 def ffill(
     c: str | Column, limit: int | None = None, by: str = KEY, order: str = TIME, shift: int = 0
 ) -> Column:
@@ -89,6 +79,64 @@ def ffill(
     return F.last(col(c), ignorenulls=True).over(own(by, order).rowsBetween(start, -shift))
 
 
+def carry(
+    df: DataFrame, cols: Sequence[str], limit: int, by: str = KEY, order: str = TIME, shift: int = 0
+) -> DataFrame:
+    """:func:`ffill` for long limits: the running last value and its row, kept while it is near enough.
+
+    The cost per row does not grow with the limit.
+    """
+    w = own(by, order)
+    upto = w.rowsBetween(Window.unboundedPreceding, -shift)
+    numbered = df.withColumn("_pos", F.row_number().over(w))
+    held = numbered.withColumns(
+        {f"_h_{c}": F.last(F.when(F.col(c).isNotNull(), F.struct("_pos", c)), ignorenulls=True).over(upto) for c in cols}
+    )
+    near = {c: F.when(F.col("_pos") - F.col(f"_h_{c}._pos") <= limit + shift, F.col(f"_h_{c}.{c}")) for c in cols}
+    return held.withColumns(near).drop("_pos", *[f"_h_{c}" for c in cols])
+
+
+def rolling_extreme(df: DataFrame, c: str, n: int, fn: str, out: str, by: str = KEY, order: str = TIME) -> DataFrame:
+    """Maximum or minimum of the last n rows, null unless all are present, for long n.
+
+    Extremes of about sqrt(n) rows are combined at lags that cover the n rows.
+    """
+    w = own(by, order)
+    step = max(int(n**0.5), 1)
+    short = df.withColumn("_x", _ROLLING[fn](c).over(w.rowsBetween(-(step - 1), 0)))
+    lags = sorted({*range(0, n - step + 1, step), n - step})
+    parts = [F.col("_x") if k == 0 else F.lag("_x", k).over(w) for k in lags]
+    both = {"max": F.greatest, "min": F.least}[fn]
+    whole = both(*parts) if len(parts) > 1 else parts[0]
+    full = F.count(c).over(w.rowsBetween(-(n - 1), 0)) == n
+    return short.withColumn(out, F.when(full, whole)).drop("_x")
+
+
+def rolling_moments(
+    df: DataFrame, a: str, b: str, n: int, by: str = KEY, order: str = TIME
+) -> DataFrame:
+    """``cov``, ``var_a`` and ``var_b`` of the last n rows, null unless all n pairs exist.
+
+    Running sums are differenced, so the cost per row does not grow with n; meant
+    for columns of moderate size around 0 such as returns.
+    """
+    w = own(by, order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)).otherwise(0.0), F.when(both, F.col(b)).otherwise(0.0)
+    terms = {"_n": both.cast("int"), "_a": x, "_b": y, "_aa": x * x, "_bb": y * y, "_ab": x * y}
+    summed = df.withColumns({k: F.sum(v).over(upto) for k, v in terms.items()})
+    inside = summed.withColumns({k: F.col(k) - F.coalesce(F.lag(k, n).over(w), F.lit(0)) for k in terms})
+
+    def centred(p: str, q: str, pq: str) -> Column:
+        value = (F.col(pq) - F.col(p) * F.col(q) / n) / (n - 1)
+        return F.when(F.col("_n") == n, value)
+
+    return inside.withColumns(
+        {"cov": centred("_a", "_b", "_ab"), "var_a": centred("_a", "_a", "_aa"), "var_b": centred("_b", "_b", "_bb")}
+    ).drop(*terms)
+
+
 def ratio(a: str | Column, b: str | Column) -> Column:
     """a / b with a zero divisor giving null."""
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))

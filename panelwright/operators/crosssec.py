@@ -14,6 +14,7 @@ from panelwright.operators.grid import densify, numbered_days, with_universe
 from panelwright.operators.joins import asof_join
 from panelwright.operators.order_stats import fill_median, winsorize, with_quantiles
 from panelwright.operators.sizes import CALENDAR_DAYS, attach, bounded_by_dates
+from panelwright.session import durable
 
 
 def with_moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (TIME,)) -> DataFrame:
@@ -96,7 +97,7 @@ def neutralize(
         if c not in factors and c not in exclude and c not in keys and not c.startswith("future_")
         and c not in ("Sector", "IndustryGroup")
     ]
-    filled = fill_median(df, [*factors, *responses], [by])
+    filled = durable(fill_median(df, [*factors, *responses], [by]))
     means = filled.groupBy(by).agg(*[F.avg(c).alias(f"m_{c}") for c in [*factors, *responses]])
     days = bounded_by_dates([by])
     centred = attach(filled, means, [by], max_rows=days, width=8 * (len(factors) + len(responses)))
@@ -200,7 +201,7 @@ def split_population(
 
     Rows after ``carry_after`` also belong to a population their security was in before.
     """
-    framed = with_quantiles(univ, ["marketcap"], [1 - largecap_quantile])
+    framed = durable(with_quantiles(univ, ["marketcap"], [1 - largecap_quantile]))
     large = F.col("marketcap") > F.element_at("q_marketcap", 1)
 
     def inside(mode: str) -> Column:

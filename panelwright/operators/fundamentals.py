@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.columns import KEY, TIME, diff, ffill, lag_n, pct_change, ratio, rolling
+from panelwright.functions.columns import KEY, TIME, carry, diff, ffill, lag_n, pct_change, ratio, rolling
 from panelwright.operators.calendar import next_month_start
 from panelwright.operators.crosssec import demean
 from panelwright.operators.grid import densify
@@ -62,7 +62,7 @@ def filings_asof(
     out = None
     for form, limit in limits.items():
         cells = densify(rows.where(F.col("_main") == form).drop("_main"), grid, ID, lead_in=False)
-        carried = cells.withColumns({f: ffill(f, limit, ID, TIME, lag) for f in fields})
+        carried = carry(cells, fields, limit, ID, TIME, lag)
         part = carried.dropna("all", subset=list(fields)).withColumn("form", F.lit(form))
         out = part if out is None else out.unionByName(part)
     return out

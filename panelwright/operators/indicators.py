@@ -22,7 +22,8 @@ from panelwright.functions.columns import (
     pct_change,
     ratio,
     rolling,
-    rolling_pair,
+    rolling_extreme,
+    rolling_moments,
 )
 from panelwright.operators.grid import densify
 from panelwright.operators.order_stats import avg_rank, clean, winsorize, with_quantiles
@@ -70,7 +71,7 @@ def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), pric
 def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
     """Williams %R and its moving average."""
     base = prepared(prices, ["high", "low", "close"], **prep)
-    ranged = base.withColumns({"_hh": rolling("high", n, "max"), "_ll": rolling("low", n, "min")})
+    ranged = rolling_extreme(rolling_extreme(base, "high", n, "max", "_hh"), "low", n, "min", "_ll")
     span = F.col("_hh") - F.col("_ll")
     value = F.when(span == 0, 0.0).otherwise((F.col("_hh") - F.col("close")) / F.nullif(span, F.lit(0.0)) * -100.0)
     name = f"WILLR_{n}"
@@ -202,9 +203,8 @@ def beta(
     """
     name = name or str(benchmark)
     both = _with_benchmark(log_returns(prices, price, pad), "r", benchmark)
-    base = "r" if denominator == "own" else "_b"
-    cov = rolling_pair(F.col("r"), F.col("_b"), n, "cov")
-    raw = both.withColumn("_beta", ratio(cov, rolling(base, n, "var")))
+    moments = rolling_moments(both, "r", "_b", n)
+    raw = moments.withColumn("_beta", ratio("cov", "var_a" if denominator == "own" else "var_b"))
     moved = raw.select(TIME, KEY, lag_n("_beta", 1).alias(f"{name}_beta"))
     return avg_rank(moved, f"{name}_beta", f"{name}_beta_rank")
 
@@ -217,7 +217,8 @@ def correlation(prices: DataFrame, benchmark, n: int = 63, price: str = "close",
         "z", ratio(F.col("r") - F.col("_m"), "_s")
     )
     both = _with_benchmark(scored.select(TIME, KEY, "z"), "z", benchmark)
-    raw = both.withColumn("_corr", rolling_pair(F.col("z"), F.col("_b"), n, "corr"))
+    moments = rolling_moments(both, "z", "_b", n)
+    raw = moments.withColumn("_corr", ratio("cov", F.sqrt(F.greatest(F.col("var_a") * F.col("var_b"), F.lit(0.0)))))
     moved = raw.select(TIME, KEY, lag_n("_corr", 1).alias(f"{name}_correl"))
     return avg_rank(moved, f"{name}_correl", f"{name}_correl_rank")
 
@@ -266,11 +267,12 @@ def liquidity(prices: DataFrame, shares: DataFrame | None = None, pad_limit: int
             "_idle": F.when(F.coalesce(F.col("volume") == 0, F.lit(False)), 1.0).otherwise(0.0),
         }
     ).withColumn("_ill", ratio(F.abs("_ret"), "dolvol"))
+    grid = rolling_extreme(grid, "close", 252, "max", "_high")
     feats = {
         "retvol": rolling("_ret", 21, "std"),
         "maxret": rolling("_ret", 21, "max"),
         "dolvol": F.col("dolvol"),
-        "rel_to_high": ratio("close", rolling("close", 252, "max")),
+        "rel_to_high": ratio("close", "_high"),
         "amihud": rolling("_ill", 21),
         "zerodays": rolling("_idle", 21, "sum"),
     }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.columns import clip
 from panelwright.operators.sizes import attach, bounded_by_dates
+from panelwright.session import durable
 
 CHUNKS_PER_E = 23.0  # about 16 chunks per power of two
 _SHIFT = 20_000  # ln of a double stays within +-746
@@ -150,7 +151,7 @@ def with_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",)
 ) -> DataFrame:
     """Rows with the ``q_<col>`` arrays of their group attached."""
-    frame, keys = _grouped(df, by)
+    frame, keys = _grouped(durable(df), by)
     stats = quantiles(frame, cols, probs, keys)
     out = attach(frame, stats, keys, max_rows=bounded_by_dates(keys), width=8 * len(cols) * (len(probs) + 1))
     return out if by else out.drop(_ALL)
@@ -160,7 +161,7 @@ def avg_rank(
     df: DataFrame, value: str, out: str, by: Sequence[str] = ("date",), pct: bool = False
 ) -> DataFrame:
     """Rank within a group, ties sharing their average; ``pct`` divides by the non-null count."""
-    frame, keys = _grouped(df, by)
+    frame, keys = _grouped(durable(df), by)
     ranks = value_ranks(frame.select(*keys, clean(value).alias("_v")), "_v", keys)
     place = F.col("before") + (F.col("n") + 1) / F.lit(2.0)
     if pct:
@@ -176,7 +177,7 @@ def avg_ranks(
     """Average-tie ranks of several columns at once; ``keys`` identify a row and include ``by``."""
     by, keys = list(by), list(keys)
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), clean(c).alias("value")) for c in cols])
-    long = df.select(*keys, F.explode(pairs).alias("pair")).select(*keys, "pair.feature", "pair.value")
+    long = durable(df).select(*keys, F.explode(pairs).alias("pair")).select(*keys, "pair.feature", "pair.value")
     ranks = value_ranks(long, "value", [*by, "feature"])
     place = F.col("before") + (F.col("n") + 1) / F.lit(2.0)
     if pct:
@@ -201,9 +202,9 @@ def qcut(
 ) -> DataFrame:
     """Quantile bucket with right-closed edges and duplicate edges dropped; null for a constant group."""
     probs = [round(i / q, 12) for i in range(q + 1)]
-    framed = with_quantiles(df.withColumn("_v", clean(value)), ["_v"], probs, by)
-    bucket = bucket_of(F.col("_v"), F.col("q__v"), start)
-    return framed.withColumn(out or f"{value}_qt", bucket).drop("_v", "q__v")
+    framed = with_quantiles(df, [value], probs, by)
+    bucket = bucket_of(clean(value), F.col(f"q_{value}"), start)
+    return framed.withColumn(out or f"{value}_qt", bucket).drop(f"q_{value}")
 
 
 def winsorize(

@@ -11,6 +11,7 @@ from panelwright.functions.columns import KEY, TIME, cumprod1, cumprod1_agg, dra
 from panelwright.operators.joins import portfolio_returns
 from panelwright.operators.order_stats import qcut
 from panelwright.operators.picks import longest_run
+from panelwright.session import durable
 
 RISK_FREE = 0.02
 PERIODS = 12  # kept for the shorter holding period too
@@ -121,6 +122,7 @@ def past_strikes(signals: DataFrame, bucket: str = "ensemble_qt", keep_all_upto:
 
 def path_groups(paths: DataFrame, q: int = 5) -> DataFrame:
     """Mean path per group of paths, grouped by final cumulative return; incomplete paths are left out."""
+    paths = durable(paths)
     ends = paths.groupBy(KEY, "strike").agg(
         cumprod1_agg("ret").alias("final"), F.count(F.when(F.col("ret").isNull(), 1)).alias("_gaps")
     )

@@ -13,12 +13,11 @@ from panelwright.operators.crosssec import standardize
 from panelwright.operators.order_stats import avg_rank, fill_median, qcut, quantiles, winsorize
 from panelwright.plans import views as V
 from panelwright.plans.registry import query, r, rnd, rs
-from panelwright.session import durable
 from panelwright.plans.views import fill, over, pct_rank_sql, qcut_sql, roll, with_views
 
 S = with_views
 
-# Flagship: tick bars -> monthly past return -> clip, score, percent rank, quintile -> mean later return
+# Flagship: tick bars -> monthly past return -> clip and score per date -> quintile -> mean later return
 _CLIP = (
     "CASE WHEN momentum_score IS NOT NULL THEN least(greatest(momentum_score,"
     " quantile_cont(momentum_score, 0.005::DOUBLE) OVER (PARTITION BY date)),"
@@ -39,11 +38,9 @@ _CLIP = (
 )
 def flagship(spark, d):
     rows = V.scores(spark, d).where(F.col("momentum_score").isNotNull())
-    # each cross-sectional step reads its input more than once: the panel is written once instead
-    panel = durable(rows.select("date", "ticker", "momentum_score", "future_ret_5B"))
-    scored = durable(standardize(panel, ["momentum_score"], exclude=["future_ret_5B"]))
-    ranked = avg_rank(scored, "momentum_score", "pct", pct=True)
-    bucketed = qcut(ranked, "pct", 5, ["date"], 0, "qt")
+    panel = rows.select("date", "ticker", "momentum_score", "future_ret_5B")
+    scored = standardize(panel, ["momentum_score"], exclude=["future_ret_5B"])
+    bucketed = qcut(scored, "momentum_score", 5, ["date"], 0, "qt")
     out = bucketed.groupBy("date").agg(
         *[F.avg(F.when(F.col("qt") == i, F.col("future_ret_5B"))).alias(f"q{i}") for i in range(5)],
         F.count(F.lit(1)).alias("n"),

@@ -342,8 +342,7 @@ _MODE_SQL = " UNION ALL ".join(
     ),
 )
 def population_split(spark, d):
-    univ = durable(_universe(spark, d))  # read several times below
-    return X.split_population(univ, carry_after="2001-06-01").select("mode", "date", "ticker")
+    return X.split_population(_universe(spark, d), carry_after="2001-06-01").select("mode", "date", "ticker")
 
 
 # neutralize, targets, folds ------------------------------------------------
@@ -359,7 +358,7 @@ _MED = "med AS (SELECT date, ticker, " + ", ".join(f"coalesce({c}, quantile_cont
     ),
 )
 def neutralize_one_factor(spark, d):
-    rows = durable(V.scores(spark, d).select("date", "ticker", "calm_score", "size_score"))
+    rows = V.scores(spark, d).select("date", "ticker", "calm_score", "size_score")
     return rnd(X.neutralize(rows, ["calm_score"]))
 
 
@@ -377,7 +376,7 @@ def neutralize_one_factor(spark, d):
 def neutralize_two_factors(spark, d):
     rows = V.scores(spark, d).select("date", "ticker", "calm_score", "momentum_score", "size_score")
     first = F.col("date") > rows.agg(F.min("date")).scalar()  # the first month has no momentum at all
-    return rnd(X.neutralize(durable(rows.where(first)), ["calm_score", "momentum_score"]))
+    return rnd(X.neutralize(rows.where(first), ["calm_score", "momentum_score"]))
 
 
 @query(
@@ -531,7 +530,7 @@ def merge_signals(spark, d):
 
 @query("m08_final_predictions", S(f"SELECT p.date, m.ticker, ensemble_qt AS cross_sectional_rank, {r('future_ret_5B')} FROM predictions p JOIN master m ON m.dcm_security_id = p.ticker WHERE p.date > DATE '2000-02-01'", "predictions", "master"))
 def final_predictions(spark, d):
-    rows = durable(V.signals(spark, d).select("date", "ticker", "ensemble", "future_ret_5B"))
+    rows = V.signals(spark, d).select("date", "ticker", "ensemble", "future_ret_5B")
     return rnd(M.final_predictions(rows, V.master(spark, d), "2000-02-01"))
 
 
@@ -780,7 +779,7 @@ grp AS (SELECT p.ticker, cut, step, avg(ret) AS ret FROM paths p JOIN cuts c ON
 
 @query("g11_path_groups", S(f"SELECT ticker, cut, CAST(step AS INTEGER) AS step, {r('ret')} FROM grp", "predictions", extra=_STRIKES + ",\n" + _GROUPS))
 def path_groups(spark, d):
-    return rnd(G.path_groups(durable(_paths(spark, d)[2])))
+    return rnd(G.path_groups(_paths(spark, d)[2]))
 
 
 @query(
@@ -810,7 +809,7 @@ def signal_hit_ratio(spark, d):
 )
 def forecast_band(spark, d):
     _, rets, paths = _paths(spark, d)
-    return rnd(G.forecast_band(rets, G.path_groups(durable(paths)), 282))
+    return rnd(G.forecast_band(rets, G.path_groups(paths), 282))
 
 
 @query(

@@ -208,7 +208,7 @@ def _beta_sql(denominator: str) -> str:
     frame = over(63)
     return S(
         f"""SELECT date, ticker, beta + 0 AS "SPY_beta", {_rank_avg('beta')} AS "SPY_beta_rank" FROM
-        (SELECT date, ticker, round(lag(raw) OVER w, 9) AS beta FROM
+        (SELECT date, ticker, round(lag(raw) OVER w, 6) AS beta FROM
           (SELECT a.date, a.ticker, CASE WHEN count(a.r) {frame} = 63 AND count(b.r) {frame} = 63
              THEN covar_samp(a.r, b.r) {frame} / nullif(var_samp({denominator}.r) {frame}, 0) END AS raw
            FROM lret a LEFT JOIN (SELECT date, r FROM lret WHERE ticker = 1) b ON a.date = b.date) m {W}) n""".replace(
@@ -223,7 +223,7 @@ def _beta_rows(spark, d, denominator):
     from panelwright.operators.order_stats import avg_rank
 
     raw = T.beta(V.prices(spark, d), 1, 63, name="SPY", pad=True, denominator=denominator).drop("SPY_beta_rank")
-    fixed = raw.withColumn("SPY_beta", F.round("SPY_beta", 9))
+    fixed = raw.withColumn("SPY_beta", F.round("SPY_beta", 6))
     return rnd(avg_rank(fixed, "SPY_beta", "SPY_beta_rank"), 9)
 
 

@@ -1,4 +1,4 @@
-"""Session settings the operators are written for."""
+"""Session settings the operators are written for, and tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -42,9 +42,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder of the cluster."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager)
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table written to the shared folder.
+
+    Steps that read their input several times call this first, so the work above
+    them is done once and survives the loss of executors.  A table that is
+    already written is returned as it is.
+    """
+    if getattr(df, "_written", False):
+        return df
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written = True
+    return table
