@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import KEY, TIME, own
+from panelwright.operators.sizes import require_day
 
 
 def numbered_days(df: DataFrame, time: str = TIME) -> DataFrame:
     """Distinct days with their position; at most one row per calendar day."""
+    require_day(df, time)
     order = Window.orderBy(time)
     days = df.select(time).where(F.col(time).isNotNull()).distinct()
     return days.select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import KEY, TIME, own
-from panelwright.operators.sizes import CALENDAR_DAYS, attach
+from panelwright.operators.sizes import CALENDAR_DAYS, attach, require_day
 
 
 def lookup(
@@ -54,6 +54,8 @@ def merge_panel(base: DataFrame, tables: Sequence[DataFrame], on: Sequence[str]
 
 def asof_days(days: DataFrame, right: DataFrame, on: str = TIME) -> DataFrame:
     """For each day the latest row of a date-level table at or before it (both one row per day)."""
+    require_day(days, on)
+    require_day(right, on)
     cols = [c for c in right.columns if c != on]
     right_rows = right.select(on, F.struct(F.col(on).alias("_at"), *cols).alias("_r"), F.lit(0).alias("_side"))
     day_rows = days.select(on).distinct().select(

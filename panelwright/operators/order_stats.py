@@ -1,7 +1,7 @@
 """Exact ranks and quantiles of groups of any size.
 
 A date, or the whole table, can hold more values than one task should sort or
-buffer.  A fixed increasing function cuts the number line into chunks (16 per
+buffer.  A fixed increasing function cuts the number line into chunks (160 per
 power of two), so a first pass only counts rows per group and chunk.  Ranks add
 the count of the chunks below to a rank inside the chunk; quantiles go back
 only for the rows of the chunks that hold the wanted positions.  Equal values
@@ -20,8 +20,8 @@ from panelwright.functions.columns import clip
 from panelwright.operators.sizes import attach, bounded_by_dates
 from panelwright.session import durable
 
-CHUNKS_PER_E = 23.0  # about 16 chunks per power of two
-_SHIFT = 20_000  # ln of a double stays within +-746
+CHUNKS_PER_E = 230.0  # about 160 chunks per power of two
+_SHIFT = 200_000  # ln of a double stays within +-746
 _ALL = "_all"
 
 

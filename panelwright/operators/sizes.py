@@ -18,6 +18,13 @@ _BOUNDED = {
 }
 
 
+def require_day(df: DataFrame, col: str) -> None:
+    """Only a calendar day bounds a table of distinct times; finer times could fill one task."""
+    kind = df.schema[col].dataType.simpleString()
+    if kind != "date":
+        raise ValueError(f"column {col} must be a date, not {kind}: cast it to days or give keys to split by")
+
+
 def bounded_by_dates(keys: Sequence[str]) -> int | None:
     """Largest number of key combinations, or None if a key has no fixed domain."""
     rows = 1

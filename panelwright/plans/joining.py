@@ -704,6 +704,31 @@ def sharded_csv(spark, d):
     return R.read_table(spark, f"{folder}/supplier/*.csv", "s_suppkey BIGINT, s_name STRING", "csv")
 
 
+@query("snk02_multi_table_export", "SELECT r_name AS name, 'region' AS src FROM region UNION ALL SELECT n_name, 'nation' FROM nation UNION ALL SELECT s_name, 'supplier' FROM supplier")
+def multi_table_export(spark, d):
+    folder = scratch(spark, "export")
+    names = {"region": "r_name", "nation": "n_name", "supplier": "s_name"}
+    O.write_tables({t: V.table(spark, d, t).select(F.col(c).alias("name"), F.lit(t).alias("src")) for t, c in names.items()}, folder)
+    return R.read_table(spark, [f"{folder}/{t}" for t in names])
+
+
+@query("snk05_bulk_csv_load", "SELECT c_custkey, c_mktsegment, round(c_acctbal, 2) + 0 AS c_acctbal FROM customer")
+def bulk_csv_load(spark, d):
+    folder = scratch(spark, "bulk")
+    rows = V.table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    O.write_tables({"part_a": rows.where("c_custkey % 2 = 0"), "part_b": rows.where("c_custkey % 2 = 1")}, folder, "csv", shards=2)
+    loaded = R.read_table(spark, f"{folder}/part_*/*.csv", "c_custkey BIGINT, c_mktsegment STRING, c_acctbal DOUBLE", "csv")
+    O.overwrite_table(loaded, f"{folder}/loaded")
+    return rnd(R.read_table(spark, f"{folder}/loaded"), 2)
+
+
+@query("c08_sampled_panels", S(f"SELECT date, ticker, 'monthly' AS freq FROM prices WHERE date IN (SELECT max(date) FROM cal WHERE is_open AND {_RANGE} GROUP BY date_trunc('month', date)) UNION ALL SELECT date, ticker, 'weekly' FROM prices WHERE date IN (SELECT (SELECT min(o.date) FROM cal o WHERE o.is_open AND o.date >= c.date) FROM cal c WHERE isodow(c.date) = 1 AND {_RANGE.replace('date BETWEEN', 'c.date BETWEEN')})", "prices", extra=_CAL))
+def sampled_panels(spark, d):
+    rows, cal = V.prices(spark, d).select("date", "ticker"), CAL.calendar(spark)
+    monthly = CAL.sample_panel(rows, cal, "bme").withColumn("freq", F.lit("monthly"))
+    return monthly.unionByName(CAL.sample_panel(rows, cal, "w-mon").withColumn("freq", F.lit("weekly")))
+
+
 @query("snk07_nested_to_text", """SELECT s_suppkey, '{"s_name":"' || s_name || '","s_nationkey":"' || s_nationkey || '"}' AS json FROM supplier""")
 def nested_to_text(spark, d):
     return O.as_json(V.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), ["s_name", "s_nationkey"])

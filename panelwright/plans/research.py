@@ -145,6 +145,28 @@ def filings_asof_monthly(spark, d):
     return rnd(out.select("date", "dcm_security_id", "form", "assets", "revenue"), 4, assets=2)
 
 
+@query(
+    "j09_close_and_volume_on_weekdays",
+    S(
+        f"""SELECT date, dcm_security_id, {r('close')}, {r('volume')} FROM (SELECT date, dcm_security_id, {fill('close', 5, by='dcm_security_id')} AS close, {fill('volume', 5, by='dcm_security_id')} AS volume FROM
+        (SELECT d.date, t.ticker AS dcm_security_id, p.close, p.volume FROM (SELECT DISTINCT date FROM prices WHERE isodow(date) < 6) d CROSS JOIN (SELECT DISTINCT ticker FROM prices) t
+          LEFT JOIN prices p ON p.date = d.date AND p.ticker = t.ticker) g) f WHERE close IS NOT NULL OR volume IS NOT NULL""",
+        "prices",
+    ),
+)
+def close_and_volume_on_weekdays(spark, d):
+    rows = V.prices(spark, d).select("date", F.col("ticker").alias("dcm_security_id"), "close", "volume")
+    days = rows.select("date").where(F.weekday("date") < 5)
+    return rnd(FU.filled_on(rows, days, ["close", "volume"]))
+
+
+@query("p05_enterprise_and_share_yield", S(f"SELECT date, dcm_security_id, {', '.join(r(_RATIO_SQL[n], n) for n in ('ebitda_to_ev', 'sharey', 'shares'))} FROM statements", "statements"))
+def enterprise_and_share_yield(spark, d):
+    side = V.master(spark, d).select("dcm_security_id", F.col("Sector").alias("GICS_Sector"), F.col("IndustryGroup").alias("GICS_IndustryGroup"))
+    fields = statements(spark, d).select("date", "dcm_security_id", "marketcap", "ncfdiv", "ncfcommon", "ncfdebt", "ebitda", "ev", "sharesbas", "sharefactor")
+    return rnd(FU.fundamental_ratios(fields, side).select("date", "dcm_security_id", "ebitda_to_ev", "sharey", "shares"))
+
+
 def _lagq(c: str, k: int) -> str:
     return f"lag({c}, {k}) OVER w"
 
