@@ -61,9 +61,8 @@ def densify(
 def with_universe(grid: DataFrame, universe: DataFrame, by: str = KEY, time: str = TIME) -> DataFrame:
     """Add the securities of ``universe`` that the grid lacks, empty on every day of the grid."""
     missing = universe.select(by).distinct().join(grid.select(by).distinct(), by, "left_anti")
-    days = grid.groupBy().agg(F.sort_array(F.collect_set(time)).alias("_days"))  # calendar days only
-    rows = missing.withColumn("_one", F.lit(1)).join(F.broadcast(days.withColumn("_one", F.lit(1))), "_one")
-    empty = rows.select(by, F.explode("_days").alias(time))
+    days = grid.agg(F.collect_set(time).alias("d")).scalar()  # calendar days only
+    empty = missing.select(by, F.explode(days).alias(time))
     return grid.unionByName(empty, allowMissingColumns=True)
 
 

@@ -146,10 +146,9 @@ def final_predictions(signals: DataFrame, master: DataFrame, after: str, id_col:
 
 def linear_attribution(df: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     """Contribution of each feature to a linear score: coefficient x (value - mean)."""
-    means = df.agg(*[F.avg(c).alias(f"m_{c}") for c in coefficients]).withColumn("_one", F.lit(1))
-    framed = df.withColumn("_one", F.lit(1)).join(F.broadcast(means), "_one")  # a single row
-    out = framed.withColumns({c: F.lit(float(b)) * (F.col(c) - F.col(f"m_{c}")) for c, b in coefficients.items()})
-    return out.drop("_one", *[f"m_{c}" for c in coefficients])
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("m")).scalar()
+    framed = df.withColumn("_m", means)
+    return framed.withColumns({c: F.lit(float(b)) * (F.col(c) - F.col(f"_m.{c}")) for c, b in coefficients.items()}).drop("_m")
 
 
 def model_coefficients(model: Model, features: Sequence[str]) -> dict[str, float]:
@@ -176,15 +175,15 @@ def unfold_upstream(
     """
     stacked = [s for s in stacked if s in upstream]
     names = [c for c in upstream[stacked[0]].columns if c not in (TIME, KEY)]
-    ends = blended.agg(*[F.max_by(c, F.struct(TIME, KEY)).alias(f"w_{c}") for c in [*stacked, overall]])
+    ends = blended.agg(F.max_by(F.struct(*stacked, overall), F.struct(TIME, KEY)).alias("w")).scalar()
     parts = None
     for s in stacked:
         rows = upstream[s].select(TIME, KEY, F.lit(s).alias("_m"), *names)
         parts = rows if parts is None else parts.unionByName(rows)
-    factor = F.coalesce(*[F.when(F.col("_m") == s, F.col(f"w_{s}")) for s in stacked])
-    scaled = parts.withColumn("_one", F.lit(1)).join(F.broadcast(ends.withColumn("_one", F.lit(1))), "_one")
+    factor = F.coalesce(*[F.when(F.col("_m") == s, F.col(f"_w.{s}")) for s in stacked])
+    scaled = parts.withColumn("_w", ends)
     spread = scaled.groupBy(TIME, KEY).agg(
-        *[F.sum(F.col(n) * factor * (1 + F.col(f"w_{overall}"))).alias(n) for n in names]
+        *[F.sum(F.col(n) * factor * (1 + F.col(f"_w.{overall}"))).alias(n) for n in names]
     )
     base = blended.drop(*stacked, overall, *[n for n in names if n in blended.columns])
     return base.join(spread, [TIME, KEY], "left").fillna(0.0, names)

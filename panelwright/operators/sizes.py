@@ -43,7 +43,14 @@ def attach(
     max_rows: int | None = None,
     width: int | None = None,
 ) -> DataFrame:
-    """Join; the right side is broadcast when ``max_rows`` proves it fits, else Spark chooses."""
+    """Join; the right side is broadcast when ``max_rows`` proves it fits, else Spark chooses.
+
+    The statistics of a whole table (key ``_all``) are one row, attached as a scalar subquery.
+    """
+    if list(on) == ["_all"]:
+        cols = [c for c in right.columns if c != "_all"]
+        whole = right.select(F.struct(*cols).alias("_stats")).scalar()
+        return left.withColumn("_stats", whole).select(*left.columns, *[F.col(f"_stats.`{c}`").alias(c) for c in cols])
     if max_rows is not None:
         row_bytes = width or 16 * len(right.columns)
         if max_rows * row_bytes <= BROADCAST_BYTES:

@@ -76,7 +76,9 @@ def run_ratio(df: DataFrame, col: str, by: Sequence[str] = (), chunk: Sequence[s
     frame = df if by else df.withColumn("_all", F.lit(0))
     up = longest_run(frame, col, 1, keys, chunk, order).withColumnRenamed("run", "up_periods")
     down = longest_run(frame, col, -1, keys, chunk, order).withColumnRenamed("run", "down_periods")
-    both = up.join(down, keys)
+    both = up.unionByName(down, allowMissingColumns=True).groupBy(*keys).agg(
+        F.max("up_periods").alias("up_periods"), F.max("down_periods").alias("down_periods")
+    )
     quotient = F.when(F.col("down_periods") != 0, ratio("up_periods", "down_periods")).otherwise(F.col("up_periods").cast("double"))
     out = both.withColumn("up_down_ratio", quotient)
     return out if by else out.drop("_all")
