@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe, chat, language, mixing, near_docs, search, substrings, topk
+from panelwright.llm import bpe, chat, language, mixing, near_docs, search, substrings, suffix_tree, topk
 from panelwright.llm.tables import LAST_ID, read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    training = suffix_tree.is_training()
+    counts, words = suffix_tree.count_words(docs.where(training))
+    tree = suffix_tree.learn(docs.where(training), words)
+    scores = suffix_tree.score(docs, counts, tree).withColumnRenamed("id", "doc_id")
+    return scores.select(
+        "doc_id", (~training).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 @query("op7_language_id")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
