@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe, chat, language, mixing, near_docs, search, substrings, suffix_tree, topk
+from panelwright.llm import bpe, chat, html, language, mixing, near_docs, search, substrings, suffix_tree, topk
 from panelwright.llm.tables import LAST_ID, read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken", "first_shard")
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html.main_text(pages, html.fit(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query(
     "op5_chat",
     """
