@@ -56,7 +56,8 @@ def _first_of(*keys: np.ndarray) -> np.ndarray:
 
 def _seed_rows(length: int, k: int):
     """(route, t, kind, seed): kind 0 a seed of one text of the slice, 1 a text with a seed that
-    the slice holds in several texts, 2 says so once to the others.  A slice sends each seed once."""
+    the slice holds in several texts, 2 says so once to the others.  A slice sends each seed once.
+    The seed is the route but for kind 1, where the route spreads the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,7 +82,7 @@ def _seed_rows(length: int, k: int):
                         pa.array(np.append(route, told)),
                         pa.array(np.append(t, t[new][several])),
                         pa.array(np.append(kind, np.full(len(told), 2)).astype(np.int8)),
-                        pa.array(np.append(seed, told)),
+                        pa.array(np.append(np.where(kind == 1, seed, 0), np.zeros(len(told), np.int64))),
                     ],
                     names=["route", "t", "kind", "seed"],
                 )
@@ -193,12 +194,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .withColumn("told", F.max("kind").over(group))
         .where("kind = 1 OR (kind = 0 AND (lo < hi OR told = 2))")
         .groupBy("t")
-        .agg(F.collect_set("seed").alias("shared"))
+        .agg(F.collect_set(F.when(F.col("kind") == 1, F.col("seed")).otherwise(F.col("route"))).alias("shared"))
     )
     facts = first.join(shared, "t", "left")
     windows = (
         base.join(facts, "t")
-        .select("doc", "source", "shared", "text")
+        .select("doc", "source", "shared", "text", "rest")  # all columns, so that both joins read one exchange of the texts
         .mapInArrow(_window_rows(length, gram), "a long, b long, doc long, settled boolean")
     )
     least = F.min("doc").over(Window.partitionBy("a", "b"))
