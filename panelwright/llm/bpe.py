@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from panelwright.llm import words as w
 
 LONG = 64
-KNOWN = 1 << 18  # encoded words a worker remembers
-SLICE = 1 << 20  # bytes of text per step
+KNOWN = 1 << 16  # encoded words a worker remembers
+SLICE = 1 << 19  # bytes of text per step
 NONE = np.int64(1) << 40
 
 
@@ -246,8 +246,8 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
             ends = np.cumsum(sizes)
             first = 0
             while first < n:
-                # about a million ids at a time
-                end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 20), "right")))
+                # about 262,000 ids at a time
+                end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 18), "right")))
                 part = lists.slice(first, end - first)
                 ids = part.flatten().to_numpy(zero_copy_only=False)
                 length = width[ids]

@@ -16,7 +16,7 @@ SIZES = (1, 2, 3)
 SMOOTH = 0.5
 MAX_LANGUAGES = 1000  # proves the size of the broadcast matrix
 UNKNOWN = "und"
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 
 def is_training(id_col: str = "doc_id", folds: int = 3, held_out: int = 1) -> Column:
