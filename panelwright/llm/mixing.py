@@ -103,12 +103,13 @@ def deal_slots(places: DataFrame) -> DataFrame:
     ``turn`` counts the passes over a source; within one, no block comes twice.
     """
     sources = places.select("sid", "blocks", "slots").distinct()
+    parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every, name = Window.partitionBy(), Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
     rows = sources.withColumn("all", F.sum("slots").over(every)).withColumn("first", F.coalesce(F.sum("slots").over(name), F.lit(0))).where("slots > 0")
     for step in (CHUNK * CHUNK, CHUNK):
         end = F.least(F.col("slots"), F.col("at") + step * CHUNK) if "at" in rows.columns else F.col("slots")
         start = F.col("at") if "at" in rows.columns else F.lit(0).cast("long")
-        rows = rows.withColumn("at", F.explode(F.sequence(start, end - 1, F.lit(step).cast("long")))).repartition("sid", "at")
+        rows = rows.withColumn("at", F.explode(F.sequence(start, end - 1, F.lit(step).cast("long")))).repartition(parts, "sid", "at")
     rows = rows.withColumn("r", F.explode(F.sequence(F.col("at"), F.least(F.col("slots"), F.col("at") + CHUNK) - 1)))
     place = permuted(F.col("first") + F.col("r"), F.col("all"), F.lit(SEED))
     turn = F.floor(F.col("r") / F.col("blocks"))
@@ -127,7 +128,7 @@ def mixed_segments(places: DataFrame, *carried: str) -> DataFrame:
     blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("off") / BLOCK), last))
     cut = places.select("sid", "bucket", "nth", "off", "size", *carried, F.explode_outer(blocks).alias("block"))
     words = F.least(F.col("off") + F.col("size"), (F.col("block") + 1) * BLOCK) - F.greatest(F.col("off"), F.col("block") * BLOCK)
-    return cut.withColumn("words", words).join(deal_slots(places), ["sid", "block"], "left")
+    return cut.withColumn("words", words).join(deal_slots(places).hint("merge"), ["sid", "block"], "left")  # Spark sees the slots before they are spread out, and would broadcast them
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
