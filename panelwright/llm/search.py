@@ -1,8 +1,8 @@
 """Document fingerprints: SimHash of weighted terms, and all fingerprints within a Hamming radius.
 
-Terms are runs of two words and of single words; a term weighs 1 + ln(count in the
-text), a single word a quarter of that, so that likeness follows phrases more than
-vocabulary.  Each bit of a term's hash votes with its weight.
+Terms are pairs of neighbouring words, with one mark before the first word and after
+the last; a term weighs 1 + ln(count in the text), in sixteenths.  Each bit of a
+term's hash votes with its weight.
 
 Near fingerprints come from permuted block tables: 64 bits are cut into ``radius +
 EXTRA`` blocks, and two fingerprints within the radius agree on some ``EXTRA`` of
@@ -24,9 +24,10 @@ from panelwright.llm.simhash import vote
 from panelwright.llm.tables import LAST_ID
 
 RADIUS, EXTRA = 3, 3
-CUTS = 512  # ranges of ids in which neighbours are looked for
+CUTS, PIECES = 128, 64  # cut points of the ids, and ranges between two of them
 HOT = 4096  # fingerprints of one key compared in one step
-SINGLE = 0.25
+SCALE = 16
+EDGE = np.uint64(0x2545F4914F6CDD1D)
 
 
 def text_fingerprints(column: pa.Array) -> np.ndarray:
@@ -34,21 +35,22 @@ def text_fingerprints(column: pa.Array) -> np.ndarray:
     out = np.zeros(len(column), np.uint64)
     for first, end, buf, offsets in w.text_slices(column, 1 << 20):
         starts, ends, bounds = w.split_words(buf, offsets)
-        h = w.hash_spans(buf, starts, ends)
         owner = w.owners(bounds)
-        pairs = w.ngrams(h, 2)
-        inside = owner[: len(pairs)] == owner[1:] if len(h) else np.empty(0, bool)
-        term = np.concatenate([h, pairs[inside]])
-        whose = np.concatenate([owner, owner[: len(pairs)][inside]])
-        single = np.concatenate([np.full(len(h), SINGLE), np.ones(int(inside.sum()))])
+        some = np.flatnonzero(np.diff(bounds))
+        # the marks between texts: one before each text that has words, one after the last
+        h = np.full(len(owner) + len(some) + 1, EDGE, np.uint64)
+        place = np.cumsum(np.diff(bounds) > 0)
+        h[np.arange(len(owner)) + place[owner]] = w.hash_spans(buf, starts, ends)
+        term = w.ngrams(h, 2) if len(some) else np.empty(0, np.uint64)
+        whose = np.repeat(some, np.diff(bounds)[some] + 1)
         order = np.lexsort((term, whose))
-        term, whose, single = term[order], whose[order], single[order]
+        term, whose = term[order], whose[order]
         new = np.ones(len(term), bool)
         if len(term) > 1:
             new[1:] = (term[1:] != term[:-1]) | (whose[1:] != whose[:-1])
         at = np.flatnonzero(new)
         times = np.diff(np.append(at, len(term)))
-        out[first:end] = vote(term[at], np.bincount(whose[at], minlength=end - first), (1 + np.log(times)) * single[at])
+        out[first:end] = vote(term[at], np.bincount(whose[at], minlength=end - first), np.rint(SCALE * (1 + np.log(times))))
     return out
 
 
@@ -80,32 +82,34 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     Null ids come first, rows of one id follow by text hash; a single row is its own
     next.  Rows are sorted in ranges of ids; a range also gets a copy of the first row
-    of the range after it.  The cut points and the ranges' first ids (``cuts`` at
-    most) pass through the driver.
+    of the range after it.  The cut points and the ranges' first ids (``cuts`` times
+    ``PIECES`` at most) pass through the driver.
     """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
     base = docs.select(doc.alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    points = sorted({int(x) for x in base.approxQuantile("doc", [i / cuts for i in range(1, cuts)], 0.2 / cuts)}) if cuts > 1 else []
-
-    def range_of(x: Column) -> Column:
-        """The number of cut points up to x, by halving."""
-
-        def within(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low)
-            middle = (low + high) // 2
-            return F.when(x >= points[middle], within(middle + 1, high)).otherwise(within(low, middle))
-
-        return within(0, len(points))
-
-    base = base.withColumn("range", range_of(F.col("doc")))
-    heads = {r[0]: r[1] for r in base.groupBy("range").agg(F.max("doc")).collect()}
-    ranges = sorted(heads)
-    copies = {heads[r]: ranges[i + 1] if i + 1 < len(ranges) else ranges[0] for i, r in enumerate(ranges)}
-    goes = F.element_at(F.create_map(*[F.lit(x) for pair in copies.items() for x in pair]), F.col("doc")) if copies else F.lit(None)
+    points = sorted({int(x) for x in base.approxQuantile("doc", [i / cuts for i in range(cuts + 1)], 0.2 / cuts)})
+    if not points:
+        return base.withColumn("next_text", F.col("text"))
+
+    def within(low: int, high: int) -> Column:
+        """The last of the cut points low .. high that x doesn't lie before, by halving."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(F.col("doc") >= points[middle], within(middle, high)).otherwise(within(low, middle - 1))
+
+    # between two cut points, pieces of equal width
+    start = F.element_at(F.array(*map(F.lit, points)), F.col("cut") + 1)
+    width = F.element_at(F.array(*[F.lit(float(b - a)) for a, b in zip(points, [*points[1:], points[-1] + 1])]), F.col("cut") + 1)
+    piece = F.least(F.lit(PIECES - 1), F.greatest(F.lit(0), F.floor((F.col("doc").cast("double") - start) * PIECES / width)))
+    base = base.withColumn("cut", within(0, len(points) - 1)).withColumn("range", (F.col("cut") * PIECES + piece).cast("int")).drop("cut")
+    heads = sorted((r[0], r[1]) for r in base.groupBy("range").agg(F.max("doc")).collect())
+    copies = [(doc_id, heads[(i + 1) % len(heads)][0]) for i, (_, doc_id) in enumerate(heads)]
+    goes = docs.sparkSession.createDataFrame(copies, "doc long, there int")
     home = F.struct(F.col("range").alias("range"), F.lit(False).alias("copy"))
-    there = F.struct(goes.cast("int").alias("range"), F.lit(True).alias("copy"))
-    dealt = base.select("doc", "text", F.explode(F.when(goes.isNull(), F.array(home)).otherwise(F.array(home, there))).alias("at"))
+    there = F.struct(F.col("there").alias("range"), F.lit(True).alias("copy"))
+    at = F.when(F.col("there").isNull(), F.array(home)).otherwise(F.array(home, there))
+    dealt = base.join(F.broadcast(goes), "doc", "left").select("doc", "text", F.explode(at).alias("at"))  # a row for each range
     order = Window.partitionBy("at.range").orderBy("at.copy", F.desc("doc"), F.xxhash64("text"))
     return dealt.withColumn("next_text", F.lead("text").over(order)).where("NOT at.copy").select("doc", "text", "next_text")
 

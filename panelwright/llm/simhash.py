@@ -11,7 +11,7 @@ SEED = 42
 def vote(h: np.ndarray, counts: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
     """A fingerprint for each run of ``counts`` features: a bit is 1 where it is set in over half of the weight.
 
-    No feature gives fingerprint zero.
+    Weights are whole numbers.  No feature gives fingerprint zero.
     """
     out = np.zeros(len(counts), np.uint64)
     some = np.flatnonzero(counts)
@@ -22,8 +22,10 @@ def vote(h: np.ndarray, counts: np.ndarray, weights: np.ndarray | None = None) -
     if weights is None:
         total, half = np.add.reduceat(bits, before, axis=0, dtype=np.int32), counts[some, None]
     else:
-        total = np.add.reduceat(bits * weights.astype(np.float32)[:, None], before, axis=0, dtype=np.float64)
-        half = np.add.reduceat(weights.astype(np.float32), before, dtype=np.float64)[:, None]
+        weights = weights.astype(np.int32)
+        kind = np.int32 if weights.sum(dtype=np.int64) < 1 << 30 else np.int64
+        total = np.add.reduceat(bits * weights[:, None], before, axis=0, dtype=kind)
+        half = np.add.reduceat(weights, before, dtype=np.int64)[:, None]
     packed = np.packbits(total * 2 > half, axis=1, bitorder="little")
     out[some] = np.ascontiguousarray(packed).view(np.uint64)[:, 0]
     return out
