@@ -87,7 +87,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
     base = docs.select(doc.alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    points = sorted({int(x) for x in base.approxQuantile("doc", [i / cuts for i in range(cuts + 1)], 0.2 / cuts)})
+    points = sorted({min(int(x), LAST_ID) for x in base.approxQuantile("doc", [i / cuts for i in range(cuts + 1)], 0.2 / cuts)})
     if not points:
         return base.withColumn("next_text", F.col("text"))
 
