@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.tables import rest
 
-LABELLED = 2000  # pages the weights are fitted on, at most
+LABELLED = 2000  # pages the weights are fitted on, at most (as the mean of the draw)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?/][^>]*+>?|(?P<text>[^<]++|<)", re.S
 )
@@ -197,8 +197,11 @@ def _label(page: str) -> tuple[Counter, Counter]:
 
 
 def fit(pages: DataFrame, html_col: str = "html", labelled: int = LABELLED) -> dict[str, float]:
-    """Weights: log odds of a word or tag inside against outside of the marked article, on ``labelled`` pages
-    at most (those of the smallest hash).  Words are held above zero, tags below."""
+    """Weights: log odds of a word or tag inside against outside of the marked article.
+
+    They are fitted on the pages whose hash falls into a share that makes ``labelled``
+    pages at most on average, wherever they lie.  Words are held above zero, tags below.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Counter(), Counter()
@@ -211,8 +214,9 @@ def fit(pages: DataFrame, html_col: str = "html", labelled: int = LABELLED) -> d
             [pa.array(names, pa.string()), pa.array([total[0][x] for x in names], pa.int64()), pa.array([total[1][x] for x in names], pa.int64())], names=["name", "inside", "outside"]
         )
 
-    page = pages.select(F.col(f"`{html_col}`").alias("html")).where("html rlike '(?i)<(article|main)[ >/]'")
-    some = page.orderBy(F.xxhash64("html"), "html").limit(labelled) if labelled else page
+    share = min(1.0, labelled / max(1, pages.count()))
+    drawn = F.pmod(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in pages.columns])), F.lit(1 << 30)) < int(share * (1 << 30))
+    some = pages.where(drawn).select(F.col(f"`{html_col}`").alias("html")).where("html rlike '(?i)<(article|main)[ >/]'")
     sums = some.mapInArrow(run, "name string, inside long, outside long").groupBy("name").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
     rows = sums.collect()
     all_in, all_out = sum(r.inside for r in rows), sum(r.outside for r in rows)
