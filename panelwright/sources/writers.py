@@ -33,29 +33,26 @@ def overwrite_table(df: DataFrame, target: str, format: str = "parquet") -> None
     df.write.mode("overwrite").format(format).save(target)
 
 
-def new_rows(df: DataFrame, written: DataFrame | None, master: DataFrame, mark: str = "date", min_age: int = 1) -> DataFrame:
-    """Rows after the high-water mark of a target, with known ids.
-
-    Nothing is new while the input is at most ``min_age`` days ahead of the mark.
-    """
+def new_rows(df: DataFrame, written: DataFrame | None, master: DataFrame, mark: str = "date") -> DataFrame:
+    """Rows after the high-water mark of a target, with known ids."""
     known = lookup(df.where(F.col("ticker").isNotNull()), master, "ticker", "inner", ["dcm_security_id"])
     if written is None:
         return known
     high = written.agg(F.max(mark)).scalar()
-    newest = df.agg(F.max(mark)).scalar()
-    stale = F.datediff(newest, high) <= min_age
-    return known.where(high.isNull() | ((F.col(mark) > high) & ~stale))
+    return known.where(high.isNull() | (F.col(mark) > high))
 
 
 def append_new(
-    spark: SparkSession, df: DataFrame, target: str, master: DataFrame, mark: str = "date", min_age: int = 1
+    spark: SparkSession, df: DataFrame, target: str, master: DataFrame, mark: str = "date"
 ) -> None:
     """Append the rows a Parquet target does not hold yet."""
     try:
         written = spark.read.parquet(target)
-    except AnalysisException:  # no target yet
-        written = None
-    new_rows(df, written, master, mark, min_age).write.mode("append").parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        written = None  # no target yet
+    new_rows(df, written, master, mark).write.mode("append").parquet(target)
 
 
 def as_json(df: DataFrame, cols: Sequence[str] | None = None, out: str = "json") -> DataFrame:

@@ -79,8 +79,9 @@ def test_append_keeps_a_mark(spark, tmp_path):
     side = spark.createDataFrame([("A", 1)], "ticker string, dcm_security_id bigint")
     target = str(tmp_path / "t")
     O.append_new(spark, df.where("x <= 4"), target, side)
-    O.append_new(spark, df.where("x <= 5"), target, side)  # one day ahead of the mark: not yet
-    assert spark.read.parquet(target).count() == 4
+    for day in (5, 6, 7):  # a feed that brings one new day at a time
+        O.append_new(spark, df.where(f"x <= {day}"), target, side)
+        assert spark.read.parquet(target).count() == day
     O.append_new(spark, df, target, side)
     O.append_new(spark, df, target, side)
     assert spark.read.parquet(target).count() == 8
