@@ -1,16 +1,19 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 Learning counts words, then what follows contexts of one and two words, over all
-training rows.  A context is a candidate if it makes up ``CONTEXT`` of all training
-tokens or more, and states the symbols that follow it in ``EVENT`` of all tokens or
-more; so the tree has a bounded size whatever the corpus.  It is kept if its
+training rows.  Both thresholds rise with the 2/3 power of the N training tokens: a
+context is a candidate if it is seen ``CONTEXT`` * N^(2/3) times or more, and states
+the symbols that follow it ``EVENT`` * N^(2/3) times or more.  So the tree grows with
+the corpus, as rarer shares are stated the larger it is, and holds N^(1/3) / EVENT
+symbols an order at most (60 million at 3e13 tokens).  A context is kept if its
 distribution diverges from its suffix's: the gain in log-likelihood must pass the
 cost of its parameters.  Stated symbols are discounted, and the rest of the mass
 goes to the suffix's distribution; the root is the smoothed word distribution.  A
 text is scored from the longest suffix state at each token.
 
-Words above ``HEAVY`` of all tokens (1 / HEAVY at most) and the tree are broadcast.
-The counts of all other words stay a table and meet the texts in a join.
+Words above ``HEAVY`` of all tokens (1 / HEAVY at most) and the tree are broadcast;
+contexts and stated symbols are heavy words.  The counts of all other words stay a
+table and meet the texts in a join.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 from panelwright.llm import words as w
 from panelwright.llm.tables import written
 
-HEAVY, EVENT, CONTEXT = 2.5e-7, 1e-6, 1e-4  # shares of all training tokens
-BITS = 22  # of a symbol's number; a context's number takes 14
+HEAVY = 2.5e-7  # share of all training tokens
+EVENT, CONTEXT = 5e-4, 0.05  # times the 2/3 power of their number
+BITS, WORD_BITS = 22, 20  # of a symbol's number, and of each word's in a context: enough up to 1e14 tokens
 ADD, DISCOUNT = 0.1, 0.5
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -73,9 +77,13 @@ class Words:
         ok = self.hash[at] == token
         return np.where(ok, self.number[at], -1), np.where(ok, self.count[at], 0)
 
-    def above(self, share: float) -> int:
-        """How many words have that share; they have the first numbers."""
-        return int((self.count >= share * self.tokens).sum())
+    def least(self, factor: float) -> float:
+        """The count that a context or a symbol needs."""
+        return factor * self.tokens ** (2 / 3)
+
+    def above(self, factor: float) -> int:
+        """How many words have that count; they have the first numbers."""
+        return int((self.count >= self.least(factor)).sum())
 
 
 def _context_keys(number: np.ndarray, row: np.ndarray, contexts: int, events: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +98,7 @@ def _context_keys(number: np.ndarray, row: np.ndarray, contexts: int, events: in
     ok = (symbol >= 0) & (last >= 0)
     one[ok] = (last[ok] << BITS) | symbol[ok]
     ok &= before >= 0
-    two[ok] = ((before[ok] + 1) << (BITS + 14)) | one[ok]
+    two[ok] = ((before[ok] + 1) << (BITS + WORD_BITS)) | one[ok]
     return one, two
 
 
@@ -151,6 +159,8 @@ def count_words(training: DataFrame, text_col: str = "text") -> tuple[DataFrame,
 def learn(training: DataFrame, known: Words, text_col: str = "text") -> Tree:
     """Count contexts over all training rows and keep those that diverge."""
     contexts, events = known.above(CONTEXT), known.above(EVENT)
+    if contexts >= 1 << WORD_BITS:
+        raise ValueError(f"{contexts} contexts don't fit into {WORD_BITS} bits")
     sent = training.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +172,7 @@ def learn(training: DataFrame, known: Words, text_col: str = "text") -> Tree:
 
     rows = training.select(F.col(f"`{text_col}`").alias("text"))
     sums = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    found = sums.where(F.col("n") >= EVENT * known.tokens).toArrow()
+    found = sums.where(F.col("n") >= known.least(EVENT)).toArrow()
     key, n = (found.column(i).combine_chunks().to_numpy() if found.num_rows else np.empty(0, np.int64) for i in (0, 1))
     order = np.argsort(key)
     tree = Tree(known, contexts, events, *(np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0)))
@@ -175,22 +185,22 @@ def _grow(tree: Tree, key: np.ndarray, n: np.ndarray, by_number: np.ndarray) ->
     """Shorter contexts first: a context is tested against the state its suffix has by then."""
     low = (np.int64(1) << BITS) - 1
     for deep in (False, True):
-        mine = (key >> (BITS + 14) > 0) == deep
+        mine = (key >> (BITS + WORD_BITS) > 0) == deep
         k, times = key[mine], n[mine].astype(float)
         if not len(k):
             continue
         context, symbol = k >> BITS << BITS, k & low
         below = tree.root(by_number[symbol])
-        short = k & ((np.int64(1) << (BITS + 14)) - 1)
+        short = k & ((np.int64(1) << (BITS + WORD_BITS)) - 1)
         if deep:
             below = tree.given(short >> BITS << BITS, below, short)
             # the context (a, b) has been seen as often as b after a, if that was often enough to be counted
-            a, b = (context >> (BITS + 14)) - 1, short >> BITS
+            a, b = (context >> (BITS + WORD_BITS)) - 1, short >> BITS
             at = np.minimum(np.searchsorted(key, (a << BITS) | b), len(key) - 1)
             seen = np.where(key[at] == ((a << BITS) | b), n[at], 0).astype(float)
         else:
             seen = by_number[context >> BITS].astype(float)
-        ok = seen >= CONTEXT * tree.words.tokens
+        ok = seen >= tree.words.least(CONTEXT)
         k, times, context, below, seen = k[ok], times[ok], context[ok], below[ok], seen[ok]
         if not len(k):
             continue

@@ -178,11 +178,15 @@ def test_suffix_tree(docs, empty):
         assert any((r.n_tokens, r.n_known) == x[:2] and math.isclose(r.base_score, x[2], rel_tol=1e-9) for x in want[r.id])
         assert r.score <= 0
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    # eight times the tokens: shares half as large are stated, so the tree grows
+    many = suffix_tree.Words(8 * words.tokens, words.distinct, words.hash, 8 * words.count, words.number)
+    assert math.isclose(many.least(suffix_tree.EVENT) / many.tokens, words.least(suffix_tree.EVENT) / words.tokens / 2)
+    assert many.above(suffix_tree.CONTEXT) > words.above(suffix_tree.CONTEXT)
     # every state's distribution sums to one
     number = np.append(words.number, -1)
     for node in tree.node[:3]:
         below = np.append(tree.root(words.count), tree.root(np.array([0])))
-        short = node & ((1 << (suffix_tree.BITS + 14)) - 1)
+        short = node & ((1 << (suffix_tree.BITS + suffix_tree.WORD_BITS)) - 1)
         for state in ([short, node] if short != node else [node]):
             below = tree.given(np.full(len(number), state), below, np.where(number >= 0, state | np.maximum(number, 0), -1))
         assert math.isclose((10**below).sum(), 1, rel_tol=1e-6)
