@@ -122,7 +122,8 @@ def rolling_moments(
     """
     w = own(by, order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    # a NaN counts as missing: in a running sum it would never leave again
+    both = F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(a) & ~F.isnan(b)
     x, y = F.when(both, F.col(a)).otherwise(0.0), F.when(both, F.col(b)).otherwise(0.0)
     terms = {"_n": both.cast("int"), "_a": x, "_b": y, "_aa": x * x, "_bb": y * y, "_ab": x * y}
     summed = df.withColumns({k: F.sum(v).over(upto) for k, v in terms.items()})

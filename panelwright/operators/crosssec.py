@@ -87,7 +87,8 @@ def neutralize(
 ) -> DataFrame:
     """Residual of every remaining column after a regression with intercept on the factors, per date.
 
-    Missing values take the date's median first.  The normal equations need only
+    Missing values take the date's median first; a factor without any value on a
+    date is left out of that date's regression.  The normal equations need only
     sums of products, which are added up before the exchange; one small system
     per date is solved, and the residual is a plain column expression.
     """
@@ -103,7 +104,8 @@ def neutralize(
     centred = attach(filled, means, [by], max_rows=days, width=8 * (len(factors) + len(responses)))
 
     def dev(c: str) -> Column:
-        return F.col(c) - F.col(f"m_{c}")
+        away = F.col(c) - F.col(f"m_{c}")
+        return F.coalesce(away, F.lit(0.0)) if c in factors else away
 
     k = len(factors)
     gram = [F.sum(dev(factors[i]) * dev(factors[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
@@ -302,7 +304,9 @@ def attach_group_means(
 
 
 def attach_macro(df: DataFrame, macro: DataFrame) -> DataFrame:
-    """Date-level macro table joined to the panel."""
+    """Date-level macro table joined to the panel; rows of one day count as one, of each column the greatest value."""
+    cols = [c for c in macro.columns if c != TIME]
+    macro = macro.groupBy(TIME).agg(*[F.max(c).alias(c) for c in cols]) if cols else macro.distinct()
     return attach(df, macro, [TIME], max_rows=CALENDAR_DAYS, width=8 * len(macro.columns))
 
 

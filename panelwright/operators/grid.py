@@ -37,8 +37,8 @@ def densify(
 
     Each row opens the cells up to the next row of its security, so the grid is
     produced by one pass over the securities and stays partitioned by them for
-    the windows that follow.  Input: one row per (date, security).  Rows off a
-    given grid are dropped.  ``lead_in=False`` leaves out the empty cells before
+    the windows that follow.  Input: one row per (date, security); repeated rows
+    are all kept, and add no empty cells.  Rows off a given grid are dropped.  ``lead_in=False`` leaves out the empty cells before
     the first row of a security.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (by, time)]
@@ -48,7 +48,7 @@ def densify(
         df.select(by, time, *cols)
         .join(F.broadcast(days), time)
         .withColumn("_first", F.lag("_seq").over(w).isNull() if lead_in else F.lit(False))
-        .withColumn("_upto", F.coalesce(F.lead("_seq").over(w) - 1, F.col("_last")))
+        .withColumn("_upto", F.greatest(F.coalesce(F.lead("_seq").over(w) - 1, F.col("_last")), "_seq"))
     )
     start = F.when(F.col("_first"), F.lit(1)).otherwise(F.col("_seq"))
     cells = placed.withColumn("_cell", F.explode(F.sequence(start, F.col("_upto"))))

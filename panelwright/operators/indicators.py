@@ -166,7 +166,7 @@ def past_returns(prices: DataFrame, lags: Sequence[int] = (1, 2, 5, 10, 21, 63,
 
 
 def future_returns(
-    prices: DataFrame, periods: Sequence[int] = (1, 5, 10, 21, 42), alpha: float | None = 0.01, price: str = "close", limit: int = 3
+    prices: DataFrame, periods: Sequence[int] = (1, 5, 10, 21, 42), alpha: float | None = 0.01, price: str = "close"
 ) -> DataFrame:
     """Return over the next k grid rows, winsorized per date.
 

@@ -53,10 +53,14 @@ def merge_panel(base: DataFrame, tables: Sequence[DataFrame], on: Sequence[str]
 
 
 def asof_days(days: DataFrame, right: DataFrame, on: str = TIME) -> DataFrame:
-    """For each day the latest row of a date-level table at or before it (both one row per day)."""
+    """For each day the latest row of a date-level table at or before it.
+
+    Rows of one day count as one: of each column the greatest value.
+    """
     require_day(days, on)
     require_day(right, on)
     cols = [c for c in right.columns if c != on]
+    right = right.groupBy(on).agg(*[F.max(c).alias(c) for c in cols]) if cols else right.select(on).distinct()
     right_rows = right.select(on, F.struct(F.col(on).alias("_at"), *cols).alias("_r"), F.lit(0).alias("_side"))
     day_rows = days.select(on).distinct().select(
         on, F.lit(None).cast(right_rows.schema["_r"].dataType).alias("_r"), F.lit(1).alias("_side")
@@ -173,6 +177,8 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str | tuple[str, str]) -> Da
 
 def common_keys(frames: Sequence[DataFrame], time: str = TIME, by: str = KEY) -> list[DataFrame]:
     """Each frame cut to the days and securities that every frame has (date-only frames: days)."""
+    for f in frames:
+        require_day(f, time)
     days = reduce(lambda a, b: a.intersect(b), [f.select(time).distinct() for f in frames])
     named = [f for f in frames if by in f.columns]
     names = reduce(lambda a, b: a.intersect(b), [f.select(by).distinct() for f in named])

@@ -19,6 +19,7 @@ from panelwright.operators.grid import melt, numbered_days
 from panelwright.operators.joins import replace_by
 from panelwright.operators.order_stats import avg_ranks, qcut
 from panelwright.operators.sizes import CALENDAR_DAYS, attach
+from panelwright.session import durable
 
 # Settings of the estimators.
 SEED = 12345
@@ -107,16 +108,14 @@ def fit_rolling(
                 try:
                     out[key][algo] = PipelineModel.load(place)
                     continue
-                except Exception:
-                    if mode == "load":
+                except Exception as error:  # only a model that is not there is fitted anew
+                    if mode == "load" or "not exist" not in str(error):
                         raise
             if rows is None:
-                rows = insample(df, year, month, n_dates).cache()
+                rows = durable(insample(df, year, month, n_dates))
             out[key][algo] = fit(rows, features, target, algo, **params)
             if place:
                 out[key][algo].write().overwrite().save(place)
-        if rows is not None:
-            rows.unpersist()
     return out
 
 

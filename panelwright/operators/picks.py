@@ -61,13 +61,20 @@ def best_source(sources: dict[str, DataFrame], key: str = KEY) -> DataFrame:
 
 
 def stable_sample(df: DataFrame, frac: float, id_col: str, by: Sequence[str] = (), seed: int = 0) -> DataFrame:
-    """floor(n x frac) rows per group in the order of a hash of the id: repeatable, without replacement."""
+    """floor(n x frac) rows per group in the order of a hash of the id: repeatable, without replacement.
+
+    Rows that share an id are ordered by a hash of the whole row, and equal rows are
+    counted, so that the number of rows is exact.
+    """
     keys = list(by) or ["_all"]
     frame = df if by else df.withColumn("_all", F.lit(0))
-    marked = frame.withColumn("_h", F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed)))))
+    of_id, of_row = F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed)))), F.hex(F.xxhash64(*df.columns))
+    marked = frame.withColumn("_h", F.concat(of_id, F.lpad(of_row, 16, "0")))
     ranks = value_ranks(marked.select(*keys, "_h"), "_h", keys, hex_chunk_of)
-    chosen = ranks.where(F.col("before") < F.floor(F.col("total") * F.lit(float(frac)))).select(*keys, "_h")
-    return marked.join(chosen, [*keys, "_h"], "left_semi").drop("_h", "_all")
+    left = F.floor(F.col("total") * F.lit(float(frac))) - F.col("before")
+    chosen = ranks.where(left > 0).select(*keys, "_h", F.least("n", left).alias("_take"))
+    rows = marked.dropDuplicates([*keys, "_h"]).join(chosen, [*keys, "_h"])
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take").cast("int")))).drop("_copy", "_take", "_h", "_all")
 
 
 def top_with_other(

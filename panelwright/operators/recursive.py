@@ -34,6 +34,13 @@ def _after_gap(x: np.ndarray) -> int:
     return int(present[0]) if len(present) else len(x)
 
 
+def _smoothed(seed: float, x: np.ndarray, alpha: float, skip: bool = False) -> np.ndarray:
+    """Exponential mean that starts at ``seed``; a gap ends it, or with ``skip`` leaves it as it was."""
+    path = np.append(seed, x)
+    mean = pd.Series(path).ewm(alpha=alpha, adjust=False, ignore_na=skip).mean().to_numpy()
+    return mean if skip else np.where(np.logical_or.accumulate(np.isnan(path)), np.nan, mean)
+
+
 def wilder_rsi(x: np.ndarray, n: int) -> np.ndarray:
     """Relative strength with Wilder smoothing, started from the mean of the first n changes."""
     out = np.full(len(x), np.nan)
@@ -43,12 +50,9 @@ def wilder_rsi(x: np.ndarray, n: int) -> np.ndarray:
     change = np.diff(x[s:])
     up, down = np.where(change > 0, change, 0.0), np.where(change < 0, -change, 0.0)
     up[np.isnan(change)] = down[np.isnan(change)] = np.nan
-    gain, loss = up[:n].mean(), down[:n].mean()
-    for i in range(n - 1, len(change)):
-        if i >= n:
-            gain, loss = (gain * (n - 1) + up[i]) / n, (loss * (n - 1) + down[i]) / n
-        both = gain + loss
-        out[s + i + 1] = np.nan if np.isnan(both) else (100.0 * gain / both if both != 0 else 0.0)
+    gain = _smoothed(up[:n].mean(), up[n:], 1.0 / n)
+    both = gain + _smoothed(down[:n].mean(), down[n:], 1.0 / n)
+    out[s + n :] = np.where(both == 0, 0.0, 100.0 * np.divide(gain, both, out=np.full(len(both), np.nan), where=both != 0))
     return out
 
 
@@ -58,12 +62,7 @@ def seeded_ema(x: np.ndarray, n: int) -> np.ndarray:
     s = _after_gap(x)
     if len(x) - s < n:
         return out
-    k = 2.0 / (n + 1)
-    value = x[s : s + n].mean()
-    out[s + n - 1] = value
-    for i in range(s + n, len(x)):
-        value = (x[i] - value) * k + value
-        out[i] = value
+    out[s + n - 1 :] = _smoothed(x[s : s + n].mean(), x[s + n :], 2.0 / (n + 1))
     return out
 
 
@@ -80,23 +79,12 @@ def wilder_adx(high: np.ndarray, low: np.ndarray, close: np.ndarray, n: int) ->
     spread = np.maximum(h[1:] - lo[1:], np.maximum(np.abs(h[1:] - c[:-1]), np.abs(lo[1:] - c[:-1])))
     gap = np.isnan(rise) | np.isnan(fall) | np.isnan(spread)
     plus[gap] = minus[gap] = spread[gap] = np.nan
-    p, m, t = plus[: n - 1].sum(), minus[: n - 1].sum(), spread[: n - 1].sum()
-    collected, adx = 0.0, np.nan
-    for i in range(n - 1, len(spread)):
-        p, m, t = p - p / n + plus[i], m - m / n + minus[i], t - t / n + spread[i]
-        if np.isnan(t):
-            break
-        dx = None
-        if t != 0 and p + m != 0:
-            dx = 100.0 * abs(m - p) / (m + p)
-        if i < 2 * n - 1:
-            collected += dx or 0.0
-            if i == 2 * n - 2:
-                adx = collected / n
-        elif dx is not None:
-            adx = (adx * (n - 1) + dx) / n
-        if i >= 2 * n - 2:
-            out[s + i + 1] = adx
+    # a Wilder sum is n times an exponential mean; from row n - 1 on
+    p, m, t = (_smoothed(v[: n - 1].sum() / n, v[n - 1 :], 1.0 / n)[1:] for v in (plus, minus, spread))
+    defined = (t != 0) & (p + m != 0) & ~np.isnan(t)
+    dx = np.divide(100.0 * np.abs(m - p), m + p, out=np.full(len(p), np.nan), where=defined)
+    adx = _smoothed(np.nansum(dx[:n]) / n, dx[n:], 1.0 / n, skip=True)
+    out[s + 2 * n - 1 :] = np.where(np.isnan(t[n - 1 :]), np.nan, adx)
     return out
 
 

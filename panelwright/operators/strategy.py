@@ -111,14 +111,12 @@ def portfolio_vs_benchmark(returns: DataFrame, weights: DataFrame, benchmark, re
     )
 
 
-def past_strikes(signals: DataFrame, bucket: str = "ensemble_qt", keep_all_upto: int = 5) -> DataFrame:
-    """Days on which a security had its present signal; the last one is dropped once there are many."""
-    w = Window.partitionBy(KEY)
-    back = w.orderBy(F.desc(TIME))
-    now = F.first(bucket).over(back)
-    marked = signals.withColumn("_now", now).where(F.col(bucket) == F.col("_now"))
-    counted = marked.withColumns({"_n": F.count(F.lit(1)).over(w), "_rn": F.row_number().over(back)})
-    kept = counted.where((F.col("_n") <= keep_all_upto) | (F.col("_rn") > 1))
+def past_strikes(signals: DataFrame, bucket: str = "ensemble_qt", drop_last: bool = False) -> DataFrame:
+    """Days on which a security had its present signal; ``drop_last`` leaves out the last of them."""
+    back = Window.partitionBy(KEY).orderBy(F.desc(TIME))
+    kept = signals.withColumn("_now", F.first(bucket).over(back)).where(F.col(bucket) == F.col("_now"))
+    if drop_last:
+        kept = kept.withColumn("_rn", F.row_number().over(back)).where(F.col("_rn") > 1)
     return kept.select(KEY, TIME, F.col("_now").alias("current_signal"))
 
 

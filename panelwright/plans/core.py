@@ -551,19 +551,26 @@ def scalar_functions(spark, d):
 @query(
     "fn_array_map_json",
     S(
-        """SELECT ticker, round(list_sum(list_transform(list(close * volume ORDER BY date), lambda v: v)), 2) + 0 AS dot,
-        CAST(30 AS INTEGER) AS padded, CAST(count(*) AS BIGINT) AS n FROM months GROUP BY ticker""",
+        """SELECT ticker, CAST(sum(round(close * volume)) AS BIGINT) AS dot, round(arg_max(close, date), 2) + 0 AS last_close,
+        '{"ticker":' || ticker || ',"n":' || count(*) || '}' AS json FROM months GROUP BY ticker""",
         "months",
     ),
 )
 def array_map_json(spark, d):
-    grouped = V.months(spark, d).groupBy("ticker").agg(
-        F.collect_list("close").alias("c"), F.collect_list("volume").alias("v"), F.count(F.lit(1)).alias("n")
-    )  # at most one entry per month
-    products = F.zip_with("c", "v", lambda a, b: a * b)
-    padded = F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: F.get("c", i))
+    month = F.struct("date", F.struct("close", "volume").alias("bar"))
+    grouped = V.months(spark, d).groupBy("ticker").agg(F.collect_list(month).alias("months"), F.count(F.lit(1)).alias("n"))  # one per month
+    bars = F.map_from_entries("months")
+    products = F.transform(F.map_values(bars), lambda b: F.round(b["close"] * b["volume"]).cast("long"))
+    text = F.to_json(F.struct("ticker", "n"))
+    back = F.from_json(text, "ticker bigint, n bigint")
     return rnd(
-        grouped.select("ticker", F.aggregate(products, F.lit(0.0), lambda a, x: a + x).alias("dot"), F.size(padded).alias("padded"), "n"), 2
+        grouped.select(
+            "ticker",
+            F.aggregate(products, F.lit(0).cast("long"), lambda a, x: a + x).alias("dot"),
+            F.element_at(bars, F.array_max(F.map_keys(bars)))["close"].alias("last_close"),
+            F.to_json(back).alias("json"),
+        ),
+        2,
     )
 
 

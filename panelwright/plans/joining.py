@@ -53,11 +53,11 @@ def inner_dimension_map(spark, d):
 
 @query(
     "j03_left_dimension_default",
-    S("SELECT date, p.ticker, coalesce(Sector, 'n/a') AS Sector FROM prices p LEFT JOIN (SELECT * FROM master WHERE balance > 0) m ON m.dcm_security_id = p.ticker", "prices", "master"),
+    S("SELECT date, p.ticker, coalesce(Sector, 'n/a') AS Sector FROM prices p LEFT JOIN master m ON m.dcm_security_id = p.ticker", "prices", "master"),
 )
 def left_dimension_default(spark, d):
     rows = V.prices(spark, d).select("date", "ticker")
-    return J.lookup(rows, V.master(spark, d).where("balance > 0"), ("ticker", "dcm_security_id"), "left", ["Sector"], "n/a")
+    return J.lookup(rows, V.master(spark, d), ("ticker", "dcm_security_id"), "left", ["Sector"], "n/a")
 
 
 @query("j05_macro_to_panel", S(f"SELECT m.date, ticker, {r('m.close', 'close')}, {r('RPI', 'RPI', 4)}, {r('GS10', 'GS10', 4)} FROM months m LEFT JOIN macro x ON x.date = m.date", "months", "macro"))
@@ -66,7 +66,13 @@ def macro_to_panel(spark, d):
     return rnd(rows, 4, close=6)
 
 
-_ASOF_F = "f AS (SELECT dcm_security_id AS ticker, filing_date AS date, fq, assets FROM filings WHERE dimension = 'ART')"
+_ASOF_F = "f AS (SELECT dcm_security_id AS ticker, filing_date AS date, max(fq) AS fq, sum(assets) AS assets FROM filings GROUP BY 1, 2)"
+
+
+def _filed(spark, d):
+    """One row per security and filing day: the forms filed on a day count together."""
+    keys = [F.col("dcm_security_id").alias("ticker"), F.col("filing_date").alias("date")]
+    return V.filings(spark, d).groupBy(*keys).agg(F.max("fq").alias("fq"), F.sum("assets").alias("assets"))
 
 
 @query(
@@ -74,10 +80,7 @@ _ASOF_F = "f AS (SELECT dcm_security_id AS ticker, filing_date AS date, fq, asse
     S(f"SELECT p.date, p.ticker, f.fq, {r('f.assets', 'assets', 2)} FROM prices p ASOF LEFT JOIN f ON p.ticker = f.ticker AND p.date >= f.date", "prices", "filings", extra=_ASOF_F),
 )
 def asof_backward(spark, d):
-    right = V.filings(spark, d).where("dimension = 'ART'").select(
-        F.col("dcm_security_id").alias("ticker"), F.col("filing_date").alias("date"), "fq", "assets"
-    )
-    return rnd(J.asof_join(V.prices(spark, d).select("date", "ticker"), right, "date", ["ticker"]), 2)
+    return rnd(J.asof_join(V.prices(spark, d).select("date", "ticker"), _filed(spark, d), "date", ["ticker"]), 2)
 
 
 @query(
@@ -88,7 +91,7 @@ def asof_backward(spark, d):
     ),
 )
 def asof_tolerance(spark, d):
-    right = V.filings(spark, d).where("dimension = 'ART'").select(F.col("dcm_security_id").alias("ticker"), F.col("filing_date").alias("date"), "fq")
+    right = _filed(spark, d).select("ticker", "date", "fq")
     return J.asof_join(V.prices(spark, d).select("date", "ticker"), right, "date", ["ticker"], tolerance=45)
 
 
@@ -114,11 +117,11 @@ def semi_join_on_filter(spark, d):
 
 @query(
     "j12_returns_keep_grid",
-    S(f"SELECT s.date, s.ticker, {r('future_ret_5B')}, {r('m.close', 'close')} FROM scores s LEFT JOIN (SELECT * FROM months WHERE volume > 60) m ON m.date = s.date AND m.ticker = s.ticker", "scores"),
+    S(f"SELECT s.date, s.ticker, {r('future_ret_5B')}, {r('m.close', 'close')} FROM scores s LEFT JOIN months m ON m.date = s.date AND m.ticker = s.ticker", "scores"),
 )
 def returns_keep_grid(spark, d):
     returns = V.scores(spark, d).select("date", "ticker", "future_ret_5B")
-    return rnd(J.attach_returns(returns, V.months(spark, d).where("volume > 60").select("date", "ticker", "close")))
+    return rnd(J.attach_returns(returns, V.months(spark, d).select("date", "ticker", "close")))
 
 
 @query(
@@ -187,10 +190,10 @@ def peer_means(spark, d):
     return rnd(L.peer_means(V.master(spark, d).select("dcm_security_id", "Sector", "balance"), "Sector", ["balance"]).drop("balance"))
 
 
-@query("j18_map_with_fallback", S("SELECT date, coalesce(m.ticker, CAST(x.ticker AS VARCHAR)) AS ticker FROM months x LEFT JOIN (SELECT * FROM master WHERE balance > 0) m ON m.dcm_security_id = x.ticker", "months", "master"))
+@query("j18_map_with_fallback", S("SELECT date, coalesce(m.ticker, CAST(x.ticker AS VARCHAR)) AS ticker FROM months x LEFT JOIN master m ON m.dcm_security_id = x.ticker", "months", "master"))
 def map_with_fallback(spark, d):
     rows = V.months(spark, d).select("date", "ticker")
-    return J.replace_by(rows, "ticker", V.master(spark, d).where("balance > 0"), "dcm_security_id", "ticker")
+    return J.replace_by(rows, "ticker", V.master(spark, d), "dcm_security_id", "ticker")
 
 
 @query(
@@ -610,9 +613,9 @@ def filings_scan(spark, d):
     return rnd(out.select("dcm_security_id", "fq", "dimension", "filing_date", "assets"), 2)
 
 
-@query("src09_daily_price_query", S(f"SELECT date, ticker, {rs('open', 'high', 'low', 'close', 'volume')} FROM prices WHERE date > DATE '1996-01-01' AND date < DATE '1999-01-01' AND ticker IN (SELECT dcm_security_id FROM master WHERE balance > 0)", "prices", "master"))
+@query("src09_daily_price_query", S(f"SELECT date, ticker, {rs('open', 'high', 'low', 'close', 'volume')} FROM prices WHERE date > DATE '1996-01-01' AND date < DATE '1999-01-01' AND ticker IN (SELECT dcm_security_id FROM master)", "prices", "master"))
 def daily_price_query(spark, d):
-    known = V.master(spark, d).where("balance > 0").select(F.col("dcm_security_id").alias("ticker"))
+    known = V.master(spark, d).select(F.col("dcm_security_id").alias("ticker"))
     return rnd(R.daily_prices(V.prices(spark, d), known, "1996-01-01", "1999-01-01"))
 
 

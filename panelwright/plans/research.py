@@ -64,11 +64,11 @@ def market_cap(spark, d):
     return rnd(FU.market_cap(statements(spark, d).drop("marketcap")).select("date", "dcm_security_id", "marketcap"))
 
 
-_FACTORS = "factors AS (SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS ticker, 1 - max(l_discount) AS split_div_factor FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1, 2)"
+_FACTORS = "factors AS (SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS ticker, 1 - max(l_discount) AS split_div_factor FROM lineitem GROUP BY 1, 2)"
 
 
 def _factors(spark, d):
-    rows = V.table(spark, d, "lineitem").where("l_suppkey % 2 = 0")
+    rows = V.table(spark, d, "lineitem")
     return rows.groupBy(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("ticker")).agg((1 - F.max("l_discount")).alias("split_div_factor"))
 
 
@@ -84,14 +84,14 @@ def raw_prices(spark, d):
     "f03_price_and_cap_floor",
     S(
         f"""SELECT p.date, p.ticker, {r('p.close', 'close')} FROM prices p JOIN ({_RAW}) x ON x.date = p.date AND x.ticker = p.ticker
-        LEFT JOIN (SELECT date, ticker, close * volume AS marketcap FROM prices WHERE volume > 20) c ON c.date = p.date AND c.ticker = p.ticker
+        LEFT JOIN (SELECT date, ticker, close * volume AS marketcap FROM prices) c ON c.date = p.date AND c.ticker = p.ticker
         WHERE coalesce(marketcap, 2e9) >= 50000 AND raw_close_price >= 1000""",
         "prices", extra=_FACTORS,
     ),
 )
 def price_and_cap_floor(spark, d):
     rows = V.prices(spark, d)
-    caps = rows.where("volume > 20").select("date", "ticker", (F.col("close") * F.col("volume")).alias("marketcap"))
+    caps = rows.select("date", "ticker", (F.col("close") * F.col("volume")).alias("marketcap"))
     raw = FU.raw_prices(rows, _factors(spark, d))
     return rnd(X.price_cap_floor(rows.select("date", "ticker", "close"), raw, caps, 1000.0, 50000.0))
 
@@ -177,23 +177,28 @@ _GROWTH = {
     "revenue_growth_qoq": f"revenue / {_lagq('revenue', 1)} - 1", "future_revenue_growth_qoq": f"{_lagq('revenue', 1)} / {_lagq('revenue', 2)} - 1",
     "asset_growth_qoq": f"assets / {_lagq('assets', 1)} - 1", "future_asset_growth_qoq": f"{_lagq('assets', 1)} / {_lagq('assets', 2)} - 1",
 }
-_GROWTH_SQL = f"""SELECT dcm_security_id, fq, {", ".join(f"{e} AS {n}" for n, e in _GROWTH.items())} FROM
-  (SELECT *, avg(assets) OVER (PARTITION BY dcm_security_id ORDER BY fq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS a4 FROM
-    (SELECT q.fq, s.dcm_security_id, f.assets, f.revenue, f.capex, f.inventory, f.shareswa FROM (SELECT DISTINCT fq FROM arq) q CROSS JOIN (SELECT DISTINCT dcm_security_id FROM arq) s
-      LEFT JOIN arq f ON f.fq = q.fq AND f.dcm_security_id = s.dcm_security_id) g) h WINDOW w AS (PARTITION BY dcm_security_id ORDER BY fq)"""
-_ARQ = "arq AS (SELECT * FROM filings WHERE dimension = 'ARQ')"
+_GROWTH_SQL = f"""SELECT id, fq, {", ".join(f"{e} AS {n}" for n, e in _GROWTH.items())} FROM
+  (SELECT *, avg(assets) OVER (PARTITION BY id ORDER BY fq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS a4 FROM
+    (SELECT q.fq, s.id, f.assets, f.revenue, f.capex, f.inventory, f.shareswa FROM (SELECT DISTINCT fq FROM series) q CROSS JOIN (SELECT DISTINCT id FROM series) s
+      LEFT JOIN series f ON f.fq = q.fq AND f.id = s.id) g) h WINDOW w AS (PARTITION BY id ORDER BY fq)"""
+_SERIES = "series AS (SELECT *, dcm_security_id || '-' || dimension AS id FROM filings)"
 
 
-@query("t19_fundamental_growth", S(f"SELECT dcm_security_id, fq, {rs(*_GROWTH)} FROM ({_GROWTH_SQL}) x WHERE " + " OR ".join(f"{n} IS NOT NULL" for n in _GROWTH), "filings", extra=_ARQ))
+def _series(spark, d):
+    """Each form of a security is a series of its own."""
+    return V.filings(spark, d).withColumn("id", F.concat_ws("-", "dcm_security_id", "dimension"))
+
+
+@query("t19_fundamental_growth", S(f"SELECT id, fq, {rs(*_GROWTH)} FROM ({_GROWTH_SQL}) x WHERE " + " OR ".join(f"{n} IS NOT NULL" for n in _GROWTH), "filings", extra=_SERIES))
 def fundamental_growth(spark, d):
-    return rnd(FU.fundamental_growth(V.filings(spark, d).where("dimension = 'ARQ'")))
+    return rnd(FU.fundamental_growth(_series(spark, d), ("id", "fq")))
 
 
-@query("j07_growth_by_quarter", S(f"SELECT a.dcm_security_id, a.fq, {r('a.assets', 'assets', 2)}, {r('revenue_growth')} FROM arq a LEFT JOIN ({_GROWTH_SQL}) x USING (dcm_security_id, fq)", "filings", extra=_ARQ))
+@query("j07_growth_by_quarter", S(f"SELECT a.id, a.fq, {r('a.assets', 'assets', 2)}, {r('revenue_growth')} FROM series a LEFT JOIN ({_GROWTH_SQL}) x USING (id, fq)", "filings", extra=_SERIES))
 def growth_by_quarter(spark, d):
-    rows = V.filings(spark, d).where("dimension = 'ARQ'")
-    growth = FU.fundamental_growth(rows).select("dcm_security_id", "fq", "revenue_growth")
-    return rnd(rows.select("dcm_security_id", "fq", "assets").join(growth, ["dcm_security_id", "fq"], "left"), 6, assets=2)
+    rows = _series(spark, d)
+    growth = FU.fundamental_growth(rows, ("id", "fq")).select("id", "fq", "revenue_growth")
+    return rnd(rows.select("id", "fq", "assets").join(growth, ["id", "fq"], "left"), 6, assets=2)
 
 
 # macro ---------------------------------------------------------------------
@@ -335,13 +340,13 @@ def membership_fill(spark, d):
 
 
 _UNIV = """univ AS (SELECT p.date, p.ticker, p.close, coalesce(w1, 0) AS w1, coalesce(w1g, 0) AS w1g, coalesce(w1v, 0) AS w1v, coalesce(c.marketcap, 2e9) AS marketcap FROM prices p
-  LEFT JOIN filled f ON f.date = p.date AND f.dcm_security_id = p.ticker LEFT JOIN (SELECT date, ticker, close * volume AS marketcap FROM prices WHERE volume > 5) c ON c.date = p.date AND c.ticker = p.ticker)"""
+  LEFT JOIN filled f ON f.date = p.date AND f.dcm_security_id = p.ticker LEFT JOIN (SELECT date, ticker, close * volume AS marketcap FROM prices) c ON c.date = p.date AND c.ticker = p.ticker)"""
 _POP = ",\n".join([_TIMELINE, _FILLED, _UNIV])
 
 
 def _universe(spark, d):
     rows = V.prices(spark, d)
-    caps = rows.where("volume > 5").select("date", "ticker", (F.col("close") * F.col("volume")).alias("marketcap"))
+    caps = rows.select("date", "ticker", (F.col("close") * F.col("volume")).alias("marketcap"))
     return X.universe(rows.select("date", "ticker", "close"), V.membership(spark, d), caps)
 
 
@@ -388,17 +393,16 @@ def neutralize_one_factor(spark, d):
     "x05_neutralize_two_factors",
     S(
         f"""SELECT date, ticker, {r('calm_score')}, {r('momentum_score')}, {r('y - b1 * x1 - b2 * x2', 'size_score')} FROM
-        (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM
+        (SELECT *, CASE WHEN s22 = 0 THEN s1y / s11 ELSE (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) END AS b1, CASE WHEN s22 = 0 THEN 0 ELSE (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) END AS b2 FROM
           (SELECT *, sum(x1 * x1) OVER p AS s11, sum(x2 * x2) OVER p AS s22, sum(x1 * x2) OVER p AS s12, sum(x1 * y) OVER p AS s1y, sum(x2 * y) OVER p AS s2y FROM
-            (SELECT *, calm_score - avg(calm_score) OVER p AS x1, momentum_score - avg(momentum_score) OVER p AS x2, size_score - avg(size_score) OVER p AS y FROM med
-             WHERE momentum_score IS NOT NULL WINDOW p AS (PARTITION BY date)) a WINDOW p AS (PARTITION BY date)) b) c""",
+            (SELECT *, calm_score - avg(calm_score) OVER p AS x1, coalesce(momentum_score - avg(momentum_score) OVER p, 0) AS x2, size_score - avg(size_score) OVER p AS y FROM med
+             WINDOW p AS (PARTITION BY date)) a WINDOW p AS (PARTITION BY date)) b) c""",
         "scores", extra=_MED,
     ),
 )
 def neutralize_two_factors(spark, d):
     rows = V.scores(spark, d).select("date", "ticker", "calm_score", "momentum_score", "size_score")
-    first = F.col("date") > rows.agg(F.min("date")).scalar()  # the first month has no momentum at all
-    return rnd(X.neutralize(rows.where(first), ["calm_score", "momentum_score"]))
+    return rnd(X.neutralize(rows, ["calm_score", "momentum_score"]))  # the first month has no momentum at all
 
 
 @query(
@@ -434,23 +438,23 @@ def fold_left_closed(spark, d):
 @query(
     "x11_insample_window",
     S(
-        """SELECT m.date, ticker, fold_id FROM months m JOIN (SELECT date, CAST(greatest(ceil((date - min(date) OVER ()) * 5.0::DOUBLE / (max(date) OVER () - min(date) OVER ())) - 1, 0) AS INTEGER) AS fold_id FROM
-        (SELECT date FROM (SELECT DISTINCT date FROM months) d WHERE date <= DATE '2000-06-01' ORDER BY date DESC LIMIT 36) k) b ON b.date = m.date""",
-        "months",
+        """SELECT m.date, ticker, fold_id FROM prices m JOIN (SELECT date, CAST(greatest(ceil((date - min(date) OVER ()) * 5.0::DOUBLE / (max(date) OVER () - min(date) OVER ())) - 1, 0) AS INTEGER) AS fold_id FROM
+        (SELECT date FROM (SELECT DISTINCT date FROM prices) d WHERE date <= (SELECT min(date) FROM prices WHERE date_trunc('month', date) = DATE '2000-06-01') ORDER BY date DESC LIMIT 106) k) b ON b.date = m.date""",
+        "prices",
     ),
 )
 def insample_window(spark, d):
-    return X.insample(V.months(spark, d).select("date", "ticker"), 2000, 6, 36)
+    return X.insample(V.prices(spark, d).select("date", "ticker"), 2000, 6, 106)
 
 
 _ACT = """act AS (SELECT d.date, u.ticker, CASE WHEN abs(s.x) > 0 THEN 1 ELSE 0 END AS is_active FROM (SELECT DISTINCT date FROM base) d CROSS JOIN
-  (SELECT s_suppkey AS ticker FROM supplier) u LEFT JOIN base s ON s.date = d.date AND s.ticker = u.ticker),"""
-_BASE = "base AS (SELECT date, ticker, momentum_score AS x FROM scores WHERE ticker % 10 <> 0),"
+  (SELECT p_partkey AS ticker FROM part) u LEFT JOIN base s ON s.date = d.date AND s.ticker = u.ticker),"""
+_BASE = "base AS (SELECT date, ticker, momentum_score AS x FROM scores),"
 
 
 def _active(spark, d):
-    rows = V.scores(spark, d).where("ticker % 10 <> 0").select("date", "ticker", "momentum_score")
-    return X.activity(rows, V.master(spark, d).select(F.col("dcm_security_id").alias("ticker")), "momentum_score")
+    rows = V.scores(spark, d).select("date", "ticker", "momentum_score")
+    return X.activity(rows, V.table(spark, d, "part").select(F.col("p_partkey").alias("ticker")), "momentum_score")
 
 
 @query("x12_activity_matrix", S("SELECT date, ticker, is_active FROM act", "scores", extra=_BASE + "\n" + _ACT.rstrip(",")))
@@ -776,17 +780,16 @@ def portfolio_vs_benchmark(spark, d):
     return rnd(G.portfolio_vs_benchmark(rets, _weights(spark, d), 1))
 
 
-_STRIKES = """strikes AS (SELECT ticker, date, now FROM (SELECT *, count(*) OVER (PARTITION BY ticker) AS n, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM
-   (SELECT *, first_value(ensemble_qt) OVER (PARTITION BY ticker ORDER BY date DESC) AS now FROM predictions) a WHERE ensemble_qt = now) b WHERE n <= 5 OR back > 1),
-mret AS (SELECT date, ticker, coalesce(momentum_score, 0) AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM scores),
-paths AS (SELECT s.ticker, s.date AS strike, k.step, n.ret, s.now FROM strikes s JOIN mret b ON b.ticker = s.ticker AND b.date = s.date CROSS JOIN range(6) k(step)
+_STRIKES = """strikes AS (SELECT ticker, date, now FROM (SELECT *, first_value(ensemble_qt) OVER (PARTITION BY ticker ORDER BY date DESC) AS now FROM predictions) a WHERE ensemble_qt = now),
+mret AS (SELECT date, ticker, 0.01 * coalesce(momentum_score, 0) AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM scores),
+paths AS (SELECT s.ticker, s.date AS strike, k.step, n.ret, s.now FROM strikes s JOIN mret b ON b.ticker = s.ticker AND b.date = s.date CROSS JOIN range(30) k(step)
   LEFT JOIN mret n ON n.ticker = s.ticker AND n.rn = b.rn + 1 + k.step)"""
 
 
 def _paths(spark, d):
     strikes = G.past_strikes(_preds(spark, d))
-    rets = V.scores(spark, d).select("date", "ticker", F.coalesce("momentum_score", F.lit(0.0)).alias("ret_1B"))
-    return strikes, rets, J.paths_after(rets, strikes, 6)
+    rets = V.scores(spark, d).select("date", "ticker", (0.01 * F.coalesce("momentum_score", F.lit(0.0))).alias("ret_1B"))
+    return strikes, rets, J.paths_after(rets, strikes, 30)
 
 
 @query("g10_post_signal_paths", S(f"SELECT ticker, strike, CAST(step AS INTEGER) AS step, {r('ret')} FROM paths", "predictions", extra=_STRIKES))
@@ -794,7 +797,7 @@ def post_signal_paths(spark, d):
     return rnd(_paths(spark, d)[2])
 
 
-_GROUPS = f"""ends AS (SELECT ticker, strike, CASE WHEN count(ret) = 6 THEN round(product(1 + ret) - 1, 9) END AS final FROM paths GROUP BY 1, 2),
+_GROUPS = f"""ends AS (SELECT ticker, strike, CASE WHEN count(ret) = 30 THEN round(product(1 + ret) - 1, 9) END AS final FROM paths GROUP BY 1, 2),
 cuts AS (SELECT ticker, strike, {qcut_sql('final', 'ticker')} AS cut FROM ends),
 grp AS (SELECT p.ticker, cut, step, avg(ret) AS ret FROM paths p JOIN cuts c ON c.ticker = p.ticker AND c.strike = p.strike WHERE cut IS NOT NULL GROUP BY 1, 2, 3)"""
 
@@ -808,7 +811,7 @@ def path_groups(spark, d):
     "g12_signal_hit_ratio",
     S(
         """SELECT ticker, current_signal, CAST(count(*) AS BIGINT) AS occurrences, round(CASE WHEN current_signal <> 2 THEN 100.0 * count(CASE WHEN (current_signal >= 3 AND m > 0) OR (current_signal <= 1 AND m < 0) THEN 1 END) / count(*) END, 6) + 0 AS hit_ratio
-        FROM (SELECT ticker, strike, max(now) AS current_signal, CASE WHEN count(ret) = 6 THEN avg(ret) END AS m FROM paths GROUP BY 1, 2) x GROUP BY 1, 2""",
+        FROM (SELECT ticker, strike, max(now) AS current_signal, CASE WHEN count(ret) = 30 THEN avg(ret) END AS m FROM paths GROUP BY 1, 2) x GROUP BY 1, 2""",
         "predictions", extra=_STRIKES,
     ),
 )
@@ -928,26 +931,26 @@ def overview(spark, d):
 @query(
     "i06_waterfall",
     S(
-        f"""SELECT ticker, theme, CASE WHEN rk <= 2 THEN feature ELSE others || ' other features' END AS feature, {r('sum(value) * 100', 'value')}, CAST(min(rk) AS INTEGER) AS rank FROM
-        (SELECT *, count(CASE WHEN rk > 2 THEN 1 END) OVER (PARTITION BY ticker, theme) AS others FROM (SELECT *, row_number() OVER (PARTITION BY ticker, theme ORDER BY abs(value) DESC, feature) AS rk FROM lastlong) a) b GROUP BY 1, 2, 3""",
+        f"""SELECT ticker, theme, CASE WHEN rk <= 9 THEN feature ELSE others || ' other features' END AS feature, {r('sum(value) * 100', 'value')}, CAST(min(rk) AS INTEGER) AS rank FROM
+        (SELECT *, count(CASE WHEN rk > 9 THEN 1 END) OVER (PARTITION BY ticker, theme) AS others FROM (SELECT *, row_number() OVER (PARTITION BY ticker, theme ORDER BY abs(value) DESC, feature) AS rk FROM lastlong) a) b GROUP BY 1, 2, 3""",
         "attribution", extra=_LONG,
     ),
 )
 def waterfall(spark, d):
-    return rnd(I.waterfall(V.attribution(spark, d), n=2))
+    return rnd(I.waterfall(V.attribution(spark, d)))
 
 
 @query(
     "i07_share_history",
     S(
-        f"""SELECT l.date, l.ticker, l.theme, CASE WHEN rk <= 2 THEN l.feature ELSE others || ' other features' END AS label, {r('sum(abs(value)) * 100', 'value')} FROM long l JOIN
-        (SELECT *, count(CASE WHEN rk > 2 THEN 1 END) OVER (PARTITION BY ticker, theme) AS others FROM (SELECT ticker, theme, feature, row_number() OVER (PARTITION BY ticker, theme ORDER BY sum(abs(value)) DESC, feature) AS rk FROM long GROUP BY 1, 2, 3) a) k
+        f"""SELECT l.date, l.ticker, l.theme, CASE WHEN rk <= 9 THEN l.feature ELSE others || ' other features' END AS label, {r('sum(abs(value)) * 100', 'value')} FROM long l JOIN
+        (SELECT *, count(CASE WHEN rk > 9 THEN 1 END) OVER (PARTITION BY ticker, theme) AS others FROM (SELECT ticker, theme, feature, row_number() OVER (PARTITION BY ticker, theme ORDER BY sum(abs(value)) DESC, feature) AS rk FROM long GROUP BY 1, 2, 3) a) k
           ON k.ticker = l.ticker AND k.theme = l.theme AND k.feature = l.feature GROUP BY 1, 2, 3, 4""",
         "attribution", extra=_LONG,
     ),
 )
 def share_history(spark, d):
-    return rnd(I.share_history(V.attribution(spark, d), n=2))
+    return rnd(I.share_history(V.attribution(spark, d)))
 
 
 @query(

@@ -136,8 +136,7 @@ FROM (SELECT l_suppkey AS dcm_security_id, CAST(date_trunc('quarter', l_shipdate
              round(sum(l_extendedprice), 2) AS assets, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
              round(sum(l_extendedprice * l_tax), 4) AS capex, sum(l_quantity) AS inventory,
              CAST(count(*) AS DOUBLE) AS shareswa
-      FROM lineitem GROUP BY 1, 2, 3) q
-WHERE NOT (dcm_security_id % 5 = 0 AND dimension = 'ARQ' AND quarter(fq) IN (2, 3, 4))""",
+      FROM lineitem GROUP BY 1, 2, 3) q""",
 )
 
 
@@ -158,9 +157,8 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias("shareswa"),
         )
     )
-    thin = (F.col("dcm_security_id") % 5 == 0) & (F.col("dimension") == "ARQ") & F.quarter("fq").isin(2, 3, 4)
     filed = F.date_add(F.add_months("fq", 3), (29 + F.col("dcm_security_id") % 45).cast("int"))
-    return grouped.where(~thin).select(
+    return grouped.select(
         "dcm_security_id", "fq", filed.alias("filing_date"), "dimension",
         "assets", "revenue", "capex", "inventory", "shareswa",
     )
@@ -223,8 +221,8 @@ SQL["membership"] = (
        CASE WHEN c > 0 THEN round(c / sum(v) OVER (PARTITION BY date), 9) END AS "wt-r1v"
 FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, 'C' || l_suppkey AS cusip, l_suppkey AS dcm_security_id,
              round(sum(l_extendedprice), 2) AS v,
-             round(sum(CASE WHEN l_returnflag = 'A' AND l_suppkey % 3 <> 0 THEN l_extendedprice ELSE 0 END), 2) AS g,
-             round(sum(CASE WHEN l_returnflag = 'N' AND l_suppkey % 3 <> 1 THEN l_extendedprice ELSE 0 END), 2) AS c
+             round(sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice ELSE 0 END), 2) AS g,
+             round(sum(CASE WHEN l_returnflag = 'N' THEN l_extendedprice ELSE 0 END), 2) AS c
       FROM lineitem GROUP BY 1, 2, 3) w""",
 )
 
@@ -242,8 +240,8 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
         )
         .agg(
             F.round(F.sum(price), 2).alias("v"),
-            F.round(F.sum(F.when((flag == "A") & (key % 3 != 0), price).otherwise(0.0)), 2).alias("g"),
-            F.round(F.sum(F.when((flag == "N") & (key % 3 != 1), price).otherwise(0.0)), 2).alias("c"),
+            F.round(F.sum(F.when(flag == "A", price).otherwise(0.0)), 2).alias("g"),
+            F.round(F.sum(F.when(flag == "N", price).otherwise(0.0)), 2).alias("c"),
         )
     )
     months_total = sums.groupBy("date").agg(F.sum("v").alias("t"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,14 +28,19 @@ def build_session(master: str | None = None, name: str = "panelwright", **conf:
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="panelwright-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in local mode where none is named."""
+    """The cluster's shared folder; one temporary folder per session only in local mode where none is named."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="panelwright-")
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

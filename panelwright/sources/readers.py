@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from panelwright.functions.columns import KEY, TIME, ffill
 from panelwright.operators.joins import lookup, restrict_to
 from panelwright.operators.picks import top_n
+from panelwright.operators.sizes import require_day
 
 
 def read_table(
@@ -18,9 +19,14 @@ def read_table(
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
     format: str = "parquet",
+    nan_missing: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Table or file glob; text formats need a schema, so that no pass is spent on guessing it."""
+    """Table or file glob; text formats need a schema, so that no pass is spent on guessing it.
+
+    NaN in a number column is read as missing.  ``nan_missing=False`` keeps it, and
+    lets filters on such columns reach the files.
+    """
     reader = spark.read.format(format)
     if format == "csv":
         options = {"header": "true", **options}
@@ -28,7 +34,14 @@ def read_table(
         raise ValueError(f"reading {format} needs a schema")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.options(**options).load(path if isinstance(path, str) else list(path))
+    df = reader.options(**options).load(path if isinstance(path, str) else list(path))
+    return nan_as_null(df) if nan_missing else df
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """Floating-point columns with NaN as null; the other columns stay as they are."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
 def read_strategy(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -125,19 +138,23 @@ def assemble_symbols(
 ) -> DataFrame:
     """One row per day with ``<symbol>_close`` and ``<symbol>_volume`` of each symbol.
 
-    Gaps inside a symbol are filled forward, and the last row of a day counts.
+    The last value of a day counts, and days without one are filled forward.  Ticks
+    are combined per (symbol, day) before the exchange; the fill sees one row a day.
     """
-    order = [TIME, *order]
-    w = Window.partitionBy(symbol).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = df.where(F.col(symbol).isin(*symbols)).select(
-        symbol, *order, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in (close, volume)]
+    require_day(df, TIME)
+    at = F.struct(*(order or [TIME]))
+    days = (
+        df.where(F.col(symbol).isin(*symbols))
+        .groupBy(symbol, TIME)
+        .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in (close, volume)])
     )
-    at = F.struct(*order)
-    picks = []
-    for s in symbols:
-        mine = F.col(symbol) == s
-        for name, c in (("close", close), ("volume", volume)):
-            picks.append(F.max_by(F.when(mine, F.col(c)), F.when(mine, at)).alias(f"{s}_{name}"))
+    w = Window.partitionBy(symbol).orderBy(TIME).rowsBetween(Window.unboundedPreceding, 0)
+    filled = days.select(symbol, TIME, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in (close, volume)])
+    picks = [
+        F.max(F.when(F.col(symbol) == s, F.col(c))).alias(f"{s}_{name}")
+        for s in symbols
+        for name, c in (("close", close), ("volume", volume))
+    ]
     return filled.groupBy(TIME).agg(*picks)
 
 
