@@ -747,12 +747,12 @@ _EVENT_BARS = """SELECT CAST(ts AS DATE) AS date, user_id AS ticker, round(arg_m
   round(arg_max(value, row(ts, event_id)), 6) + 0 AS close, CAST(count(*) AS BIGINT) AS n FROM events"""
 
 
-@query("s02_stream_bars", f"{_EVENT_BARS} WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2")
+@query("s02_stream_bars", f"{_EVENT_BARS} GROUP BY 1, 2")
 def stream_bars(spark, d):
     target = scratch(spark, "bars")
     bars = ST.stream_bars(_stream(spark, d, "events"), order=["event_id"])
-    ST.to_files(bars, target, scratch(spark, "bars-state")).awaitTermination()
-    return rnd(spark.read.parquet(target))
+    ST.to_versions(bars, target, scratch(spark, "bars-state")).awaitTermination()
+    return rnd(ST.newest(spark, target, ["date", "ticker"]))
 
 
 @query("s02_batch_bars", f"{_EVENT_BARS} GROUP BY 1, 2")
@@ -771,13 +771,4 @@ def stream_append(spark, d):
     return rnd(spark.read.parquet(target).select("event_id", "ticker", "dcm_security_id", "value"))
 
 
-@query("s01_stream_metrics")
-def stream_metrics(spark, d):
-    source, target = scratch(spark, "predictions"), scratch(spark, "metrics")
-    V.predictions(spark, d).coalesce(1).write.parquet(source)
-    rows = ST.read_files(spark, source, spark.read.parquet(source).schema)
-    ST.stream_metrics(rows, target, scratch(spark, "metrics-state")).awaitTermination()
-    return rnd(spark.read.parquet(f"{target}/batch=0"))
-
-
 __all__ = ["over"]

@@ -22,6 +22,7 @@ from panelwright.plans.views import fill, over, pct_rank_sql, qcut_sql
 from panelwright.plans.views import with_views as S
 from panelwright.session import durable, scratch
 from panelwright.sources.readers import assemble_symbols
+from panelwright.streaming import streams as ST
 
 # fundamentals --------------------------------------------------------------
 # Stand-in statement fields over the monthly bar, valid in both engines.
@@ -755,16 +756,37 @@ def upside_ratio(spark, d):
     return rnd(G.upside_ratio(V.scores(spark, d), ["calm_score"], "momentum_score"))
 
 
-@query(
-    "g08_metric_registry",
-    S(
-        f"""SELECT 'return_summary' AS metric, field, value FROM (UNPIVOT ({_SUMMARY}) ON COLUMNS(*) INTO NAME field VALUE value) u
-        UNION ALL SELECT 'volatility', 'std_future_ret_5B', round(stddev_pop(future_ret_5B), 6) + 0 FROM predictions""",
-        "predictions", extra=_LS,
-    ),
+def _sign_sql(x: str) -> str:
+    return f"CASE WHEN {x} = 0 THEN 0 WHEN {x} > 0 THEN 1 ELSE -1 END"
+
+
+_METRICS = S(
+    f"""SELECT 'return_summary' AS metric, field, value FROM (UNPIVOT ({_SUMMARY}) ON COLUMNS(*) INTO NAME field VALUE value) u
+    UNION ALL SELECT 'volatility', 'std_future_ret_5B', round(stddev_pop(future_ret_5B), 6) + 0 FROM predictions
+    UNION ALL SELECT 'accuracy', 'correct_predictions', CAST(count(CASE WHEN {_sign_sql('ensemble - 0.5')} = {_sign_sql('future_ret_5B')} THEN 1 END) AS DOUBLE) FROM predictions
+    UNION ALL SELECT 'accuracy', 'number_of_predictions', CAST(count(*) AS DOUBLE) FROM predictions
+    UNION ALL SELECT 'runs', field, value FROM (UNPIVOT (SELECT up AS up_periods, down AS down_periods, round(up / down, 6) + 0 AS up_down_ratio FROM
+      (SELECT {_run_sql('>')}::DOUBLE AS up, {_run_sql('<')}::DOUBLE AS down) x) ON COLUMNS(*) INTO NAME field VALUE value) v
+    UNION ALL SELECT 'return_quantiles', 'bucket_' || b, CAST(count(*) AS DOUBLE) FROM (SELECT {qcut_sql('future_ret_5B', None, 5, 1)} AS b FROM predictions) q WHERE b IS NOT NULL GROUP BY b""",
+    "predictions", "scores", extra=_LS,
 )
+
+
+@query("g08_metric_registry", _METRICS)
 def metric_registry(spark, d):
-    return rnd(G.run_metrics(_preds(spark, d), ["return_summary", "volatility"]))
+    return rnd(G.run_metrics(_preds(spark, d)))
+
+
+@query("s01_stream_metrics", _METRICS)
+def stream_metrics(spark, d):
+    """Two loads of predictions, each followed by the metrics of all rows so far; the last are returned."""
+    source, target, state = scratch(spark, "predictions"), scratch(spark, "metrics"), scratch(spark, "metrics-state")
+    rows, early = _preds(spark, d), F.col("date") < F.lit("1996-01-01").cast("date")
+    for part in (rows.where(early), rows.where(~early)):
+        part.write.mode("append").parquet(source)
+        ST.stream_metrics(ST.read_files(spark, source, rows.schema), source, target, state).awaitTermination()
+    made = spark.read.parquet(target)
+    return rnd(made.where(F.col("batch_id") == made.agg(F.max("batch_id")).scalar()).select("metric", "field", "value"))
 
 
 @query(

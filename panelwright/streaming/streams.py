@@ -26,7 +26,8 @@ def stream_bars(
 ) -> DataFrame:
     """Daily bars of a tick stream; a day is final once the watermark passes its end.
 
-    The state holds one bar per key and open day.
+    The state holds one bar per key and open day.  :func:`to_files` writes final days
+    only; :func:`to_versions` writes open days too and anew when they change.
     """
     at = F.struct(time, *order)
     return (
@@ -56,6 +57,28 @@ def to_files(df: DataFrame, target: str, checkpoint: str, format: str = "parquet
     )
 
 
+def to_versions(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write every changed row of an aggregate with its batch; a repeated batch overwrites its own rows."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return (
+        df.writeStream.outputMode("update").foreachBatch(put)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def newest(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """The last version of each key that :func:`to_versions` has written."""
+    rows = spark.read.parquet(target)
+    cols = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in cols])
+
+
 def stream_append(ticks: DataFrame, master: DataFrame, target: str, checkpoint: str, key: str = "ticker") -> StreamingQuery:
     """Incremental load: rows without a key dropped, ids joined, appended once."""
     known = lookup(ticks.where(F.col(key).isNotNull()), master, key, "inner", ["dcm_security_id"])
@@ -63,12 +86,18 @@ def stream_append(ticks: DataFrame, master: DataFrame, target: str, checkpoint:
 
 
 def stream_metrics(
-    predictions: DataFrame, target: str, checkpoint: str, names: Sequence[str] | None = None
+    predictions: DataFrame, table: str, target: str, checkpoint: str, names: Sequence[str] | None = None
 ) -> StreamingQuery:
-    """Strategy metrics of each updated prediction file; a repeated batch overwrites its own rows."""
+    """Strategy metrics of the whole ``table`` whenever rows are added to it.
+
+    ``predictions`` is the stream of that table's files; it only tells that there are
+    new ones.  A repeated batch overwrites its own rows.
+    """
+    schema = predictions.schema
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        out = run_metrics(batch, names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        whole = batch.sparkSession.read.schema(schema).parquet(table)
+        out = run_metrics(whole, names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,9 +12,12 @@ from panelwright.operators import crosssec as X
 from panelwright.operators import joins as J
 from panelwright.operators import order_stats as Q
 from panelwright.operators import picks as K
+from panelwright.operators import recursive
 from panelwright.operators import strategy as G
 from panelwright.operators.grid import densify
 from panelwright.operators.recursive import ewm
+from panelwright.operators.sizes import attach
+from panelwright.sources import readers as R
 
 
 def near(got, want, tol=1e-6):
@@ -242,3 +246,88 @@ def test_stable_sample(spark):
     a = K.stable_sample(df, 0.5, "id", ["g"])
     assert sorted(r["count"] for r in a.groupBy("g").count().collect()) == [25, 25]
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, K.stable_sample(df, 0.5, "id", ["g"]).collect()))
+
+
+def test_stable_sample_counts_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([(1, x) for x in range(7)] + [(2, 9)] * 3, "id bigint, x bigint")
+    got = sorted(map(tuple, K.stable_sample(df, 0.5, "id").collect()))
+    assert len(got) == 5 and not set(got) - set(map(tuple, df.collect()))
+    assert got == sorted(map(tuple, K.stable_sample(df, 0.5, "id").collect()))
+
+
+def test_densify_repeated_rows(spark):
+    rows = [(dt.date(2020, 1, d), t, x) for d, t, x in [(1, 1, 1.0), (3, 1, 2.0), (3, 1, 3.0), (2, 2, 4.0), (4, 2, 5.0)]]
+    grid = densify(spark.createDataFrame(rows, "date date, ticker bigint, x double")).where("ticker = 1")
+    got = sorted((r.date.day, r.x or 0.0) for r in grid.collect())
+    assert got == [(1, 1.0), (2, 0.0), (3, 2.0), (3, 3.0), (4, 0.0)]
+
+
+def test_nan_is_missing_on_scan(spark, tmp_path):
+    spark.createDataFrame([(1, float("nan"), "a"), (2, 1.5, None)], "k int, `x.y` double, s string").write.parquet(f"{tmp_path}/t")
+    assert sorted(map(tuple, R.read_table(spark, f"{tmp_path}/t").collect())) == [(1, None, "a"), (2, 1.5, None)]
+    kept = R.read_table(spark, f"{tmp_path}/t", nan_missing=False).where("k = 1").first()
+    assert kept["x.y"] != kept["x.y"]
+
+
+def test_one_nan_leaves_moments_after_its_window(series, values):
+    df = series([0.1, float("nan"), 0.05, 0.3, 0.1, 0.2]).withColumn("b", F.lit(1.0) - F.col("x") * F.col("x"))
+    near(values(C.rolling_moments(df, "x", "b", 3), "var_a"), [None] * 4 + [0.0175, 0.01])
+
+
+def test_a_time_is_not_broadcast_as_a_day(spark):
+    def plan(kind):
+        left = spark.range(10).select(F.timestamp_seconds(F.col("id")).cast(kind).alias("date"), "id")
+        right = left.groupBy("date").agg(F.max("id").alias("m"))
+        return attach(left, right, ["date"], max_rows=100)._jdf.queryExecution().analyzed().toString()
+
+    assert "strategy=broadcast" in plan("date")
+    assert "strategy=broadcast" not in plan("timestamp")
+
+
+def test_keyless_asof_takes_one_row_a_day(spark):
+    day = dt.date(2020, 1, 1)
+    left = spark.createDataFrame([(day, 1), (day + dt.timedelta(1), 1)], "date date, ticker bigint")
+    right = spark.createDataFrame([(day, 1.0), (day, 3.0)], "date date, m double")
+    assert [r.m for r in J.asof_join(left, right).collect()] == [3.0, 3.0]
+    assert [r.m for r in X.attach_macro(left, right).orderBy("date").collect()] == [3.0, None]
+
+
+def test_past_strikes_keep_all(spark):
+    for n in (3, 8):
+        df = spark.createDataFrame([(dt.date(2020, 1, 1 + i), 1, 4) for i in range(n)], "date date, ticker bigint, ensemble_qt int")
+        assert G.past_strikes(df).count() == n
+        assert G.past_strikes(df, drop_last=True).count() == n - 1
+
+
+def test_assembled_symbols_fill_over_days(spark):
+    rows = [(1, "A", 1, 5.0, 1.0), (1, "A", 2, None, 2.0), (2, "A", 1, None, 3.0), (2, "B", 1, 7.0, None), (3, "B", 1, 8.0, None)]
+    df = spark.createDataFrame([(dt.date(2020, 1, d), *x) for d, *x in rows], "date date, symbol string, n int, close double, volume double")
+    got = [tuple(r)[1:] for r in R.assemble_symbols(df, ["A", "B"], order=["n"]).orderBy("date").collect()]
+    assert got == [(5.0, 2.0, None, None), (5.0, 3.0, 7.0, None), (None, None, 8.0, None)]
+
+
+def test_factor_without_values_is_left_out(spark):
+    rows = [(dt.date(2020, 1, 1), i, float(i), None, 2.0 * i + (i % 2)) for i in range(6)]
+    df = spark.createDataFrame(rows, "date date, ticker bigint, a double, b double, y double")
+    both, one = (X.neutralize(df.select("date", "ticker", *f, "y"), f).orderBy("ticker").collect() for f in (["a", "b"], ["a"]))
+    near([r.y for r in both], [r.y for r in one], 1e-9)
+
+
+def test_smoothing_steps():
+    """Vectorised recursions against the steps they stand for."""
+    rng = np.random.default_rng(3)
+    x = np.cumsum(rng.normal(size=60)) + 50
+    n, change = 5, np.diff(x)
+    up, down = np.maximum(change, 0), np.maximum(-change, 0)
+    gain, loss, want = up[:n].mean(), down[:n].mean(), []
+    for i in range(n - 1, len(change)):
+        if i >= n:
+            gain, loss = (gain * (n - 1) + up[i]) / n, (loss * (n - 1) + down[i]) / n
+        want.append(100 * gain / (gain + loss))
+    got = recursive.wilder_rsi(x, n)
+    assert np.isnan(got[:n]).all() and np.allclose(got[n:], want)
+    gap = x.copy()
+    gap[30] = np.nan
+    assert np.allclose(recursive.wilder_rsi(gap, n)[:30], got[:30], equal_nan=True) and np.isnan(recursive.wilder_rsi(gap, n)[30:]).all()
+    flat = np.full(20, 3.0)
+    assert (recursive.wilder_rsi(flat, n)[n:] == 0).all() and (recursive.wilder_adx(flat, flat, flat, n)[2 * n - 1 :] == 0).all()
