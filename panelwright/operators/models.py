@@ -197,6 +197,16 @@ def model_segments(df: DataFrame, model_dates: Sequence[str], out: str = "model_
     return df.withColumn(out, pick.cast("date"))
 
 
+def predict_segments(sets: dict[str, dict[str, Model]], df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Each row scored by the models in force on its day, and by no others; ``sets`` is keyed by year and month."""
+    placed, out = model_segments(df, [f"{key}-01" for key in sets]), None
+    for key, models in sets.items():
+        mine = placed.where(F.col("model_date") == F.lit(f"{key}-01").cast("date"))
+        part = predict(models, mine, features, ["model_date"])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # Features of each theme.
 THEMES = {
     "Growth": ["revenue_growth", "grossmargin", "netmargin_indgrp", "netmargin", "capex_yield", "log_mktcap", "revenue_yield"],

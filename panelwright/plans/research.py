@@ -525,11 +525,7 @@ def hold_out_last_fold(spark, d):
 def rolling_retrain(spark, d):
     rows, feats = V.scores(spark, d), ["momentum_score", "calm_score"]
     sets = M.fit_rolling(rows, [(1998, 1), (2000, 1)], ["ols", "lasso"], feats, "future_ret_5B", scratch(spark, "models"), "append", 24)
-    parts = None
-    for key, models in sets.items():
-        scored = M.predict(models, rows, feats).withColumn("model_date", F.lit(f"{key}-01").cast("date"))
-        parts = scored if parts is None else parts.unionByName(scored)
-    return rnd(J.stitch_segments(parts, parts.select("model_date")))
+    return rnd(M.predict_segments(sets, rows, feats))
 
 
 _SCORE_COLS = ["momentum_score", "calm_score", "size_score"]
