@@ -221,6 +221,18 @@ def numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("double") for c in cols})
 
 
+def percent_text(c: str | Column, digits: int = 2) -> Column:
+    """A number as text with a percent sign; null stays null."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f%%", x.cast("double") + 0.0))
+
+
+def signed_text(c: str | Column, digits: int = 2) -> Column:
+    """A number as text with its sign, zero without one; null stays null."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(x == 0, F.format_string(f"%.{digits}f", F.abs(x))).when(x.isNotNull(), F.format_string(f"%+.{digits}f", x))
+
+
 def to_day(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.to_date(c) for c in cols})
 

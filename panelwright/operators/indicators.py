@@ -52,22 +52,31 @@ def prepared(
     return frame.withColumns(moved)
 
 
+def _only_new(prices: DataFrame, add: Callable[..., DataFrame], **params) -> DataFrame:
+    """The keys and the columns that ``add`` makes; it keeps every row."""
+    rows = prices.select(TIME, KEY, *[c for c in ("open", "high", "low", "close", "volume") if c in prices.columns])
+    made = add(rows, **params)
+    return made.select(TIME, KEY, *[c for c in made.columns if c not in rows.columns])
+
+
 def smoothed(df: DataFrame, c: str, n: int, out: str) -> DataFrame:
     """Moving average over the non-null rows of a security."""
     return df.where(F.col(c).isNotNull()).withColumn(out, rolling(c, n))
 
 
-def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), price: str = "close") -> DataFrame:
-    """Annualised deviation of log returns over the security's own rows, moved down one row."""
+def add_volatility(df: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), price: str = "close") -> DataFrame:
     shift = 0 if price == "open" else 1
-    logs = prices.select(TIME, KEY, F.ln(price).alias("_x")).withColumn(
-        "_r", lag_n("_x", shift) - lag_n("_x", shift + 1)
-    )
+    logs = df.withColumn("_x", F.ln(price)).withColumn("_r", lag_n("_x", shift) - lag_n("_x", shift + 1))
     return logs.withColumns(
         {f"volatility_{n}": rolling("_r", n, "std") * F.sqrt(F.lit(252.0)) for n in lookbacks}
     ).drop("_x", "_r")
 
 
+def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), price: str = "close") -> DataFrame:
+    """Annualised deviation of log returns over the security's own rows, moved down one row."""
+    return _only_new(prices, add_volatility, lookbacks=lookbacks, price=price)
+
+
 def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
     """Williams %R and its moving average."""
     base = prepared(prices, ["high", "low", "close"], **prep)
@@ -105,15 +114,18 @@ def stoch(prices: DataFrame, fastk: int = 5, slowk: int = 3, slowd: int = 3, **p
     return lines.where(F.col(d).isNotNull()).select(TIME, KEY, k, d)
 
 
-def ppo(prices: DataFrame, fast: int = 12, slow: int = 26, sign: float = -1.0, price: str = "close", limit: int | None = 3) -> DataFrame:
-    """Percentage price oscillator of two simple averages over the security's own rows."""
+def add_ppo(df: DataFrame, fast: int = 12, slow: int = 26, sign: float = -1.0, price: str = "close", limit: int | None = 3) -> DataFrame:
     shift = 0 if price == "open" else 1
-    filled = prices.select(TIME, KEY, F.col(price).alias("_x")).withColumn("_x", ffill("_x", limit))
+    filled = df.withColumn("_x", F.col(price)).withColumn("_x", ffill("_x", limit))
     quick, slowly = min(fast, slow), max(fast, slow)
     parts = filled.withColumns({"_f": rolling("_x", quick), "_s": rolling("_x", slowly)})
     value = F.when(F.col("_s") == 0, 0.0).otherwise((F.col("_f") - F.col("_s")) / F.nullif("_s", F.lit(0.0)) * 100.0)
-    name = f"PPO_{fast}_{slow}"
-    return parts.withColumn("_p", sign * value).select(TIME, KEY, lag_n("_p", shift).alias(name))
+    return parts.withColumn("_p", sign * value).withColumn(f"PPO_{fast}_{slow}", lag_n("_p", shift)).drop("_x", "_f", "_s", "_p")
+
+
+def ppo(prices: DataFrame, fast: int = 12, slow: int = 26, sign: float = -1.0, price: str = "close", limit: int | None = 3) -> DataFrame:
+    """Percentage price oscillator of two simple averages over the security's own rows."""
+    return _only_new(prices, add_ppo, fast=fast, slow=slow, sign=sign, price=price, limit=limit)
 
 
 def ultosc(prices: DataFrame, n: Sequence[int] = (7, 14, 28), smooth: int = 3, **prep) -> DataFrame:
@@ -148,21 +160,25 @@ def dollar_volume(prices: DataFrame, n: int = 21) -> DataFrame:
     return means.select(TIME, KEY, lag_n("_p", 1).alias("avg_price"), lag_n("_d", 1).alias("avg_dollar_volume"))
 
 
+def add_overnight_return(df: DataFrame) -> DataFrame:
+    rows = df.withColumns({"_o": half_even("open", 3), "_c": half_even("close", 3)}).withColumn("_pc", ffill("_c", None, shift=1))
+    return rows.withColumn("overnight_return", ratio(F.coalesce("_o", "_pc"), "_pc") - 1).drop("_o", "_c", "_pc")
+
+
 def overnight_return(prices: DataFrame) -> DataFrame:
     """Open against the previous close; a missing open counts as that close."""
-    rows = prices.select(TIME, KEY, half_even("open", 3).alias("_o"), half_even("close", 3).alias("_c"))
-    prev = rows.withColumn("_pc", ffill("_c", None, shift=1))
-    return prev.select(TIME, KEY, (ratio(F.coalesce("_o", "_pc"), "_pc") - 1).alias("overnight_return"))
+    return _only_new(prices, add_overnight_return)
 
 
-def past_returns(prices: DataFrame, lags: Sequence[int] = (1, 2, 5, 10, 21, 63, 126, 252), price: str = "close") -> DataFrame:
-    """Returns over the security's own rows up to the row before; missing as 0."""
+def add_past_returns(df: DataFrame, lags: Sequence[int] = (1, 2, 5, 10, 21, 63, 126, 252), price: str = "close") -> DataFrame:
     shift = 0 if price == "open" else 1
     now = lag_n(price, shift) if shift else F.col(price)
-    return prices.select(
-        TIME, KEY,
-        *[F.coalesce(ratio(now, lag_n(price, shift + k)) - 1, F.lit(0.0)).alias(f"ret_{k}B") for k in lags],
-    )
+    return df.withColumns({f"ret_{k}B": F.coalesce(ratio(now, lag_n(price, shift + k)) - 1, F.lit(0.0)) for k in lags})
+
+
+def past_returns(prices: DataFrame, lags: Sequence[int] = (1, 2, 5, 10, 21, 63, 126, 252), price: str = "close") -> DataFrame:
+    """Returns over the security's own rows up to the row before; missing as 0."""
+    return _only_new(prices, add_past_returns, lags=lags, price=price)
 
 
 def future_returns(
@@ -299,13 +315,38 @@ INDICATORS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+# these add columns to a security's own rows and keep every row
+OWN_ROWS: dict[str, Callable[..., DataFrame]] = {
+    "volatility": add_volatility,
+    "ppo": add_ppo,
+    "overnight_return": add_overnight_return,
+    "past_returns": add_past_returns,
+}
+
+
 def indicators(prices: DataFrame, configs: Sequence[tuple[str, dict]]) -> DataFrame:
-    """Several indicators or configurations, by name, aligned on (date, security)."""
+    """Several indicators or configurations, by name, aligned on (date, security).
+
+    All that work on the security's own rows come from one frame, so their windows
+    share one exchange and one sort; those on the grid or on smoothed rows are joined.
+    """
     from panelwright.operators.recursive import RECURSIVE
 
     known = {**INDICATORS, **RECURSIVE}
-    tables = [known[name](prices, **params) for name, params in configs]
-    return reduce(lambda a, b: a.join(b, [TIME, KEY], "full"), tables)
+    own, made = prices, {}
+    for i, (name, params) in enumerate(configs):
+        if name in OWN_ROWS:
+            wider = OWN_ROWS[name](own, **params)
+            made[i] = [c for c in wider.columns if c not in own.columns]
+            own = wider
+    tables = [own.select(TIME, KEY, *[c for names in made.values() for c in names])] if made else []
+    for i, (name, params) in enumerate(configs):
+        if i not in made:
+            table = known[name](prices, **params)
+            made[i] = [c for c in table.columns if c not in (TIME, KEY)]
+            tables.append(table)
+    whole = reduce(lambda a, b: a.join(b, [TIME, KEY], "full"), tables)
+    return whole.select(TIME, KEY, *[c for i in range(len(configs)) for c in made[i]])
 
 
 __all__ = [

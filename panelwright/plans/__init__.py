@@ -1,4 +1,4 @@
 from panelwright.plans.registry import ORACLES, QUERIES
-from panelwright.plans import core, joining, research, technical  # noqa: F401
+from panelwright.plans import configurations, core, joining, research, technical  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

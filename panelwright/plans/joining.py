@@ -13,9 +13,10 @@ from panelwright.operators import picks as K
 from panelwright.operators.crosssec import attach_macro, demean, group_means
 from panelwright.plans import views as V
 from panelwright.plans.registry import query, r, rnd, rs
+from panelwright.plans.technical import own_rows_sql
 from panelwright.plans.views import over, roll
 from panelwright.plans.views import with_views as S
-from panelwright.session import scratch
+from panelwright.session import durable, scratch
 from panelwright.sources import readers as R
 from panelwright.sources import writers as O
 from panelwright.streaming import streams as ST
@@ -24,23 +25,17 @@ W = "WINDOW w AS (PARTITION BY ticker ORDER BY date)"
 _EXT = "(TIMESTAMP '1970-01-01')"
 
 # joins ---------------------------------------------------------------------
-@query(
-    "j01_merge_feature_tables",
-    S(
-        f"""SELECT p.date, p.ticker, {r('o.x', 'overnight_return')}, {r('v.vol', 'volatility_21')}, {r('q.p', 'PPO_12_26')}, {r('t.r5', 'ret_5B')} FROM prices p
-        LEFT JOIN (SELECT date, ticker, open / lag(close) OVER w - 1 AS x FROM (SELECT date, ticker, round_even(open * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE AS open,
-          round_even(close * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE AS close FROM prices) a {W}) o ON o.date = p.date AND o.ticker = p.ticker
-        LEFT JOIN (SELECT date, ticker, {roll('stddev_samp', 'lr', 21)} * sqrt(252) AS vol FROM
-          (SELECT date, ticker, ln(lag(close, 1) OVER w) - ln(lag(close, 2) OVER w) AS lr FROM prices {W}) x) v ON v.date = p.date AND v.ticker = p.ticker
-        LEFT JOIN (SELECT date, ticker, lag(x) OVER w AS p FROM (SELECT date, ticker, -100.0 * ({roll('avg', 'close', 12)} - {roll('avg', 'close', 26)}) / {roll('avg', 'close', 26)} AS x FROM prices) b {W}) q
-          ON q.date = p.date AND q.ticker = p.ticker
-        LEFT JOIN (SELECT date, ticker, coalesce(lag(close, 1) OVER w / lag(close, 6) OVER w - 1, 0) AS r5 FROM prices {W}) t ON t.date = p.date AND t.ticker = p.ticker""",
-        "prices",
-    ),
-)
+_WILLR = f"""LEFT JOIN (SELECT date, ticker, w5, {roll('avg', 'w5', 3)} AS m5 FROM
+        (SELECT date, ticker, CASE WHEN hh = ll THEN 0.0 ELSE (hh - close) / (hh - ll) * -100 END AS w5 FROM
+          (SELECT date, ticker, close, {roll('max', 'high', 5)} AS hh, {roll('min', 'low', 5)} AS ll FROM prep3) a
+          WHERE hh IS NOT NULL AND ll IS NOT NULL AND close IS NOT NULL) b) y USING (date, ticker)"""
+
+
+@query("j01_merge_feature_tables", S(own_rows_sql(f", {r('y.w5', 'WILLR_5')}, {r('y.m5', 'WILLR_5_MA_3')}", _WILLR), "prices", "prep3"))
 def merge_feature_tables(spark, d):
-    rows = V.prices(spark, d)
-    tables = [T.volatility(rows, [21]), T.ppo(rows, 12, 26), T.past_returns(rows, [5])]
+    rows = durable(V.prices(spark, d))  # read by sixteen tables
+    tables = [T.volatility(rows, [n]) for n in (63, 21, 126)] + [T.ppo(rows, a, b) for a, b in ((12, 26), (3, 14), (21, 126))]
+    tables += [T.past_returns(rows, [n]) for n in (1, 2, 5, 10, 21, 63, 126, 252)] + [T.willr(rows, 5)]
     return rnd(J.merge_panel(T.overnight_return(rows), tables))
 
 

@@ -121,17 +121,18 @@ def _ult_terms() -> str:
     return f"100.0 * ({' + '.join(terms)}) / 7.0"
 
 
-@query(
-    "t10_ultimate_oscillator",
-    S(
+def _ultosc_sql(view: str) -> str:
+    return S(
         f"""SELECT date, ticker, {r('u', 'ULTOSC_7_14_28')}, {r(roll('avg', 'u', 3), 'ULTOSC_7_14_28_MA_3')} FROM
         (SELECT date, ticker, CASE WHEN {roll('sum', 'tr', 28)} IS NOT NULL THEN {_ult_terms()} END AS u FROM
           (SELECT date, ticker, CASE WHEN pc IS NOT NULL THEN close - least(low, pc) END AS bp,
             CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(pc - high), abs(pc - low)) END AS tr FROM
-            (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS pc FROM prepall) a) b) c WHERE u IS NOT NULL""",
-        "prepall",
-    ),
-)
+            (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS pc FROM {view}) a) b) c WHERE u IS NOT NULL""",
+        view,
+    )
+
+
+@query("t10_ultimate_oscillator", _ultosc_sql("prepall"))
 def ultosc(spark, d):
     return rnd(T.ultosc(V.prices(spark, d), fill_limit=None))
 
@@ -305,23 +306,36 @@ def turnover_volatility(spark, d):
     return rnd(turnover_vol(rows, 4))
 
 
-@query(
-    "t20_many_configurations",
-    S(
-        f"""SELECT date, ticker, {r(roll('avg', 'close', 5), 's5')}, {r(roll('avg', 'close', 14), 's14')} FROM prices""",
-        "prices",
-    ),
-)
-def many_configurations(spark, d):
-    # one frame, shared partitioning: every configuration is a column of the same window pass
-    return rnd(V.prices(spark, d).select("date", "ticker", *[C.rolling("close", n).alias(f"s{n}") for n in (5, 14)]))
-
-
 def _ppo_term(fast: int, slow: int) -> str:
     return f"""SELECT date, ticker, lag(p) OVER w AS p FROM (SELECT date, ticker, -1.0 * (f - s) / s * 100 AS p FROM
       (SELECT date, ticker, {roll('avg', 'close', fast)} AS f, {roll('avg', 'close', slow)} AS s FROM prices) a) b {W}"""
 
 
+_PAIRS, _BACK = ((12, 26), (3, 14), (21, 126)), (63, 21, 126)
+_VOL_SQL = f"""SELECT date, ticker, {", ".join(f"{roll('stddev_samp', 'lr', n)} * sqrt(252) AS v{n}" for n in _BACK)} FROM
+  (SELECT date, ticker, ln(lag(close, 1) OVER w) - ln(lag(close, 2) OVER w) AS lr FROM prices {W}) x"""
+_OVERNIGHT_SQL = f"""SELECT date, ticker, o / lag(c) OVER w - 1 AS x FROM
+  (SELECT date, ticker, {cents('open', '1000.0::DOUBLE')} AS o, {cents('close', '1000.0::DOUBLE')} AS c FROM prices) a {W}"""
+_PAST_SQL = f"SELECT date, ticker, {', '.join(f'coalesce(lag(close, 1) OVER w / lag(close, {k + 1}) OVER w - 1, 0) AS r{k}' for k in _LAGS)} FROM prices {W}"
+_OWN_COLUMNS = ", ".join(
+    [r("o.x", "overnight_return")] + [r(f"v.v{n}", f"volatility_{n}") for n in _BACK] + [r(f"q{i}.p", f"PPO_{a}_{b}") for i, (a, b) in enumerate(_PAIRS)] + [r(f"t.r{k}", f"ret_{k}B") for k in _LAGS]
+)
+
+
+def own_rows_sql(more: str = "", joins: str = "") -> str:
+    """All configurations on own rows, one table each, joined to the prices."""
+    return f"""SELECT p.date, p.ticker, {_OWN_COLUMNS}{more} FROM (SELECT date, ticker FROM prices) p JOIN ({_OVERNIGHT_SQL}) o USING (date, ticker)
+        JOIN ({_VOL_SQL}) v USING (date, ticker) JOIN ({_PAST_SQL}) t USING (date, ticker)
+        {" ".join(f"JOIN ({_ppo_term(a, b)}) q{i} USING (date, ticker)" for i, (a, b) in enumerate(_PAIRS))} {joins}"""
+
+
+@query("t20_many_configurations", S(own_rows_sql(), "prices"))
+def many_configurations(spark, d):
+    # every configuration is a column of the same pass over the security's rows
+    pairs = [("ppo", {"fast": a, "slow": b}) for a, b in _PAIRS]
+    return rnd(T.indicators(V.prices(spark, d), [("overnight_return", {}), ("volatility", {"lookbacks": _BACK}), *pairs, ("past_returns", {"lags": _LAGS})]))
+
+
 @query(
     "j11_full_outer_indicators",
     S(

@@ -19,7 +19,8 @@ CHOSEN = [
     "x04_qcut_global", "x08_population_split", "t03_williams_r_63", "t05_adx", "t15_beta", "t16_correlation", "t17_liquidity",
     "j08_asof_backward", "j09_filings_asof_daily", "j15_paths_after_strikes", "c03_offset_days", "r04_transform_macro",
     "m05_ensemble", "m15_factor_return", "g02_return_summary", "g05_run_ratio", "i02_contribution_shares", "i06_waterfall", "snk03_incremental_append",
-    "s02_stream_bars", "s03_stream_append",
+    "s02_stream_bars", "s03_stream_append", "t20_many_configurations", "t01_stochastic_rsi_14_5_3", "t05_adx_5_grid",
+    "src18_lineage", "src19_intervals_from_text", "fn_percent_and_signed_text", "fn_display_names",
 ]
 
 

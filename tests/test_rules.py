@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import columns as C
 from panelwright.operators import calendar as CAL
 from panelwright.operators import crosssec as X
+from panelwright.operators import indicators
 from panelwright.operators import joins as J
 from panelwright.operators import order_stats as Q
 from panelwright.operators import picks as K
@@ -331,3 +332,24 @@ def test_smoothing_steps():
     assert np.allclose(recursive.wilder_rsi(gap, n)[:30], got[:30], equal_nan=True) and np.isnan(recursive.wilder_rsi(gap, n)[30:]).all()
     flat = np.full(20, 3.0)
     assert (recursive.wilder_rsi(flat, n)[n:] == 0).all() and (recursive.wilder_adx(flat, flat, flat, n)[2 * n - 1 :] == 0).all()
+
+
+def test_configurations_on_own_rows_share_one_sort(spark):
+    rows = spark.createDataFrame(
+        [(dt.date(2020, 1, 1) + dt.timedelta(days=i), t, 1.0 + i, 2.0 + i, 0.5 + i, 1.5 + i, 10.0) for i in range(6) for t in (1, 2)],
+        "date date, ticker bigint, open double, high double, low double, close double, volume double",
+    )
+    configs = [("ppo", {"fast": 2, "slow": 3}), ("stochf", {"fastk": 2, "fastd": 2}), ("past_returns", {"lags": [1]}), ("volatility", {"lookbacks": [2]})]
+    both = indicators.indicators(rows, configs)
+    assert both.columns[:3] == ["date", "ticker", "PPO_2_3"] and both.columns[-2:] == ["ret_1B", "volatility_2"]
+    alone = {(r.date, r.ticker): r.PPO_2_3 for r in indicators.ppo(rows, 2, 3).collect()}
+    assert {(r.date, r.ticker): r.PPO_2_3 for r in both.collect()} == alone
+    own = indicators.indicators(rows, [configs[0], *configs[2:]])
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_numbers_as_text(spark):
+    rows = spark.createDataFrame([(1.5,), (-0.25,), (0.0,), (None,)], "x double")
+    found = rows.select(C.percent_text("x").alias("p"), C.signed_text("x").alias("s")).collect()
+    assert [tuple(r) for r in found] == [("1.50%", "+1.50"), ("-0.25%", "-0.25"), ("0.00%", "0.00"), (None, None)]
