@@ -515,6 +515,53 @@ def grouped_cross_validation(spark, d):
     return rnd(model.stages[0].transform(rows.fillna(0.0)).select("date", "ticker", "features").transform(lambda f: model.stages[1].transform(f)).select("date", "ticker", "lasso"))
 
 
+# the fits below are iterative and agree with the closed form to about seven digits, hence two in the result
+def _penalized_sql(reg: str, share: float) -> str:
+    """Slope of a penalized fit on one standardized feature, from n, c, sx and sy; ``share`` of the penalty is absolute."""
+    left = f"greatest(abs(c) * (n - 1) / n - {share} * {reg} / sy, 0)"
+    return f"sign(c) * {left} / ((n - 1) / n + {1 - share} * {reg} / sy) * sy / sx"
+
+
+_STATS = "count(*)::DOUBLE AS n, corr(x, y) AS c, stddev_samp(x) AS sx, stddev_samp(y) AS sy, avg(x) AS mx, avg(y) AS my"
+
+
+@query(
+    "m01_fit_penalized",
+    S(
+        f"""SELECT date, ticker, {r('my + b1 * (x - mx)', 'lasso', 2)}, {r('my + b2 * (x - mx)', 'enet', 2)} FROM reg,
+        (SELECT *, {_penalized_sql('0.001', 1.0)} AS b1, {_penalized_sql('0.001', 0.5)} AS b2 FROM (SELECT {_STATS} FROM reg) s) k""",
+        "scores", extra=_REG,
+    ),
+)
+def fit_penalized(spark, d):
+    rows = V.scores(spark, d)
+    models = {a: M.fit(rows, ["calm_score"], "future_ret_5B", a) for a in ("lasso", "enet")}
+    return rnd(M.predict(models, rows, ["calm_score"]), 2)
+
+
+_GRID = (0.0001, 0.001, 0.01)
+
+
+@query(
+    "m02_penalty_by_folds",
+    S(
+        f"""SELECT date, ticker, {r('my + b * (x - mx)', 'lasso', 2)} FROM reg,
+        (SELECT my, mx, {_penalized_sql('reg', 1.0)} AS b FROM (SELECT {_STATS} FROM reg) a, (SELECT reg FROM tried ORDER BY mean_r2 DESC, reg LIMIT 1) t) k""",
+        "scores",
+        extra=_REG
+        + f""",
+folded AS (SELECT *, {_fold_sql('>')} AS f FROM reg),
+trained AS (SELECT k.f, {_STATS} FROM folded o JOIN (SELECT DISTINCT f FROM folded) k ON o.f <> k.f GROUP BY k.f),
+tried AS (SELECT reg, avg(r2) AS mean_r2 FROM (SELECT reg, t.f, 1 - sum((y - my - b * (x - mx)) * (y - my - b * (x - mx))) / (var_pop(y) * count(y)) AS r2 FROM folded h
+  JOIN (SELECT f, reg, my, mx, {_penalized_sql('reg', 1.0)} AS b FROM trained, (VALUES {", ".join(f"({g}::DOUBLE)" for g in _GRID)}) v(reg)) t ON t.f = h.f GROUP BY reg, t.f) e GROUP BY reg)""",
+    ),
+)
+def penalty_by_folds(spark, d):
+    rows = X.fold_by_cuts(V.scores(spark, d), _CUTS)
+    model = M.fit(rows, ["calm_score"], "future_ret_5B", "lasso", "fold_id", {"regParam": list(_GRID)})
+    return rnd(M.predict({"lasso": model}, rows, ["calm_score"]), 2)
+
+
 @query("m03_hold_out_last_fold", S(f"SELECT date, ticker, fold_id FROM (SELECT date, ticker, CAST({_fold_sql('>')} AS INTEGER) AS fold_id FROM months) f WHERE fold_id < (SELECT max({_fold_sql('>')}) FROM months)", "months"))
 def hold_out_last_fold(spark, d):
     train, _ = M.hold_out_last(X.fold_by_cuts(V.months(spark, d).select("date", "ticker"), _CUTS))
@@ -528,6 +575,27 @@ def rolling_retrain(spark, d):
     return rnd(M.predict_segments(sets, rows, feats))
 
 
+_PERIODS = ((1995, 1), (1997, 7), (2000, 1))
+
+
+@query(
+    "m04_rolling_ols",
+    S(
+        f"""SELECT date, ticker, md AS model_date, {r('a + b * x', 'ols')} FROM (SELECT *, (SELECT coalesce(max(md), (SELECT min(md) FROM periods)) FROM periods WHERE md <= date) AS md FROM reg) g
+        JOIN (SELECT md, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM reg JOIN days USING (date)
+          JOIN (SELECT md, min(s) AS upto FROM periods JOIN days ON date_trunc('month', days.date) = md GROUP BY md) l ON s <= upto AND s > upto - 106 GROUP BY md) k USING (md)""",
+        "scores",
+        extra=_REG
+        + f""",
+periods AS (SELECT * FROM (VALUES {", ".join(f"(DATE '{y}-{m:02d}-01')" for y, m in _PERIODS)}) v(md)),
+days AS (SELECT date, row_number() OVER (ORDER BY date) AS s FROM (SELECT DISTINCT date FROM reg) d)""",
+    ),
+)
+def rolling_ols(spark, d):
+    rows = V.scores(spark, d)
+    return rnd(M.predict_segments(M.fit_rolling(rows, _PERIODS, ["ols"], ["calm_score"], "future_ret_5B"), rows, ["calm_score"]))
+
+
 _SCORE_COLS = ["momentum_score", "calm_score", "size_score"]
 
 
