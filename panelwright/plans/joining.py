@@ -16,7 +16,7 @@ from panelwright.plans.registry import query, r, rnd, rs
 from panelwright.plans.technical import own_rows_sql
 from panelwright.plans.views import over, roll
 from panelwright.plans.views import with_views as S
-from panelwright.session import durable, scratch
+from panelwright.session import scratch
 from panelwright.sources import readers as R
 from panelwright.sources import writers as O
 from panelwright.streaming import streams as ST
@@ -33,10 +33,11 @@ _WILLR = f"""LEFT JOIN (SELECT date, ticker, w5, {roll('avg', 'w5', 3)} AS m5 FR
 
 @query("j01_merge_feature_tables", S(own_rows_sql(f", {r('y.w5', 'WILLR_5')}, {r('y.m5', 'WILLR_5_MA_3')}", _WILLR), "prices", "prep3"))
 def merge_feature_tables(spark, d):
-    rows = durable(V.prices(spark, d))  # read by sixteen tables
-    tables = [T.volatility(rows, [n]) for n in (63, 21, 126)] + [T.ppo(rows, a, b) for a, b in ((12, 26), (3, 14), (21, 126))]
-    tables += [T.past_returns(rows, [n]) for n in (1, 2, 5, 10, 21, 63, 126, 252)] + [T.willr(rows, 5)]
-    return rnd(J.merge_panel(T.overnight_return(rows), tables))
+    # the tables on own rows are one pass over the bars; the one on the grid is joined
+    own = [("volatility", {"lookbacks": [n]}) for n in (63, 21, 126)] + [("ppo", {"fast": a, "slow": b}) for a, b in ((12, 26), (3, 14), (21, 126))]
+    own += [("past_returns", {"lags": [n]}) for n in (1, 2, 5, 10, 21, 63, 126, 252)]
+    rows = V.prices(spark, d)
+    return rnd(J.merge_panel(T.indicators(rows, [("overnight_return", {}), *own]), [T.willr(rows, 5)]))
 
 
 @query("j02_inner_dimension_map", S(f"SELECT date, p.ticker, m.ticker AS name, {r('close')} FROM prices p JOIN master m ON m.dcm_security_id = p.ticker", "prices", "master"))
