@@ -66,27 +66,41 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, shard: int = SH
     return dealt.groupBy("shard").applyInArrow(vptree.shard_links(radius), "u long, v long")
 
 
+def _groups(known: DataFrame, radius: int) -> DataFrame:
+    """(fp, group, component): the smallest fingerprint linked with each one, and the smallest id of the group."""
+    distinct = written(known.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(LAST_ID))).alias("doc")))
+    found = components(link_fingerprints(distinct.select("fp", F.col("fp").alias("doc")), radius))
+    placed = distinct.join(found, distinct.fp == found.node, "left").select("fp", "doc", F.coalesce("component", "fp").alias("group"))
+    return placed.join(placed.groupBy("group").agg(F.min("doc").alias("component")), "group").select("fp", "group", "component")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """(id, fp, component): fingerprint of each row and the smallest id linked with it, itself included.
 
-    Two rows are linked when their fingerprints differ in ``radius`` bits or fewer.
-    A null id counts as the largest id where components are named.
+    Two rows are linked when their fingerprints differ in ``radius`` bits or fewer,
+    whatever their ids.  A null id counts as the largest id where components are named.
     """
     known = written(fingerprints(docs, id_col, text_col, shingle))
-    distinct = written(known.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(LAST_ID))).alias("doc")))
-    found = components(link_fingerprints(distinct, radius))
-    named = distinct.join(found, distinct.doc == found.node, "left").select("fp", F.coalesce("component", "doc").alias("component"))
-    return known.join(named, "fp").select("id", "fp", "component")
+    return known.join(_groups(known, radius).drop("group"), "fp").select("id", "fp", "component")
+
+
+def one_row(docs: DataFrame, first: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each (doc, t) of ``first``: an id, null as the largest, and the hash of a text, null as empty."""
+    key, t = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    some = docs.select(key.alias("_doc"), t.alias("_t"), F.struct("*").alias("_row")).join(first.toDF("_doc", "_t"), ["_doc", "_t"], "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_doc", "_t").orderBy(F.lit(1)))
+    return some.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id.
+    """One document of each group of near duplicates, that of the smallest id and then text hash.
 
-    Ids name documents: of several rows with one id, that with the smallest text hash stays.  A row with a null id stays only if no row with an id is linked with it.
+    Rows that share an id, or have none, are documents of their own, grouped by their texts alone.
     """
-    groups = near_duplicates(docs, id_col, text_col, radius, shingle)
-    first = groups.where(F.coalesce("id", F.lit(LAST_ID)) == F.col("component")).select(F.coalesce("id", F.lit(LAST_ID)).alias("_keep")).distinct()
-    key, order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)), F.xxhash64(f"`{text_col}`")
-    one = docs.select(key.alias("_keep"), order.alias("_order"), F.struct("*").alias("_row")).join(first, "_keep", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_keep").orderBy("_order"))
-    return one.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
+    t = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    texts = docs.select(t.alias("t"), F.col(f"`{text_col}`").alias("text"))
+    known = written(fingerprints(texts, "t", "text", shingle).toDF("t", "fp").distinct())
+    ids = docs.select(t.alias("t"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc")).groupBy("t").agg(F.min("doc").alias("doc"))
+    groups = _groups(known.select(F.col("t").alias("id"), "fp"), radius)
+    first = known.join(groups, "fp").join(ids, "t").groupBy("group").agg(F.min(F.struct("doc", "t")).alias("first"))
+    return one_row(docs, first.select("first.doc", "first.t"), id_col, text_col)

@@ -242,6 +242,16 @@ def test_near_duplicates_equal_brute_force(docs, empty):
     assert kept.columns == docs.columns and near_docs.near_duplicates(empty).count() == 0
 
 
+def test_near_documents_without_unique_ids_stay(spark):
+    words = lambda i, n=60: " ".join(f"w{(i * 7919 + j * j * (i + 3)) % 997}" for j in range(n))
+    rows = [(None, words(i)) for i in range(6)] + [(5, words(i)) for i in range(10, 14)] + [(5, words(2)), (9, words(3)), (9, words(3))]
+    kept = near_docs.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, words(i)) for i in (0, 1, 4, 5)] + [(5, words(i)) for i in range(10, 14)] + [(5, words(2)), (9, words(3))]
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame(want, "doc_id long, text string").collect()))
+    found = near_docs.near_duplicates(spark.createDataFrame([(1, words(1)), (2, words(1)), (2, words(2)), (3, words(2))], "doc_id long, text string")).collect()
+    assert sorted((r.id, r.component) for r in found) == [(1, 1), (2, 1), (2, 2), (3, 2)]
+
+
 def test_vantage_point_shards(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400, dtype=np.int64)
