@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from panelwright.llm import bpe, chat, html, language, mixing, near_docs, search, substrings, suffix_tree, topk, vptree
+from panelwright.llm import bpe, chat, html, language, mixing, near_docs, search, similar, substrings, suffix_tree, topk, vptree
 from panelwright.llm.queries import TOKENIZER
 from panelwright.llm.simhash import shingle_hashes
 
@@ -252,6 +252,38 @@ def test_near_documents_without_unique_ids_stay(spark):
     assert sorted((r.id, r.component) for r in found) == [(1, 1), (2, 1), (2, 2), (3, 2)]
 
 
+def test_similar_documents_equal_brute_force(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for i in range(40):
+        body = [rng.choice(words) for _ in range(rng.choice([3, 40, 150, 400]))]
+        rows.append((i, " ".join(body)))
+        for share in (0.005, 0.015, 0.03, 0.1):
+            near = list(body)
+            for at in range(len(near)):
+                near[at] = rng.choice(words) if rng.random() < share else near[at]
+            rows.append((len(rows) + 1000, "\n".join(near).upper() if i % 5 == 0 else "  ".join(near)))
+    rows += [(None, rows[0][1] + " more"), (None, None), (3000, ""), (3001, " \n")]
+    sets = []
+    for _, t in rows:
+        ws = (t or "").lower().split()
+        sets.append({tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))})
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    root = list(range(len(rows)))
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if alike(sets[a], sets[b])]
+    while any(root[a] != root[b] for a, b in pairs):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(root):
+        groups[r].append(rows[i][0] if rows[i][0] is not None else 2**63 - 1)
+    kept = similar.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(map(min, groups.values())) and len(groups) < len(rows) - 60
+    stage = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert stage.count() == len(groups)
+
+
 def test_vantage_point_shards(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400, dtype=np.int64)
