@@ -43,7 +43,7 @@ def _seeds(h: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[np.n
 def _hashed(column: pa.Array) -> Iterator[tuple]:
     for first, end, buf, offsets in w.text_slices(column):
         starts, ends, bounds = w.split_words(buf, offsets)
-        yield first, end, buf, starts, ends, bounds, w.hash_spans(buf, starts, ends)
+        yield first, end, buf, offsets, starts, ends, bounds, w.hash_spans(buf, starts, ends)
 
 
 def _first_of(*keys: np.ndarray) -> np.ndarray:
@@ -62,7 +62,7 @@ def _seed_rows(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text_id = w.longs(batch.column(0))
-            for first, _, _, _, _, bounds, h in _hashed(batch.column(1)):
+            for first, _, _, _, _, _, bounds, h in _hashed(batch.column(1)):
                 grams, _, at = _seeds(h, bounds, length, k)
                 if not len(at):
                     continue
@@ -101,7 +101,7 @@ def _window_rows(length: int, k: int):
             if not len(mine):
                 continue
             shared, doc = shared.take(pa.array(mine)), doc[mine]
-            for first, end, _, _, _, bounds, h in _hashed(batch.column(3).take(pa.array(mine))):
+            for first, end, _, _, _, _, bounds, h in _hashed(batch.column(3).take(pa.array(mine))):
                 grams, inside, at = _seeds(h, bounds, length, k)
                 if not len(at):
                     continue
@@ -132,11 +132,28 @@ def _window_rows(length: int, k: int):
     return run
 
 
-def _cut(length: int):
+def _closed(raw: bytes, first: int, end: int, starts: np.ndarray, ends: np.ndarray, gone: np.ndarray) -> bytes:
+    """The text at first .. end of ``raw`` without the words that are gone; of the white space before and
+    after them, that with more line breaks stays."""
+    kept = np.flatnonzero(~gone)
+    if not len(kept):
+        return b""
+    parts, last = [], -1
+    for i in kept.tolist():
+        gap = raw[ends[i - 1] : starts[i]] if i else raw[first : starts[0]]
+        if i - last > 1:
+            before = raw[ends[last] : starts[last + 1]] if last >= 0 else raw[first : starts[0]]
+            gap = before if last < 0 or before.count(b"\n") >= gap.count(b"\n") else gap
+        parts += [gap, raw[starts[i] : ends[i]]]
+        last = i
+    return b"".join(parts) + raw[ends[-1] : end]
+
+
+def _cut(length: int, layout: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, source, gone = w.longs(batch.column(1)), w.longs(batch.column(2)), batch.column(3).fill_null([])
-            for first, end, buf, starts, ends, bounds, h in _hashed(batch.column(4)):
+            for first, end, buf, offsets, starts, ends, bounds, h in _hashed(batch.column(4)):
                 owner, n = w.owners(bounds), len(h)
                 drop = np.zeros(n + 1, np.int64)
                 if n >= length:
@@ -152,8 +169,15 @@ def _cut(length: int):
                     np.add.at(drop, inside[hit] + length, -1)
                 removed = np.cumsum(drop)[:n] > 0
                 raw, texts = buf.tobytes(), []
+                some = batch.column(4).slice(first, end - first)
+                missing = some.is_null().to_pylist() if layout else []
                 for i in range(end - first):
                     lo, hi = bounds[i], bounds[i + 1]
+                    if layout:
+                        at, to = int(offsets[i]), int(offsets[i + 1])
+                        cut = removed[lo:hi].any()
+                        texts.append(_closed(raw, at, to, starts[lo:hi], ends[lo:hi], removed[lo:hi]) if cut else None if missing[i] else raw[at:to])
+                        continue
                     kept = np.flatnonzero(~removed[lo:hi]) + lo
                     texts.append(b" ".join([raw[s:e] for s, e in zip(starts[kept].tolist(), ends[kept].tolist())]))
                 n_removed = np.add.reduceat(np.append(removed, 0).astype(np.int64), bounds[:-1]) * (np.diff(bounds) > 0)
@@ -170,11 +194,13 @@ def _cut(length: int):
     return run
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, layout: bool = False) -> DataFrame:
     """Cut every passage of ``length`` words or more that also starts in a document with a smaller id.
 
     Returns ``rest`` (all other columns as a struct), ``kept`` (the words left,
-    joined by one space), ``n_words`` and ``n_removed``, a row for each row.
+    joined by one space), ``n_words`` and ``n_removed``, a row for each row.  With
+    ``layout``, ``kept`` has the white space of the text, and is the text as it is, null
+    too, where nothing is removed.
     Passages are judged on the input.  A null text is empty.  A null id counts as
     the largest; rows of one id never cut each other, whatever their texts.
     Equal texts are recognised by their 64-bit hash, passages by 96 bits.
@@ -182,8 +208,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(
         rest(docs, text_col).alias("rest"),
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-    ).withColumn("t", F.xxhash64("text"))
+        F.col(f"`{text_col}`").alias("text"),
+    ).withColumn("t", F.xxhash64(F.coalesce("text", F.lit(""))))
     first = base.groupBy("t").agg(F.min("doc").alias("source"))
 
     seeds = base.select("t", "text").mapInArrow(_seed_rows(length, gram), "route long, t long, kind byte, seed long")
@@ -208,12 +234,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return (
         base.join(facts, "t")
         .select("rest", "doc", "source", "gone", "text")
-        .mapInArrow(_cut(length), f"rest {docs.select(rest(docs, text_col).alias('rest')).schema['rest'].dataType.simpleString()}, kept string, n_words long, n_removed long")
+        .mapInArrow(_cut(length, layout), f"rest {docs.select(rest(docs, text_col).alias('rest')).schema['rest'].dataType.simpleString()}, kept string, n_words long, n_removed long")
     )
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The documents with their repeated passages cut out and their length brought up to date; no row is dropped."""
-    cut = dedup_substrings(docs, id_col, text_col, length, gram)
-    new = {text_col: F.col("kept")} | ({chars_col: F.length("kept").cast("long")} if chars_col in docs.columns else {})
+    """The documents with their repeated passages cut out and their length brought up to date; no row is dropped.
+
+    A document without such passages stays as it is, one that is cut keeps the white space of what is left.
+    Only spaces after the last character of a text go.
+    """
+    text = F.col(f"`{text_col}`")
+    if chars_col in docs.columns:
+        docs = docs.withColumn(chars_col, F.when(text.endswith(" "), F.length(F.rtrim(text))).otherwise(F.col(f"`{chars_col}`")).cast("long"))
+    docs = docs.withColumn(text_col, F.rtrim(text))
+    cut = dedup_substrings(docs, id_col, text_col, length, gram, layout=True)
+    new = {text_col: F.col("kept")}
+    if chars_col in docs.columns:
+        new[chars_col] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col(f"rest.`{chars_col}`"))
     return cut.select(*put_back(cut, docs.columns, "rest", new))

@@ -85,6 +85,16 @@ def test_substrings_equal_brute_force(docs, empty):
     assert substrings.dedup_substrings(empty).count() == 0
 
 
+def test_uncut_documents_keep_their_layout(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    plain, rows = "def f(x):\n\n    return  x\t+ 1\n", "id long, text string, n_chars int"
+    cut = substrings.without_repeats(
+        spark.createDataFrame([(0, passage, 1), (1, plain, 7), (2, None, None), (3, f"  one\n two\n\n{passage}\n\nthree\n", 9), (4, f"a  b {passage}\n\nc", 3), (5, passage, 2)], rows), "id"
+    )
+    want = [(0, passage, 1), (1, plain, 7), (2, None, None), (3, "  one\n two\n\nthree\n", 18), (4, "a  b\n\nc", 7), (5, "", 0)]
+    assert sorted(map(tuple, cut.collect())) == want
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix_report(docs).collect()
     assert sorted(rows, key=str) == sorted(mixing.mix_report(docs.repartition(7)).collect(), key=str)
