@@ -223,7 +223,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
     row = F.struct(*[F.col(f"`{c}`") for c in columns if c != ids_col])
     named = df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    out = named.mapInArrow(run, f"row {named.schema['row'].dataType.simpleString()}, ids array<int>")
+    out = named.mapInArrow(w.trimmed(run), f"row {named.schema['row'].dataType.simpleString()}, ids array<int>")
     return out.select("row.*", F.col("ids").alias(ids_col))
 
 
@@ -260,5 +260,5 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
 
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
     named = df.select(row.alias("row"), F.col(f"`{ids_col}`").alias("ids"))
-    out = named.mapInArrow(run, f"row {named.schema['row'].dataType.simpleString()}, text string")
+    out = named.mapInArrow(w.trimmed(run), f"row {named.schema['row'].dataType.simpleString()}, text string")
     return out.select("row.*", F.col("text").alias(text_col))

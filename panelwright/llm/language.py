@@ -86,7 +86,7 @@ class Model:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts over all given rows with a language; a row per language with at most ``BUCKETS`` counts comes back."""
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where("lang IS NOT NULL")
-    sums = rows.mapInArrow(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(w.trimmed(_counts), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_lang = sums.groupBy("lang").agg(
         F.sum(F.when(F.col("bucket") < 0, F.col("n"))).alias("docs"),
         F.collect_list(F.when(F.col("bucket") >= 0, F.struct("bucket", "n"))).alias("all"),
@@ -118,7 +118,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: str = "l
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (out, score)])
     named = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    done = named.mapInArrow(run, f"row {named.schema['row'].dataType.simpleString()}, lang string, score double")
+    done = named.mapInArrow(w.trimmed(run), f"row {named.schema['row'].dataType.simpleString()}, lang string, score double")
     return done.select("row.*", F.col("lang").alias(out), F.col("score").alias(score))
 
 

@@ -212,7 +212,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ).withColumn("t", F.xxhash64(F.coalesce("text", F.lit(""))))
     first = base.groupBy("t").agg(F.min("doc").alias("source"))
 
-    seeds = base.select("t", "text").mapInArrow(_seed_rows(length, gram), "route long, t long, kind byte, seed long")
+    seeds = base.select("t", "text").mapInArrow(w.trimmed(_seed_rows(length, gram)), "route long, t long, kind byte, seed long")
     group = Window.partitionBy("route")
     shared = (
         seeds.withColumn("lo", F.min("t").over(group))
@@ -226,7 +226,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     windows = (
         base.join(facts, "t")
         .select("doc", "source", "shared", "text", "rest")  # all columns, so that both joins read one exchange of the texts
-        .mapInArrow(_window_rows(length, gram), "a long, b long, doc long, settled boolean")
+        .mapInArrow(w.trimmed(_window_rows(length, gram)), "a long, b long, doc long, settled boolean")
     )
     least = F.min("doc").over(Window.partitionBy("a", "b"))
     gone = windows.withColumn("least", least).where("settled OR least < doc").groupBy("doc").agg(F.collect_list("a").alias("gone"))
@@ -234,7 +234,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return (
         base.join(facts, "t")
         .select("rest", "doc", "source", "gone", "text")
-        .mapInArrow(_cut(length, layout), f"rest {docs.select(rest(docs, text_col).alias('rest')).schema['rest'].dataType.simpleString()}, kept string, n_words long, n_removed long")
+        .mapInArrow(w.trimmed(_cut(length, layout)), f"rest {docs.select(rest(docs, text_col).alias('rest')).schema['rest'].dataType.simpleString()}, kept string, n_words long, n_removed long")
     )
 
 

@@ -6,7 +6,8 @@ keeps state between calls, and no step loops over words in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,19 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def trimmed(run: Callable) -> Callable:
+    """``run`` for mapInArrow, after which the worker returns the memory it no longer uses; Spark keeps workers for later tasks."""
+
+    def and_trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return and_trim
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, byte offsets of the rows); nulls count as empty.
 
