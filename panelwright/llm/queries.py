@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe, chat, html, language, mixing, near_docs, search, substrings, suffix_tree, topk
+from panelwright.llm import bpe, chat, html, language, lines, merkle, mixing, near_docs, search, substrings, suffix_tree, topk
 from panelwright.llm.tables import LAST_ID, read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,69 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.scaled(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return topk.top_k(vectors, vectors.where("id % 100 = 0"), 10)
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, * FROM documents),
+t AS (SELECT *, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS UBIGINT[])), lambda e, k: CASE WHEN e & 1 = 1 THEN xor(e >> 1, 3988292384::UBIGINT) ELSE e >> 1 END)) AS crc FROM d),
+f AS (SELECT row, doc_id, lang,
+    {head} || {text} AS whole, {head} || CASE WHEN xor(crc, 4294967295::UBIGINT) % 3 = 0 THEN {lower} ELSE {text} END AS changed FROM t),
+leaves AS (SELECT row, doc_id, lang, sha256(whole) AS leaf, sha256(changed) AS claim,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(whole), row) - 1 AS i FROM f),
+nodes AS (SELECT lang, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT *, count(*) OVER (PARTITION BY lang) FROM
+    (SELECT lang, any_value(level) + 1, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY lang, i // 8)),
+tops AS (SELECT lang, 0 AS level, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, h, count(*) OVER () AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT *, count(*) OVER () FROM (SELECT NULL, any_value(level) + 1, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY i // 8)),
+climb AS (SELECT row, l.lang, level, i // 8 AS run, i AS own FROM (SELECT row, lang, i AS leaf_i FROM leaves) l JOIN nodes m
+    ON m.lang IS NOT DISTINCT FROM l.lang AND m.i = l.leaf_i // CAST(power(8, m.level) AS BIGINT) WHERE m.n > 1),
+sides AS (SELECT c.row, 0 AS part, c.level, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < c.own), '') AS l, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > c.own), '') AS r
+    FROM climb c JOIN nodes s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.i // 8 = c.run GROUP BY c.row, c.level),
+up AS (SELECT b.lang, m.level, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < m.i), '') AS l, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > m.i), '') AS r
+    FROM (SELECT lang, i FROM tops WHERE level = 0) b JOIN tops m ON m.i = b.i // CAST(power(8, m.level) AS BIGINT) AND m.n > 1
+    JOIN tops s ON s.level = m.level AND s.i // 8 = m.i // 8 GROUP BY b.lang, m.level),
+steps AS (SELECT * FROM sides UNION ALL SELECT row, 1, level, l, r FROM leaves JOIN up ON up.lang IS NOT DISTINCT FROM leaves.lang),
+paths AS (SELECT row, sha256(string_agg(l || r, '' ORDER BY part, level)) AS proof, list([l, r] ORDER BY part, level) AS path FROM steps GROUP BY row),
+done AS (SELECT doc_id, leaf, lang, coalesce(proof, sha256('')) AS proof_sha256,
+    list_reduce(list_prepend(['', claim], coalesce(path, [])), lambda h, s: ['', sha256(s[1] || h[2] || s[2])])[2] AS folded_root FROM leaves LEFT JOIN paths USING (row))
+SELECT doc_id, leaf, m.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, proof_sha256, folded_root, folded_root = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM done JOIN nodes m ON m.n = 1 AND m.lang IS NOT DISTINCT FROM done.lang
+""".format(
+        head=" || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars")),
+        text="coalesce(strlen(text) || ':' || text, '-')",
+        lower="coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')",
+    ),
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0) & F.col("text").isNotNull()
+    claimed = F.when(tampered, F.translate("text", lines.UPPER, lines.UPPER.lower())).otherwise(F.col("text"))
+    rows = docs.select("doc_id", "lang", merkle.digest(*fields).alias("leaf"), merkle.digest(*fields[:-1], claimed).alias("claim"))
+    proved = merkle.manifest(rows, F.col("leaf"), "lang", "doc_id")
+    folded = merkle.fold(F.col("own.claim"), F.col("proof"))
+    out = proved.select("own.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query(
+    "op13_line_dedup",
+    """
+WITH l AS (SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+    FROM (SELECT row_number() OVER () AS row, coalesce(doc_id, 9223372036854775807) AS doc_id, coalesce(text, '') AS text FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+g AS (SELECT row, k.doc_id, i, line, first IS NOT NULL AND first < k.doc_id AS gone FROM k LEFT JOIN s USING (key))
+SELECT nullif(any_value(doc_id), 9223372036854775807) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM g GROUP BY row
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("rest.doc_id", "n_lines", "n_dropped", sha(F.col("kept")).alias("kept_sha256"))
