@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe, chat, html, language, lines, merkle, mixing, near_docs, search, substrings, suffix_tree, topk
+from panelwright.llm import bpe, chat, html, language, lexical, lines, merkle, mixing, near_docs, search, substrings, suffix_tree, topk
 from panelwright.llm.tables import LAST_ID, read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +219,25 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@query(
+    "op12_ranked_search",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}') AS t FROM documents),
+g AS (SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS N, CAST(sum(len(t)) AS BIGINT) AS L FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) AS term FROM benchmark),
+p AS (SELECT row, doc_id, term, count(*) AS tf, any_value(n) AS len FROM (SELECT row, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d) GROUP BY row, doc_id, term),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+s AS (SELECT item_id, row, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * N + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len * N) // L)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN f USING (term), g GROUP BY item_id, row, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+""".replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"),
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.top_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 @query(
     "op13_line_dedup",
     """
