@@ -112,6 +112,7 @@ class Batch:
     weight: np.ndarray
     docs: int  # N
     length: int  # L
+    free: np.ndarray  # items without bounds
     near: list[np.ndarray] = field(default_factory=list)  # of each term: commoner terms, and itself, that an item asks beside it
 
     def impacts(self, n: np.ndarray, places: np.ndarray, tf: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,12 +135,13 @@ def _batch(rows: list[Row], vocabulary: np.ndarray, held: np.ndarray, docs: int,
         mine = number[np.searchsorted(vocabulary, np.array(row.terms, np.int64).view(np.uint64))]
         asked.append(np.sort(mine[mine >= 0]))
     beside: list[list[np.ndarray]] = [[] for _ in range(int((held > 0).sum()))]
-    for terms in asked:
-        if len(terms) <= LONG:
+    free = np.array([len(terms) > LONG for terms in asked], bool)
+    for terms, none in zip(asked, free):
+        if not none:
             for i, t in enumerate(terms.tolist()):
                 beside[t].append(terms[: i + 1])
     near = [np.unique(np.concatenate(x)) if x else np.empty(0, np.int64) for x in beside]
-    return Batch([r.item for r in rows], asked, number, np.array([weight(docs, int(h)) for h in held[order]], np.int64), docs, length, near)
+    return Batch([r.item for r in rows], asked, number, np.array([weight(docs, int(h)) for h in held[order]], np.int64), docs, length, free, near)
 
 
 def _vectors(batch: pa.RecordBatch, of: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,13 +166,13 @@ def _signed(of: Batch):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of at most SEGMENT rows and, but for a longer document, POSTINGS postings."""
+def _cut(batches: Iterator[pa.RecordBatch], rows: int, postings: int) -> Iterator[pa.RecordBatch]:
+    """Runs of at most so many rows and, but for a longer document, postings."""
     for batch in batches:
         ends, start = np.cumsum(batch.column("terms").value_lengths().to_numpy()), 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            end = min(start + SEGMENT, batch.num_rows, max(start + 1, int(np.searchsorted(ends, before + POSTINGS, "right"))))
+            end = min(start + rows, batch.num_rows, max(start + 1, int(np.searchsorted(ends, before + postings, "right"))))
             yield batch.slice(start, end - start)
             start = end
 
@@ -199,12 +201,12 @@ def maxima(starts: np.ndarray, terms: np.ndarray, impact: np.ndarray, lists: lis
     return out
 
 
-SEGMENT_ROW = "segment long, docs array<long>, counts array<int>, terms array<int>, impacts array<long>, lists array<int>, sizes array<int>, members array<int>, maxima array<long>"
+SEGMENT_ROW = "docs array<long>, counts array<int>, terms array<int>, impacts array<long>, lists array<int>, sizes array<int>, members array<int>, maxima array<long>"
 
 
-def _built(of: Batch):
+def _built(of: Batch, rows: int, postings: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _cut(batches):
+        for batch in _cut(batches, rows, postings):
             docs, starts, terms, impact = _vectors(batch, of)
             order = np.argsort(terms, kind="stable")
             members = np.repeat(np.arange(len(docs)), np.diff(starts))[order]
@@ -213,19 +215,18 @@ def _built(of: Batch):
             lists = [(t, members[e - s : e]) for t, s, e in zip(names.tolist(), sizes.tolist(), ends.tolist()) if s >= SHORT]
             tables = maxima(starts, terms, impact, lists, of.near)
             flat = np.concatenate([t.ravel() for t in tables]) if tables else np.empty(0, np.int64)
-            first = batch.column("sig")[0].as_py()
-            one = {"segment": [first], "docs": [docs], "counts": [np.diff(starts).astype(np.int32)], "terms": [terms.astype(np.int32)], "impacts": [impact]}
+            one = {"docs": [docs], "counts": [np.diff(starts).astype(np.int32)], "terms": [terms.astype(np.int32)], "impacts": [impact]}
             one |= {"lists": [names.astype(np.int32)], "sizes": [sizes.astype(np.int32)], "members": [members.astype(np.int32)], "maxima": [flat]}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64() if k == "segment" else None) for k, v in one.items()})
+            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in one.items()})
 
     return trimmed(run)
 
 
-def index(counted: DataFrame, of: Batch) -> DataFrame:
+def index(counted: DataFrame, of: Batch, segment: int = SEGMENT, postings: int = POSTINGS) -> DataFrame:
     """A row for each segment: documents with their vectors, posting lists, the blocks' maxima."""
     signed = counted.where(F.size("terms") > 0).mapInArrow(_signed(of), "doc long, n long, terms array<int>, tfs array<int>, sig long")
     alike = signed.repartitionByRange("sig", F.xxhash64("doc")).sortWithinPartitions("sig", F.xxhash64("doc"))
-    return written(alike.mapInArrow(_built(of), SEGMENT_ROW))
+    return written(alike.mapInArrow(_built(of, segment, postings), SEGMENT_ROW).withColumn("segment", F.monotonically_increasing_id()))
 
 
 # ---- search
@@ -241,7 +242,6 @@ class Search:
         self.flat = np.concatenate(of.asked) if of.asked else np.empty(0, np.int64)
         self.ends = np.cumsum([len(a) for a in of.asked])
         self.item = np.repeat(np.arange(len(of.asked)), [len(a) for a in of.asked])
-        self.free = np.array([len(a) > LONG for a in of.asked], bool)  # items without bounds
         self.inside = np.zeros(len(of.near), bool)
 
     def segment(self, docs: np.ndarray, starts: np.ndarray, terms: np.ndarray, impact: np.ndarray, names: np.ndarray, sizes: np.ndarray, members: np.ndarray, tables: np.ndarray) -> None:
@@ -259,17 +259,17 @@ class Search:
         before = np.concatenate([[0], upto])[np.concatenate([[0], self.ends[:-1]])] if len(self.ends) else upto
         upto = upto - before[self.item]
         held = place[self.flat] >= 0
-        for q in np.unique(self.item[held & ((upto >= self.least[self.item]) | self.free[self.item])]).tolist():
+        for q in np.unique(self.item[held & ((upto >= self.least[self.item]) | self.of.free[self.item])]).tolist():
             self._item(q, upto, place, offsets, docs, starts, terms, impact, sizes, ends, members, tables)
 
     def _item(self, q, upto, place, offsets, docs, starts, terms, impact, sizes, ends, members, tables) -> None:
         mine = self.of.asked[q]
         bound = upto[self.ends[q] - len(mine) : self.ends[q]]
         taken, value = [], []  # runs of members, and their bounds
-        for j in np.flatnonzero((place[mine] >= 0) & ((bound >= self.least[q]) | self.free[q])).tolist():
+        for j in np.flatnonzero((place[mine] >= 0) & ((bound >= self.least[q]) | self.of.free[q])).tolist():
             i = place[mine[j]]
             size, end, near = sizes[i], ends[i], self.of.near[mine[j]]
-            if offsets[i] < 0 or self.free[q]:
+            if offsets[i] < 0 or self.of.free[q]:
                 taken.append((end - size, end))
                 value.append(bound[j])
                 continue
@@ -284,7 +284,7 @@ class Search:
         seen = np.zeros(len(docs), bool)
         self.inside[mine] = True
         for part in np.array_split(order, [i for i in (2, 8, 32, 128, 512) if i < len(order)]):
-            runs = [members[taken[i][0] : taken[i][1]] for i in part.tolist() if value[i] >= self.least[q] or self.free[q]]
+            runs = [members[taken[i][0] : taken[i][1]] for i in part.tolist() if value[i] >= self.least[q] or self.of.free[q]]
             if not runs:
                 break
             new = np.unique(np.concatenate(runs))
@@ -331,13 +331,16 @@ def search(segments: DataFrame, of: Batch, k: int) -> DataFrame:
     least = np.ones(len(of.items), np.int64)
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "doc")
     best = lambda found: found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-    first = segments.orderBy(F.xxhash64("segment")).limit(SEEDS)  # any segments give a valid bound
+    # any segments give a valid bound; their numbers are picked first, as rows are large
+    first = segments.where(F.col("segment").isin([r.segment for r in segments.select("segment").orderBy(F.xxhash64("segment")).limit(SEEDS).collect()]))
     for row in best(first.mapInArrow(_searched(of, k, least), FOUND)).where(F.col("rank") == k).collect():  # one row an item
         least[row.query] = row.score
     return best(segments.mapInArrow(_searched(of, k, least), FOUND))
 
 
-def top_documents(docs: DataFrame, items: DataFrame, k: int = 50, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def top_documents(
+    docs: DataFrame, items: DataFrame, k: int = 50, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", segment: int = SEGMENT, postings: int = POSTINGS
+) -> DataFrame:
     """(item, rank, doc, score): the k highest-scoring documents of each item, scores above 0, ties to smaller ids.
 
     Terms are runs of ASCII letters and digits and of all code points above ASCII, with
@@ -360,7 +363,7 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int = 50, id_col: str =
         for row in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most TERMS rows
             held[row.t] = row["count"]
         of = _batch(batch, vocabulary, held, docs_n, length)
-        found = search(index(counted, of), of, k)
+        found = search(index(counted, of, segment, postings), of, k)
         names = spark.createDataFrame(list(enumerate(of.items)), "query long, item long")
         found = found.join(F.broadcast(names), "query").select("item", "rank", F.when(F.col("doc") != LAST_ID, F.col("doc")).alias("doc"), "score")
         out = found if out is None else out.unionByName(found)
