@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from panelwright.functions.columns import KEY, TIME, own
 from panelwright.operators.sizes import CALENDAR_DAYS, attach, require_day
 
+PIECE = 1 << 18  # rows of one key that are ordered together
+
 
 def lookup(
     df: DataFrame,
@@ -78,14 +80,17 @@ def asof_join(
     tolerance: int | None = None,
     ties: Sequence[str] = (),
     piece: Column | None = None,
+    bound: int = PIECE,
 ) -> DataFrame:
     """Each left row with the latest right row at or before it, within ``tolerance`` days.
 
     Without ``by`` the right side is a date-level table: the match is found per
     distinct day and joined back.  With ``by`` both sides are united and the
     last right row carried forward; keys are cut into pieces of time (months
-    unless given) so one key never sits in a single task, and each piece starts
-    from the last right row of the pieces before it.
+    unless given), and each piece starts from the last right row of the pieces before
+    it.  A piece of over ``bound`` rows is cut again, at the seconds (or days) where its
+    row count passes multiples of ``bound``; left rows that share one moment are dealt
+    out beyond that, each share with the right rows of its cut.
     """
     by = list(by)
     cols = [c for c in right.columns if c not in by and c != on]
@@ -111,20 +116,33 @@ def asof_join(
         .unionByName(right_rows.withColumn("_side", F.lit(0)), allowMissingColumns=True)
         .withColumn("_piece", month)
     )
+    # pieces that hold too much, cut where their running count passes multiples of the bound
+    moment = F.unix_date(F.col(on)) if left.schema[on].dataType.simpleString() == "date" else F.unix_seconds(F.col(on).cast("timestamp"))
+    both = both.withColumn("_moment", moment.cast("long"))
+    large = both.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > bound).select(*by, "_piece")
+    ahead = Window.partitionBy(*by, "_piece").orderBy("_moment").rowsBetween(Window.unboundedPreceding, -1)
+    moments = both.select(*by, "_piece", "_moment").join(large, [*by, "_piece"], "left_semi").groupBy(*by, "_piece", "_moment").agg(F.count(F.lit(1)).alias("_rows"))
+    cuts = moments.withColumn("_cut", F.floor(F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) / bound))
+    whole = Window.partitionBy(*by, "_piece", "_cut")
+    cuts = cuts.select(*by, "_piece", "_moment", "_cut", F.ceil(F.sum("_rows").over(whole) / (2 * bound)).cast("int").alias("_shares"))
+    both = both.join(cuts, [*by, "_piece", "_moment"], "left").withColumns({"_cut": F.coalesce("_cut", F.lit(0)), "_shares": F.coalesce("_shares", F.lit(1))})
+
     last_of = F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct(F.col(on), F.col("_tie"))))
-    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("_piece", "_cut").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        both.groupBy(*by, "_piece")
+        both.groupBy(*by, "_piece", "_cut")
         .agg(last_of.alias("_end"))
-        .select(*by, "_piece", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+        .select(*by, "_piece", "_cut", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
     )
+    share = F.when(F.col("_side") == 1, F.array(F.pmod(F.xxhash64("_l"), F.col("_shares")))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("_shares").cast("long") - 1))
+    dealt = both.withColumn("_share", F.explode(share))
     inside = (
-        Window.partitionBy(*by, "_piece").orderBy(on, "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*by, "_piece", "_cut", "_share").orderBy(on, "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     )
     matched = (
-        both.withColumn("_m", F.last("_r", ignorenulls=True).over(inside))
+        dealt.withColumn("_m", F.last("_r", ignorenulls=True).over(inside))
         .where("_side = 1")
-        .join(carry, [*by, "_piece"], "left")
+        .join(carry, [*by, "_piece", "_cut"], "left")
         .select(F.col("_l.*"), F.coalesce("_m", "_carry").alias("_m"))
     )
     return within(matched)
@@ -151,17 +169,16 @@ def stitch_segments(predictions: DataFrame, model_dates: DataFrame, model_col: s
 def paths_after(
     returns: DataFrame, strikes: DataFrame, n: int = 30, ret: str = "ret_1B", by: str = KEY, time: str = TIME
 ) -> DataFrame:
-    """The n returns after each strike day of a security: step 0..n-1, null where history ends."""
-    ahead = own(by, time).rowsBetween(1, n)
-    marks = strikes.select(by, time).distinct().withColumn("_hit", F.lit(True))
-    window = returns.select(by, time, ret).withColumn(
-        "_next", F.collect_list(F.struct(F.col(ret).alias("r"))).over(ahead)
-    )
-    hit = window.join(marks, [by, time], "left_semi")
-    steps = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(i.alias("step"), F.get("_next", i)["r"].alias("ret")))
-    return hit.select(by, F.col(time).alias("strike"), F.explode(steps).alias("s")).select(
-        by, "strike", F.col("s.step").alias("step"), F.col("s.ret").alias("ret")
-    )
+    """The n returns after each strike day of a security: step 0..n-1, null where history ends.
+
+    Rows are numbered inside their security; only strikes are expanded, to the n places
+    after theirs, and meet the returns by (security, place).
+    """
+    numbered = returns.select(by, time, ret, F.row_number().over(own(by, time)).alias("_at"))
+    hit = numbered.join(strikes.select(by, time).distinct(), [by, time], "left_semi")
+    steps = F.posexplode(F.sequence(F.col("_at") + 1, F.col("_at") + n)).alias("step", "_at")
+    wanted = hit.select(by, F.col(time).alias("strike"), steps)
+    return wanted.join(numbered.select(by, "_at", F.col(ret).alias("ret")), [by, "_at"], "left").select(by, "strike", "step", "ret")
 
 
 def with_fallback(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.functions.columns import KEY, TIME
 from panelwright.operators.order_stats import hex_chunk_of, value_ranks
@@ -115,17 +118,80 @@ def running_total(
     return joined.withColumn(out, F.col("_before") + F.sum(value).over(inside)).drop("_before")
 
 
-def longest_run(
-    df: DataFrame, col: str, sign: int, by: Sequence[str] = (), chunk: Sequence[str] = (TIME,), order: Sequence[str] = (KEY,)
+def _summaries(hits: Sequence[str]):
+    """Of each key's consecutive rows in a partition: rows, and for every mark its leading, trailing and longest run."""
+
+    def of(mark: np.ndarray) -> tuple[int, int, int]:
+        miss = np.flatnonzero(~mark)
+        if not len(miss):
+            return len(mark), len(mark), len(mark)
+        return int(miss[0]), int(len(mark) - 1 - miss[-1]), int(max(miss[0], len(mark) - 1 - miss[-1], (np.diff(miss) - 1).max(initial=0)))
+
+    def merged(a: list, b: list) -> list:
+        n, m, out = a[0], b[0], [a[0] + b[0]]
+        for (lead, trail, best), (lead2, trail2, best2) in zip(a[1:], b[1:]):
+            out.append((n + lead2 if lead == n else lead, trail + m if trail2 == m else trail2, max(best, best2, trail + lead2)))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(first: pa.RecordBatch, found: list) -> pa.RecordBatch:
+            numbers = {"_n": found[0]} | {f"_{k}{i}": x for i, three in enumerate(found[1:]) for k, x in zip(("lead", "trail", "best"), three)}
+            return pa.RecordBatch.from_pydict({c: first.column(c) for c in first.schema.names} | {k: pa.array([x], pa.int64()) for k, x in numbers.items()})
+
+        open_key, first, found = None, None, []
+        for batch in batches:
+            key, marks = batch.column("_key").to_numpy(), [batch.column(h).to_numpy(zero_copy_only=False) for h in hits]
+            keys = batch.select([c for c in batch.schema.names if c not in ("_key", *hits)])
+            ready = []
+            starts = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1) if len(key) else np.empty(0, np.int64)
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
+                here = [end - start, *(of(m[start:end]) for m in marks)]
+                if key[start] == open_key:
+                    found = merged(found, here)
+                    continue
+                if open_key is not None:
+                    ready.append(row(first, found))
+                open_key, first, found = key[start], keys.slice(start, 1), here
+            if ready:
+                yield pa.Table.from_batches(ready).combine_chunks().to_batches()[0]
+        if open_key is not None:
+            yield row(first, found)
+
+    return run
+
+
+def longest_runs(
+    df: DataFrame, marks: dict[str, Column], by: Sequence[str] = (), order: Sequence[str] = (TIME, KEY)
 ) -> DataFrame:
-    """Longest unbroken stretch of rows with a given sign, in (chunk, order) order.
+    """For each group and named mark the longest unbroken stretch of marked rows, in ``order``.
 
-    Rows of one stretch share the number of breaking rows before them, so a
-    stretch is a group by that number and may cross chunk borders.
+    Rows are cut by range of (by, order) into pieces of like size, whatever one day holds.
+    A piece gives the length, leading, trailing and longest run of each group in it; the
+    pieces of a group, one for each partition it meets, are merged in order.
     """
-    by = list(by)
-    hit = F.coalesce(F.signum(F.col(col)) == sign, F.lit(False))
-    marked = df.withColumn("_break", F.when(hit, 0).otherwise(1)).withColumn("_hit", hit)
-    runs = running_total(marked, "_break", chunk, list(order) or list(chunk), "_island", by)
-    lengths = runs.groupBy(*by, "_island").agg(F.count(F.when(F.col("_hit"), 1)).alias("_len"))
-    return lengths.groupBy(*by).agg(F.coalesce(F.max("_len"), F.lit(0)).alias("run"))
+    by, names = list(by), list(marks)
+    hits = [F.coalesce(marks[m], F.lit(False)).alias(f"_hit{i}") for i, m in enumerate(names)]
+    rows = df.select(*by, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)], F.xxhash64(F.lit(0), *by).alias("_key"), *hits)
+    sorting = [*by, *[f"_by{i}" for i in range(len(order))]]
+    dealt = rows.repartitionByRange(*sorting).sortWithinPartitions(*sorting).select(*by, F.spark_partition_id().alias("_piece"), "_key", *[f"_hit{i}" for i in range(len(names))])
+    longs = ["_n", *[f"_{k}{i}" for i in range(len(names)) for k in ("lead", "trail", "best")]]
+    schema = T.StructType([*dealt.select(*by, "_piece").schema.fields, *[T.StructField(c, T.LongType()) for c in longs]])
+    pieces = dealt.mapInArrow(_summaries([f"_hit{i}" for i in range(len(names))]), schema)
+    listed = pieces.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_piece", *longs))).alias("_pieces"))
+
+    def merged(i: int) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("trail"), F.lit(0).cast("long").alias("best"))
+        step = lambda a, p: F.struct(
+            F.when(p[f"_lead{i}"] == p["_n"], a["trail"] + p["_n"]).otherwise(p[f"_trail{i}"]).alias("trail"),
+            F.greatest(a["best"], a["trail"] + p[f"_lead{i}"], p[f"_best{i}"]).alias("best"),
+        )
+        return F.aggregate(F.coalesce("_pieces", F.array()), start, step)["best"]
+
+    return listed.select(*by, *[merged(i).alias(m) for i, m in enumerate(names)])
+
+
+def longest_run(
+    df: DataFrame, col: str, sign: int, by: Sequence[str] = (), chunk: Sequence[str] = (TIME,), order: Sequence[str] = (KEY,)
+) -> DataFrame:
+    """Longest unbroken stretch of rows with a given sign, in (chunk, order) order."""
+    return longest_runs(df, {"run": F.signum(F.col(col)) == sign}, by, [*chunk, *order])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.columns import KEY, TIME, cumprod1, cumprod1_agg, drawdown, own, ratio
 from panelwright.operators.joins import portfolio_returns
 from panelwright.operators.order_stats import qcut
-from panelwright.operators.picks import longest_run
+from panelwright.operators.picks import longest_runs
 from panelwright.session import durable
 
 RISK_FREE = 0.02
@@ -72,16 +72,10 @@ def sign_agreement(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def run_ratio(df: DataFrame, col: str, by: Sequence[str] = (), chunk: Sequence[str] = (TIME,), order: Sequence[str] = (KEY,)) -> DataFrame:
     """Longest rise and fall and their ratio."""
-    keys = list(by) or ["_all"]
-    frame = df if by else df.withColumn("_all", F.lit(0))
-    up = longest_run(frame, col, 1, keys, chunk, order).withColumnRenamed("run", "up_periods")
-    down = longest_run(frame, col, -1, keys, chunk, order).withColumnRenamed("run", "down_periods")
-    both = up.unionByName(down, allowMissingColumns=True).groupBy(*keys).agg(
-        F.max("up_periods").alias("up_periods"), F.max("down_periods").alias("down_periods")
-    )
+    sign = F.signum(F.col(col))
+    both = longest_runs(df, {"up_periods": sign == 1, "down_periods": sign == -1}, by, [*chunk, *order])
     quotient = F.when(F.col("down_periods") != 0, ratio("up_periods", "down_periods")).otherwise(F.col("up_periods").cast("double"))
-    out = both.withColumn("up_down_ratio", quotient)
-    return out if by else out.drop("_all")
+    return both.withColumn("up_down_ratio", quotient)
 
 
 def return_quantiles(df: DataFrame, ret: str = "future_ret_5B", q: int = 5) -> DataFrame:

@@ -17,6 +17,7 @@ from panelwright.plans.technical import own_rows_sql
 from panelwright.plans.views import over, roll
 from panelwright.plans.views import with_views as S
 from panelwright.session import scratch
+from panelwright.sources import buckets as B
 from panelwright.sources import readers as R
 from panelwright.sources import writers as O
 from panelwright.streaming import streams as ST
@@ -40,6 +41,25 @@ def merge_feature_tables(spark, d):
     return rnd(J.merge_panel(T.indicators(rows, [("overnight_return", {}), *own]), [T.willr(rows, 5)]))
 
 
+_MERGED = [("volatility", {"lookbacks": [n]}) for n in (63, 21, 126)] + [("ppo", {"fast": a, "slow": b}) for a, b in ((12, 26), (3, 14), (21, 126))]
+_MERGED += [("past_returns", {"lags": [n]}) for n in (1, 2, 5, 10, 21, 63, 126, 252)] + [("overnight_return", {}), ("willr", {"n": 5})]
+
+
+def bucketed_features(spark, d, buckets=8):
+    """Bars and sixteen feature tables of them, each stored in the same buckets by security; names in the catalog."""
+    base = scratch(spark, "features")
+    bars = B.write_bucketed(V.prices(spark, d), "bars", base, buckets)
+    made = [T.indicators(spark.table(bars), [one]) for one in _MERGED]
+    return [B.write_bucketed(df, f"feature_{i}", base, buckets, aligned=True) for i, df in enumerate(made)]
+
+
+@query("j01_merge_bucketed", S(own_rows_sql(f", {r('y.w5', 'WILLR_5')}, {r('y.m5', 'WILLR_5_MA_3')}", _WILLR), "prices", "prep3"))
+def merge_bucketed(spark, d):
+    """The same sixteen tables, each loaded by itself into bucketed storage and merged from there."""
+    names = bucketed_features(spark, d)
+    return rnd(B.merge_bucketed(spark, [names[14], *names[:14], names[15]]))
+
+
 @query("j02_inner_dimension_map", S(f"SELECT date, p.ticker, m.ticker AS name, {r('close')} FROM prices p JOIN master m ON m.dcm_security_id = p.ticker", "prices", "master"))
 def inner_dimension_map(spark, d):
     side = V.master(spark, d).withColumnRenamed("ticker", "name")
@@ -158,10 +178,11 @@ def effective_weights(spark, d):
 @query(
     "j15_paths_after_strikes",
     S(
-        f"""SELECT s.ticker, s.date AS strike, CAST(k.step AS INTEGER) AS step, {r('n.ret', 'ret')} FROM own s CROSS JOIN range(30) k(step)
-        LEFT JOIN own n ON n.ticker = s.ticker AND n.rn = s.rn + 1 + k.step WHERE s.volume > 90""",
+        f"""SELECT ticker, date AS strike, CAST(step AS INTEGER) AS step, {r('ahead[step + 1]', 'ret')} FROM
+        (SELECT ticker, date, ahead, unnest(range(30)) AS step FROM own WHERE volume > 90)""",
         "prices",
-        extra=f"own AS (SELECT date, ticker, volume, coalesce(close / lag(close) OVER w - 1, 0) AS ret, row_number() OVER w AS rn FROM prices {W})",
+        extra="""own AS (SELECT date, ticker, volume, list(ret) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 30 FOLLOWING) AS ahead FROM
+  (SELECT date, ticker, volume, coalesce(close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1, 0) AS ret FROM prices))""",
     ),
 )
 def paths_after_strikes(spark, d):

@@ -8,6 +8,7 @@ from panelwright.functions import columns as C
 from panelwright.operators import calendar as CAL
 from panelwright.operators import crosssec as X
 from panelwright.operators import fundamentals as FU
+from panelwright.operators import gram as GR
 from panelwright.operators import insight as I
 from panelwright.operators import joins as J
 from panelwright.operators import macro as MA
@@ -508,11 +509,55 @@ def r2_per_fold(spark, d):
     return rnd(M.fold_scores(rows, ["calm_score"], "future_ret_5B", "ols"))
 
 
-@query("m02_grouped_cross_validation")
+# two features: moments of each training set, then coordinate descent round by round
+_PAIR = """count(*)::DOUBLE AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, stddev_samp(x1) AS s1, stddev_samp(x2) AS s2, stddev_samp(y) AS sy,
+  CASE WHEN stddev_samp(x1) > 0 AND stddev_samp(y) > 0 THEN corr(x1, y) ELSE 0 END AS c1, CASE WHEN stddev_samp(x2) > 0 AND stddev_samp(y) > 0 THEN corr(x2, y) ELSE 0 END AS c2,
+  CASE WHEN stddev_samp(x1) > 0 AND stddev_samp(x2) > 0 THEN corr(x1, x2) ELSE 0 END AS r12"""
+
+
+def _descent_sql(sets: str, grid: str, key: str) -> str:
+    """Recursive rounds of a two-feature lasso: (key, reg, it, b1, b2) in deviations, sixty rounds."""
+    def soft(z: str) -> str:
+        return f"sign({z}) * greatest(abs({z}) - CASE WHEN sy > 0 THEN reg / sy ELSE 0 END, 0) / ((n - 1) / n)"
+
+    return f"""SELECT {key}, reg, 0 AS it, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM {sets} CROSS JOIN {grid} WHERE n > 1
+      UNION ALL SELECT {key}, reg, it + 1, nb1, {soft('((n - 1) / n * (c2 - r12 * nb1))')} FROM
+        (SELECT *, {soft('((n - 1) / n * (c1 - r12 * b2))')} AS nb1 FROM cd JOIN {sets} USING ({key}) WHERE it < 60) u"""
+
+
+def _pair_line(b1: str, b2: str, row: str = "") -> str:
+    return f"my + coalesce({b1} * sy / nullif(s1, 0), 0) * ({row}x1 - m1) + coalesce({b2} * sy / nullif(s2, 0), 0) * ({row}x2 - m2)"
+
+
+@query(
+    "m02_grouped_cross_validation",
+    S(
+        f"""SELECT date, ticker, {r(_pair_line('b1', 'b2'), 'lasso')} FROM reg2,
+        (SELECT * FROM sets JOIN cd USING (f) WHERE f = -1 AND it = 60 AND reg = (SELECT reg FROM tried ORDER BY mean_r2 DESC, reg LIMIT 1)) k""",
+        "scores",
+        extra=f"""reg2 AS (SELECT date, ticker, coalesce(calm_score, 0) AS x1, coalesce(size_score, 0) AS x2, coalesce(future_ret_5B, 0) AS y, {_fold_sql('>')} AS f FROM scores),
+sets AS (SELECT k.f, {_PAIR} FROM reg2 o JOIN (SELECT DISTINCT f FROM reg2) k ON o.f <> k.f GROUP BY k.f UNION ALL SELECT -1, {_PAIR} FROM reg2),
+cd AS ({_descent_sql('sets', '(VALUES (0.0001::DOUBLE), (0.01::DOUBLE)) v(reg)', 'f')}),
+tried AS (SELECT reg, avg(r2) AS mean_r2 FROM (SELECT reg, h.f, 1 - sum((y - ({_pair_line('b1', 'b2', 'h.')})) ** 2) / (var_pop(y) * count(y)) AS r2
+  FROM reg2 h JOIN sets USING (f) JOIN (SELECT * FROM cd WHERE it = 60) c USING (f) GROUP BY reg, h.f) e GROUP BY reg)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def grouped_cross_validation(spark, d):
-    rows = X.fold_by_cuts(V.scores(spark, d), _CUTS)
-    model = M.fit(rows, ["calm_score", "size_score"], "future_ret_5B", "lasso", "fold_id", {"regParam": [0.0001, 0.01]})
-    return rnd(model.stages[0].transform(rows.fillna(0.0)).select("date", "ticker", "features").transform(lambda f: model.stages[1].transform(f)).select("date", "ticker", "lasso"))
+    rows, feats = X.fold_by_cuts(V.scores(spark, d), _CUTS), ["calm_score", "size_score"]
+    best = GR.best_fit(rows, feats, "future_ret_5B", "fold_id", [("lasso", reg, 1.0) for reg in (0.0001, 0.01)])
+    one = rows.withColumn("_fit", best.select(F.struct("intercept", "weights")).scalar())
+    return rnd(one.select("date", "ticker", GR.score_with(feats, F.col("_fit.intercept"), F.col("_fit.weights")).alias("lasso")))
+
+
+_SEVERAL = ["momentum_score", "calm_score", "size_score"]
+_TRIED = [("ols", 0.0, 1.0), *[(a, reg, alpha) for a, alpha in (("lasso", 1.0), ("enet", 0.5)) for reg in (0.0001, 0.001, 0.01)]]
+
+
+@query("m02_penalties_and_folds")
+def penalties_and_folds(spark, d):
+    """R2 of seven fits on every held-out fold, three features, from one pass; tests compare it with fits of each fold's rows."""
+    tried = GR.cross_validate(X.fold_by_cuts(V.scores(spark, d), _CUTS), _SEVERAL, "future_ret_5B", "fold_id", _TRIED)
+    return rnd(tried.select("fold_id", "algo", "reg", "r2"), 6)
 
 
 # the fits below are iterative and agree with the closed form to about seven digits, hence two in the result
@@ -568,11 +613,27 @@ def hold_out_last_fold(spark, d):
     return train
 
 
-@query("m04_rolling_retrain")
+_OLS1, _OLS2 = "(c1 - r12 * c2) / (1 - r12 * r12)", "(c2 - r12 * c1) / (1 - r12 * r12)"
+
+
+@query(
+    "m04_rolling_retrain",
+    S(
+        f"""SELECT g.date, ticker, md AS model_date, {r(_pair_line(_OLS1, _OLS2), 'ols')}, {r(_pair_line('coalesce(b1, 0)', 'coalesce(b2, 0)'), 'lasso')} FROM reg2 g
+        JOIN sets ON md = CAST(date_trunc('month', g.date) AS DATE) LEFT JOIN (SELECT * FROM cd WHERE it = 60) c USING (md)""",
+        "scores",
+        extra=f"""reg2 AS (SELECT date, ticker, coalesce(momentum_score, 0) AS x1, coalesce(calm_score, 0) AS x2, coalesce(future_ret_5B, 0) AS y FROM scores),
+days AS (SELECT date, row_number() OVER (ORDER BY date) AS s FROM (SELECT DISTINCT date FROM reg2) d),
+starts AS (SELECT CAST(date_trunc('month', date) AS DATE) AS md, min(s) AS upto FROM days GROUP BY 1),
+sets AS (SELECT md, {_PAIR} FROM starts JOIN days ON s <= upto AND s > upto - 106 JOIN reg2 USING (date) GROUP BY md),
+cd AS ({_descent_sql('sets', '(VALUES (0.001::DOUBLE)) v(reg)', 'md')})""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def rolling_retrain(spark, d):
+    """Two estimators of two features anew for every month, each on its 106 dates, from one pass over the panel."""
     rows, feats = V.scores(spark, d), ["momentum_score", "calm_score"]
-    sets = M.fit_rolling(rows, [(1998, 1), (2000, 1)], ["ols", "lasso"], feats, "future_ret_5B", scratch(spark, "models"), "append", 24)
-    return rnd(M.predict_segments(sets, rows, feats))
+    fitted = GR.rolling_fits(rows, feats, "future_ret_5B", [("ols", 0.0, 1.0), ("lasso", 0.001, 1.0)])
+    return rnd(GR.predict_rolling(rows, fitted, feats, ["ols", "lasso"]))
 
 
 _PERIODS = ((1995, 1), (1997, 7), (2000, 1))
