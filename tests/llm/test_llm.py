@@ -334,15 +334,16 @@ def test_near_counts(spark):
     assert {r.fp: r.near for r in search.near_counts(frame).collect()} == {f: n for f, n in want.items() if n}
 
 
-def test_top_k(spark):
+def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(7, [0.5] * 8), (400, None), (500, [1.0, None]), (600, [float("nan")]), (601, []), (None, [1.0])]
     rows += [(1000 + i, rows[3][1]) for i in range(30)]
+    monkeypatch.setattr(topk, "COMPONENTS", 16)  # two queries a batch
     vectors = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     v = [(r.id, np.array(r.v)) for r in vectors.collect()]
     assert len(v) == 331
     got = collections.defaultdict(list)
-    for r in topk.top_k(vectors, vectors.where("id % 100 = 0"), 10, block=64, batch=2).orderBy("query_id", "rank").collect():
+    for r in topk.top_k(vectors, vectors.where("id % 100 = 0"), 10, block=64).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     assert set(got) == {i for i, _ in v if i % 100 == 0}
     for q, x in v:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.llm import lexical, lines, merkle
+from panelwright.llm import lexical, lines, merkle, topk
 from panelwright.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -180,6 +180,40 @@ def test_blocks_are_skipped_and_maxima_are_exact(spark):
     assert search.scored < 0.6 * pairs
 
 
+# ---- op10
+
+
+def test_sorted_lists_are_not_read_whole(spark):
+    vectors = topk.scaled(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding"))
+    rows = [(r.id, r.v) for r in vectors.collect()]
+    ids, matrix = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    asked = ids % 100 == 0
+    scores = matrix[asked] @ matrix.T
+    want = [sorted(zip((-scores[j][ids != q]).tolist(), ids[ids != q].tolist()))[:10] for j, q in enumerate(ids[asked])]
+    search = topk.Search(ids[asked], matrix[asked], np.full(asked.sum(), -np.inf), 10)
+    for row in topk.blocks(vectors, 500).collect():
+        search.block(*(np.array(row[c]) for c in ("ids", "listed", "places")))
+    assert [list(zip((-s).tolist(), i.tolist())) for i, s in search.best] == want
+    # the first of four blocks is read whole, as no bound is known
+    print(f"{search.read} of {search.entries} entries read")
+    assert search.read < 0.85 * search.entries
+
+
+@pytest.mark.parametrize("scale", [1, 2**30])
+def test_bounds_hold_for_clustered_and_large_vectors(scale):
+    rng = np.random.default_rng(8)
+    matrix = (np.repeat(rng.integers(-500, 500, (8, 12)), 60, axis=0) + rng.integers(-20, 20, (480, 12))) * scale
+    ids, search = np.arange(480), topk.Search(np.arange(0, 480, 7), matrix[::7], np.full(69, -np.inf), 5)
+    for start in range(0, 480, 60):
+        part = matrix[start : start + 60]
+        order = np.argsort(part, axis=0)
+        search.block(ids[start : start + 60], np.take_along_axis(part, order, axis=0).T.ravel(), order.T.ravel())
+    for q, (found, score) in zip(range(0, 480, 7), search.best):
+        exact = [(sum(int(a) * int(b) for a, b in zip(matrix[q], matrix[i])), i) for i in range(480) if i != q]
+        assert list(zip(score.tolist(), found.tolist())) == sorted(exact, key=lambda p: (-p[0], p[1]))[:5]
+    assert search.read < 0.6 * search.entries  # blocks of other clusters are skipped
+
+
 # ---- op13
 
 
