@@ -199,7 +199,7 @@ def test_sorted_lists_are_not_read_whole(spark):
     assert search.read < 0.85 * search.entries
 
 
-@pytest.mark.parametrize("scale", [1, 2**30])
+@pytest.mark.parametrize("scale", [1, 2**20])
 def test_bounds_hold_for_clustered_and_large_vectors(scale):
     rng = np.random.default_rng(8)
     matrix = (np.repeat(rng.integers(-500, 500, (8, 12)), 60, axis=0) + rng.integers(-20, 20, (480, 12))) * scale
