@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import (
@@ -209,24 +209,28 @@ def _with_benchmark(rows: DataFrame, col: str, benchmark) -> DataFrame:
     return attach(rows, side, [TIME], max_rows=CALENDAR_DAYS)
 
 
+def _rounded(c: Column, digits: int | None) -> Column:
+    return c if digits is None else F.round(c, digits) + F.lit(0.0)
+
+
 def beta(
     prices: DataFrame, benchmark, n: int = 63, price: str = "close", denominator: str = "own",
-    name: str | None = None, pad: bool = False,
+    name: str | None = None, pad: bool = False, digits: int | None = None,
 ) -> DataFrame:
     """Rolling covariance with a benchmark over a variance, moved down one row, and its rank per date.
 
-    The variance is the security's own by default; ``denominator='benchmark'`` gives the textbook form.
+    ``digits`` rounds before ranking, so that noise in the last digits makes no order.  The variance is the security's own by default; ``denominator='benchmark'`` gives the textbook form.
     """
     name = name or str(benchmark)
     both = _with_benchmark(log_returns(prices, price, pad), "r", benchmark)
     moments = rolling_moments(both, "r", "_b", n)
     raw = moments.withColumn("_beta", ratio("cov", "var_a" if denominator == "own" else "var_b"))
-    moved = raw.select(TIME, KEY, lag_n("_beta", 1).alias(f"{name}_beta"))
+    moved = raw.select(TIME, KEY, _rounded(lag_n("_beta", 1), digits).alias(f"{name}_beta"))
     return avg_rank(moved, f"{name}_beta", f"{name}_beta_rank")
 
 
-def correlation(prices: DataFrame, benchmark, n: int = 63, price: str = "close", name: str | None = None, pad: bool = False) -> DataFrame:
-    """Rolling correlation of rolling-standardized log returns with a benchmark, and its rank per date."""
+def correlation(prices: DataFrame, benchmark, n: int = 63, price: str = "close", name: str | None = None, pad: bool = False, digits: int | None = None) -> DataFrame:
+    """Rolling correlation of rolling-standardized log returns with a benchmark, and its rank per date; ``digits`` as in :func:`beta`."""
     name = name or str(benchmark)
     filled = log_returns(prices, price, pad).withColumn("r", F.coalesce("r", F.lit(0.0)))
     scored = filled.withColumns({"_m": rolling("r", n), "_s": rolling("r", n, "std")}).withColumn(
@@ -235,7 +239,7 @@ def correlation(prices: DataFrame, benchmark, n: int = 63, price: str = "close",
     both = _with_benchmark(scored.select(TIME, KEY, "z"), "z", benchmark)
     moments = rolling_moments(both, "z", "_b", n)
     raw = moments.withColumn("_corr", ratio("cov", F.sqrt(F.greatest(F.col("var_a") * F.col("var_b"), F.lit(0.0)))))
-    moved = raw.select(TIME, KEY, lag_n("_corr", 1).alias(f"{name}_correl"))
+    moved = raw.select(TIME, KEY, _rounded(lag_n("_corr", 1), digits).alias(f"{name}_correl"))
     return avg_rank(moved, f"{name}_correl", f"{name}_correl_rank")
 
 

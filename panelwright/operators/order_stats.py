@@ -22,6 +22,7 @@ from panelwright.session import durable
 
 CHUNKS_PER_E = 230.0  # about 160 chunks per power of two
 _SHIFT = 200_000  # ln of a double stays within +-746
+CUTS = 4096
 _ALL = "_all"
 
 
@@ -49,36 +50,59 @@ def hex_chunk_of(value: Column) -> Column:
     return F.conv(F.substring(value, 1, 3), 16, 10).cast("int")
 
 
-def _chunk_counts(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per group and chunk with the number of rows in lower chunks and in the group."""
+def cut_of(value: Column, low: Column, high: Column) -> Column:
+    """Place of a double among ``CUTS`` equal parts of [low, high]; increasing."""
+    span = high / 2 - low / 2  # halves, as the difference of large values may overflow
+    place = F.floor((value / 2 - low / 2) / F.nullif(span, F.lit(0.0)) * CUTS)
+    return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.lit(CUTS)), F.lit(0)).cast("int")
+
+
+def hex_cut_of(value: Column, low: Column, high: Column) -> Column:
+    """The same of a hexadecimal digest: its next three digits."""
+    return F.conv(F.substring(value, 4, 3), 16, 10).cast("int")
+
+
+def _running(counts: DataFrame, keys: Sequence[str], first: str, cut) -> DataFrame:
+    """Distinct values (keys, chunk, value, n) with the rows of their chunk up to each, itself included, as ``upto``.
+
+    ``first`` names the least and greatest value of the chunk, columns ``_low`` and ``_high``.
+    Only the values of one part of a chunk are ordered together.
+    """
+    placed = counts.withColumn("_cut", cut(F.col(first), F.col("_low"), F.col("_high")))
+    parts = placed.groupBy(*keys, "chunk", "_cut").agg(F.sum("n").alias("_part_n"))
+    lower = Window.partitionBy(*keys, "chunk").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "chunk", "_cut", F.coalesce(F.sum("_part_n").over(lower), F.lit(0)).alias("_part_before"))  # at most CUTS + 1 rows a chunk
+    inside = Window.partitionBy(*keys, "chunk", "_cut").orderBy(first).rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.join(parts, [*keys, "chunk", "_cut"])
+    return joined.withColumn("upto", F.col("_part_before") + F.sum("n").over(inside)).drop("_part_before", "_cut")
+
+
+def _chunk_counts(rows: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """Rows per group and chunk with the number of rows in lower chunks and in the group, and the chunk's ends."""
     group = Window.partitionBy(*by)
     lower = group.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.groupBy(*by, "chunk")
-        .agg(F.count(F.lit(1)).alias("chunk_n"))
+        .agg(F.count(F.lit(1)).alias("chunk_n"), F.min(value).alias("_low"), F.max(value).alias("_high"))
         .select(
             *by,
             "chunk",
             "chunk_n",
+            "_low",
+            "_high",
             F.coalesce(F.sum("chunk_n").over(lower), F.lit(0)).alias("chunk_before"),
             F.sum("chunk_n").over(group).alias("total"),
         )
     )
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str], chunk=chunk_of) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, by: Sequence[str], chunk=chunk_of, cut=cut_of) -> DataFrame:
     """One row per group and distinct value: ``n`` copies, ``before`` smaller rows, ``total`` rows."""
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, value, chunk(F.col(value)).alias("chunk"))
     counts = rows.groupBy(*by, "chunk", value).agg(F.count(F.lit(1)).alias("n"))
-    inside = Window.partitionBy(*by, "chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.join(_chunk_counts(rows, by), [*by, "chunk"]).select(
-        *by,
-        value,
-        "n",
-        (F.col("chunk_before") + F.sum("n").over(inside) - F.col("n")).alias("before"),
-        "total",
-    )
+    placed = _running(counts.join(_chunk_counts(rows, by, value), [*by, "chunk"]), by, value, cut)
+    return placed.select(*by, value, "n", (F.col("chunk_before") + F.col("upto") - F.col("n")).alias("before"), "total")
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -110,7 +134,7 @@ def quantiles(
     )
     targets = (
         _chunk_counts(long, keys)
-        .select(*keys, "chunk", "chunk_before", "total", here.alias("wanted"))
+        .select(*keys, "chunk", "chunk_before", "total", "_low", "_high", here.alias("wanted"))
         .where(F.size("wanted") > 0)
     )
     bound = bounded_by_dates(by_)
@@ -122,9 +146,10 @@ def quantiles(
         F.first("wanted").alias("wanted"),
         F.first("chunk_before").alias("chunk_before"),
         F.first("total").alias("total"),
+        F.first("_low").alias("_low"),
+        F.first("_high").alias("_high"),
     )
-    inside = Window.partitionBy(*keys, "chunk").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_end", F.col("chunk_before") + F.sum("n").over(inside))
+    ranked = _running(counts, keys, "value", cut_of).withColumn("_end", F.col("chunk_before") + F.col("upto"))
     hits = F.filter("wanted", lambda i: (i >= F.col("_end") - F.col("n")) & (i < F.col("_end")))
     entries = ranked.select(*keys, "total", "value", F.explode(hits).alias("index"))
 
@@ -150,9 +175,14 @@ def quantiles(
 def with_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",)
 ) -> DataFrame:
-    """Rows with the ``q_<col>`` arrays of their group attached."""
-    frame, keys = _grouped(durable(df), by)
-    stats = quantiles(frame, cols, probs, keys)
+    """Rows with the ``q_<col>`` arrays of their group attached.
+
+    Only the group and the ranked columns are written, for the passes that count them; the
+    rows themselves are read once, where the arrays are attached.
+    """
+    frame, keys = _grouped(df, by)
+    narrow = durable(frame.select(*keys, *dict.fromkeys(c for c in cols if c not in keys))) if not getattr(df, "_written", False) else frame
+    stats = quantiles(narrow, cols, probs, keys)
     out = attach(frame, stats, keys, max_rows=bounded_by_dates(keys), width=8 * len(cols) * (len(probs) + 1))
     return out if by else out.drop(_ALL)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.columns import KEY, TIME
-from panelwright.operators.order_stats import hex_chunk_of, value_ranks
+from panelwright.operators.order_stats import hex_chunk_of, hex_cut_of, value_ranks
 from panelwright.operators.sizes import attach, bounded_by_dates
 
 
@@ -73,7 +73,7 @@ def stable_sample(df: DataFrame, frac: float, id_col: str, by: Sequence[str] = (
     frame = df if by else df.withColumn("_all", F.lit(0))
     of_id, of_row = F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed)))), F.hex(F.xxhash64(*df.columns))
     marked = frame.withColumn("_h", F.concat(of_id, F.lpad(of_row, 16, "0")))
-    ranks = value_ranks(marked.select(*keys, "_h"), "_h", keys, hex_chunk_of)
+    ranks = value_ranks(marked.select(*keys, "_h"), "_h", keys, hex_chunk_of, hex_cut_of)
     left = F.floor(F.col("total") * F.lit(float(frac))) - F.col("before")
     chosen = ranks.where(left > 0).select(*keys, "_h", F.least("n", left).alias("_take"))
     rows = marked.dropDuplicates([*keys, "_h"]).join(chosen, [*keys, "_h"])

@@ -708,15 +708,31 @@ def incremental_append(spark, d):
     return rnd(spark.read.parquet(target))
 
 
-@query("snk04_full_refresh", S(f"SELECT date, ticker, {rs('close')} FROM months WHERE volume > 60", "months"))
+@query("snk04_full_refresh", S(f"SELECT date, ticker, {rs('close', 'volume')} FROM months", "months"))
 def full_refresh(spark, d):
     target = scratch(spark, "refresh")
     rows = V.months(spark, d).select("date", "ticker", "close", "volume")
+    O.overwrite_table(rows.where("volume > 60").drop("volume"), target)  # an earlier state, with other rows and columns
     O.overwrite_table(rows, target)
-    O.overwrite_table(rows.where("volume > 60").drop("volume"), target)
     return rnd(spark.read.parquet(target))
 
 
+@query(
+    "snk03_repeatable_append",
+    S(f"SELECT dcm_security_id, m.ticker, date, {r('p.close', 'close')} FROM prices p JOIN (SELECT dcm_security_id, ticker FROM master) m ON m.dcm_security_id = p.ticker", "prices", "master"),
+)
+def repeatable_append(spark, d):
+    """The rows in three deliveries, one of them twice and one with the mark's own day in two parts."""
+    target = scratch(spark, "days")
+    side = V.master(spark, d).select("ticker", "dcm_security_id")
+    rows = J.lookup(V.prices(spark, d).select("date", F.col("ticker").alias("id"), "close"), side.withColumnRenamed("dcm_security_id", "id"), "id", "inner", ["ticker"]).drop("id")
+    mark = F.lit("1999-01-04").cast("date")
+    early = rows.where((F.col("date") < mark) | ((F.col("date") == mark) & (F.col("close") < 1000)))
+    for part in (early, early, rows, rows.where(F.col("date") >= mark)):
+        O.append_days(spark, part, target, side, unit="month")
+    return rnd(O.read_days(spark, target))
+
+
 @query("snk06_sharded_csv", "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name FROM supplier")
 def sharded_csv(spark, d):
     folder = scratch(spark, "shards")

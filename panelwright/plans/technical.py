@@ -8,6 +8,7 @@ from panelwright.functions import columns as C
 from panelwright.operators import calendar as CAL
 from panelwright.operators import indicators as T
 from panelwright.operators import recursive as U
+from panelwright.operators.grid import densify
 from panelwright.plans import views as V
 from panelwright.plans.core import _clip_sql
 from panelwright.plans.registry import query, r, rnd, rs
@@ -221,11 +222,7 @@ def _beta_sql(denominator: str) -> str:
 
 
 def _beta_rows(spark, d, denominator):
-    from panelwright.operators.order_stats import avg_rank
-
-    raw = T.beta(V.prices(spark, d), 1, 63, name="SPY", pad=True, denominator=denominator).drop("SPY_beta_rank")
-    fixed = raw.withColumn("SPY_beta", F.round("SPY_beta", 6))
-    return rnd(avg_rank(fixed, "SPY_beta", "SPY_beta_rank"), 9)
+    return rnd(T.beta(V.prices(spark, d), 1, 63, name="SPY", pad=True, denominator=denominator, digits=6), 9)
 
 
 @query("t15_beta", _beta_sql("a"))
@@ -241,9 +238,9 @@ def beta_textbook(spark, d):
 @query(
     "t16_correlation",
     S(
-        f"""SELECT date, ticker, {r('lag(raw) OVER w', 'SPY_correl', 5)} FROM
+        f"""SELECT date, ticker, correl + 0 AS "SPY_correl", {_rank_avg('correl')} AS "SPY_correl_rank" FROM (SELECT date, ticker, round(lag(raw) OVER w, 5) AS correl FROM
         (SELECT a.date, a.ticker, CASE WHEN count(a.z) {over(63)} = 63 AND count(b.z) {over(63)} = 63 THEN covar_samp(a.z, b.z) {over(63)} / nullif(stddev_samp(a.z) {over(63)} * stddev_samp(b.z) {over(63)}, 0) END AS raw
-         FROM z a LEFT JOIN (SELECT date, z FROM z WHERE ticker = 1) b ON a.date = b.date) m {W}""".replace(
+         FROM z a LEFT JOIN (SELECT date, z FROM z WHERE ticker = 1) b ON a.date = b.date) m {W}) n""".replace(
             "PARTITION BY ticker ORDER BY date ROWS", "PARTITION BY a.ticker ORDER BY a.date ROWS"
         ),
         "grid",
@@ -253,7 +250,7 @@ def beta_textbook(spark, d):
     ),
 )
 def correlation(spark, d):
-    return rnd(T.correlation(V.prices(spark, d), 1, 63, name="SPY", pad=True).drop("SPY_correl_rank"), 5)
+    return rnd(T.correlation(V.prices(spark, d), 1, 63, name="SPY", pad=True, digits=5), 9)
 
 
 _LIQ = f"""SELECT date, ticker, {r('lag(retvol) OVER w', 'retvol')}, {r('lag(maxret) OVER w', 'maxret')}, {r('lag(dolvol) OVER w', 'dolvol')},
@@ -293,17 +290,18 @@ def share_change(spark, d):
 @query(
     "t18_turnover_volatility",
     S(
-        f"""SELECT date, ticker, {r('v', 'std_turn')} FROM (SELECT date, ticker, {roll('stddev_samp', 'turnover', 4, shift=1)} AS v FROM
-        (SELECT date, ticker, volume / close AS turnover FROM (SELECT d.date, t.ticker, m.volume, m.close FROM (SELECT DISTINCT date FROM months) d
-          CROSS JOIN (SELECT DISTINCT ticker FROM months) t LEFT JOIN months m ON m.date = d.date AND m.ticker = t.ticker) g) a) b WHERE v IS NOT NULL""",
-        "months",
+        f"""SELECT date, ticker, {r('v', 'std_turn')} FROM (SELECT date, ticker, {roll('stddev_samp', 'turnover', 21, shift=1)} AS v FROM
+        (SELECT date, ticker, {fill('turnover')} AS turnover FROM (SELECT date, ticker, volume / close AS turnover FROM grid) g) a) b WHERE v IS NOT NULL""",
+        "grid",
     ),
 )
 def turnover_volatility(spark, d):
     from panelwright.operators.fundamentals import turnover_vol
 
-    rows = V.months(spark, d).select("date", "ticker", (F.col("volume") / F.col("close")).alias("turnover"))
-    return rnd(turnover_vol(rows, 4))
+    rows = V.prices(spark, d).select("date", "ticker", (F.col("volume") / F.col("close")).alias("turnover"))
+    # a day without trades keeps the last turnover
+    grid = densify(rows, cols=["turnover"], lead_in=False).withColumn("turnover", C.ffill("turnover"))
+    return rnd(turnover_vol(grid))
 
 
 def _ppo_term(fast: int, slow: int) -> str:

@@ -55,6 +55,39 @@ def append_new(
     new_rows(df, written, master, mark).write.mode("append").parquet(target)
 
 
+PART = "_part"
+
+
+def read_days(spark: SparkSession, target: str) -> DataFrame:
+    """A table that :func:`append_days` keeps."""
+    return spark.read.parquet(target).drop(PART)
+
+
+def append_days(spark: SparkSession, df: DataFrame, target: str, master: DataFrame, mark: str = "date", unit: str = "day") -> None:
+    """Append by whole days (or another ``unit`` of date_trunc), so that a delivery can be written again.
+
+    Rows before the day of the high-water mark are known; that day and later ones are
+    written anew, from what the table holds of them and the delivered rows it lacks (a row
+    delivered n times is there n times).  A repeated delivery thus changes nothing, and
+    late rows of the mark's own day get in.  Days are replaced when the job commits, all or
+    none of them as far as the store's committer can; a failed one can simply run again.
+    """
+    known = lookup(df.where(F.col("ticker").isNotNull()), master, "ticker", "inner", ["dcm_security_id"]).withColumn(PART, F.to_date(F.date_trunc(unit, mark)))
+    fresh = known
+    try:
+        held = spark.read.parquet(target).select(*known.columns)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise  # no target yet, or one without a day
+    else:
+        high = held.agg(F.max(PART)).scalar()
+        late = known.where(high.isNull() | (F.col(PART) >= high))
+        there = held.where(F.col(PART) >= high)
+        fresh = there.unionByName(late.exceptAll(there))
+    # a day may be large, so its rows are not forced into one task; Spark splits and merges to files of even size
+    fresh.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(target)
+
+
 def as_json(df: DataFrame, cols: Sequence[str] | None = None, out: str = "json") -> DataFrame:
     """Row as nested text: every leaf value is written as a string."""
     cols = list(cols or df.columns)

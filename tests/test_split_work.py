@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.operators import gram, joins, models, picks, strategy
+from panelwright.operators import gram, joins, models, order_stats, picks, strategy
 from panelwright.plans import joining
-from panelwright.sources import buckets
+from panelwright.sources import buckets, writers
 
 DAY = dt.date(2020, 1, 1)
 SF = "/root/testdata/sf0.001"
@@ -159,3 +159,69 @@ def test_features_without_spread_and_no_rows(spark):
     assert np.allclose([row.intercept, *row.weights], [-1, 0, 2])
     none = gram.fits(gram.moments(flat.limit(0), ["a", "b"], "y"), ["a", "b"], [], [("ols", 0.0, 1.0)]).first()
     assert none.intercept is None or np.isnan(none.intercept)
+
+
+# ---- order statistics
+
+
+@pytest.fixture(scope="module")
+def narrow(spark):
+    """40 000 values in a 0.4 % range and a few far away."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([1000 + 4 * rng.random(40_000), [1e-300, -5.0, 1e300, 0.0], np.full(500, 1002.0)])
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i long, x double").repartition(5), values
+
+
+def test_a_narrow_range_is_spread(spark, narrow):
+    df, values = narrow
+    rows = df.select(F.lit(0).alias("g"), "x", order_stats.chunk_of(F.col("x")).alias("chunk"))
+    counts = rows.groupBy("g", "chunk", F.col("x").alias("value")).agg(F.count("*").alias("n")).join(order_stats._chunk_counts(rows, ["g"], "x"), ["g", "chunk"])
+    assert counts.groupBy("chunk").count().agg(F.max("count")).first()[0] > 30_000
+    cut = order_stats.cut_of(F.col("value"), F.col("_low"), F.col("_high"))
+    assert counts.groupBy("chunk", cut).count().agg(F.max("count")).first()[0] < 60  # ordered in one task
+    got = {r.i: r.r for r in order_stats.avg_rank(df, "x", "r", []).collect()}
+    order = np.argsort(values, kind="stable")
+    first = np.searchsorted(values[order], values, "left")
+    last = np.searchsorted(values[order], values, "right")
+    assert np.allclose([got[i] for i in range(len(values))], (first + 1 + last) / 2)
+
+
+def test_quantiles_of_a_narrow_range(narrow):
+    df, values = narrow
+    probs = [0.0, 0.005, 0.25, 0.5, 0.995, 1.0]
+    got = order_stats.quantiles(df, ["x"], probs, []).first().q_x
+    assert np.allclose(got[1:5], np.quantile(values, probs[1:5]), rtol=1e-12) and got[0] == -5.0 and got[5] == 1e300
+
+
+def test_only_ranked_columns_are_written(spark, monkeypatch):
+    written = []
+    plain = order_stats.durable
+    monkeypatch.setattr(order_stats, "durable", lambda df: (written.append(df.columns), plain(df))[1])
+    df = spark.createDataFrame([(DAY, 1, 1.0, "wide"), (DAY, 2, 100.0, "wide")], "date date, ticker long, x double, other string")
+    assert order_stats.winsorize(df, ["x"]).columns == df.columns
+    assert written == [["date", "x"]]
+
+
+# ---- appends by day
+
+
+def test_appends_by_day_can_be_repeated(spark, tmp_path):
+    rows = [(dt.date(2020, 1, d), "A", float(d)) for d in range(1, 6)] + [(dt.date(2020, 1, 3), "A", 3.0), (dt.date(2020, 1, 2), "B", 0.0), (dt.date(2020, 1, 2), None, 0.0)]
+    df = spark.createDataFrame(rows, "date date, ticker string, x double")
+    side = spark.createDataFrame([("A", 1)], "ticker string, dcm_security_id bigint")
+    target, held = str(tmp_path / "t"), lambda: sorted((r.date.day, r.x) for r in writers.read_days(spark, target).collect())
+    writers.append_days(spark, df.where("x <= 3").dropDuplicates(), target, side)
+    writers.append_days(spark, df.where("x <= 3").dropDuplicates(), target, side)
+    assert held() == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    # a late row of the mark's own day, twice there, and new days
+    writers.append_days(spark, df, target, side)
+    assert held() == [(1, 1.0), (2, 2.0), (3, 3.0), (3, 3.0), (4, 4.0), (5, 5.0)]
+    # a delivery that fails halfway leaves the table as it was, and runs again
+    broken = df.withColumn("x", F.when(F.col("date") == "2020-01-05", F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("x") + 1))
+    with pytest.raises(Exception, match="lost"):
+        writers.append_days(spark, broken, target, side)
+    assert len(held()) == 6
+    # a feed that brings only what is new
+    writers.append_days(spark, spark.createDataFrame([(dt.date(2020, 1, 5), "A", 5.5), (dt.date(2020, 1, 6), "A", 6.0)], df.schema), target, side)
+    writers.append_days(spark, df, target, side)
+    assert held()[4:] == [(4, 4.0), (5, 5.0), (5, 5.5), (6, 6.0)]
