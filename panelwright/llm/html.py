@@ -3,9 +3,12 @@
 A page is a sequence of words and tags.  Words score above zero and tags below, by
 weights learned from labelled pages; one linear scan finds the contiguous run of the
 highest score.  Elements that never hold the article (menus, forms, scripts,
-adverts, comments and so on, by name, role or class) are taken out before the scan.  The
-run is then widened to whole blocks, or to the element that marks the article where
-the page has one.
+adverts, comments and so on, by name, role or class) are taken out before the scan.  A
+class tells so as a whole word, or as a compound of such words and words of layout
+(``ad-slot``, ``site-footer``), not by a part of it (``with-sidebar``, ``related-work``);
+and no other element than menus, footers, asides, scripts and readers' remarks goes if
+it holds the mark of an article or most of the page's words.  The run is then widened to whole blocks, or to all
+elements marking an article that it covers words of.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:
 RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NEVER = RAW | {"head", "title", "nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "object", "dialog", "menu", "audio", "video", "math"}
+BESIDE = RAW | {"head", "nav", "footer", "aside", "select", "menu", "dialog"}  # whatever they hold
 MARKS = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -44,22 +49,38 @@ ASIDE = set(
     "promo promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "teaser toolbar widget".split()
 )
+# fixed values: words of layout that may stand beside those in a compound name
+LAYOUT = set(
+    "area article articles bar block blocks bottom box btn button buttons col column container content count entry feed field footer form group header "
+    "icon icons inner item items label left link links list main media middle outer page panel post posts right row section site slot "
+    "thread title top unit wrap wrapper zone".split()
+)
 OUTER = {"header", "alert"}  # tell of it only outside an article
 REMARKS = {"comment", "comments", "reply", "replies", "ad", "advert", "advertisement", "sponsored", "promo", "related", "teaser"}
 
 
+def _tells(names: str, of: set[str]) -> bool:
+    """Whether one of the names is a word of the set, or a compound of such words and words of layout."""
+    for name in names.split():
+        words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        if any(x in of for x in words) and all(x in of or x in ASIDE or x in LAYOUT for x in words):
+            return True
+    return False
+
+
 def _is_aside(name: str, more: str, inside_article: bool) -> bool:
     if name in NEVER or (name == "header" and not inside_article):
         return True
     if name in ("html", "body") or not more:
         return False
     for m in ATTRIBUTE.finditer(more):
-        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value.lower())):
             return True
+        if key == "id" and (name in HEADINGS or (inside_article and value.lower() not in REMARKS)):
+            continue  # names a part of the text
         if key in ("class", "id", "role"):
-            found = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()))
-            if found & (REMARKS if name in MARKS else ASIDE) or (name not in MARKS and not inside_article and found & OUTER):
+            if _tells(value, REMARKS if name in MARKS else ASIDE) or (name not in MARKS and not inside_article and _tells(value, OUTER)):
                 return True
     return False
 
@@ -100,12 +121,26 @@ def kept_tokens(found: list[tuple[str, str, bool]]) -> list[tuple[str, str, bool
                 closes[opened[name].pop()] = i
         else:
             opened.setdefault(name, []).append(i)
+    # words and marks before each token
+    words, begun, raw = [0], [0], 0
+    for i, (name, text, end) in enumerate(found):
+        raw = raw + (-1 if end else 1) if name in RAW else raw
+        words.append(words[-1] + (0 if name or raw > 0 else len(text.split())))
+        begun.append(begun[-1] + (name in MARKS and not end))
+
+    def holds_the_text(i: int) -> bool:
+        name, more, _ = found[i]
+        told = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(more)]
+        if name in BESIDE or i not in closes or any(key in ("hidden", "aria-hidden", "style") or _tells(value, REMARKS) for key, value in told):
+            return False
+        return begun[closes[i]] > begun[i + 1] or 2 * (words[closes[i]] - words[i]) > words[-1]
+
     out, i, marks = [], 0, 0
     while i < len(found):
         name, more, end = found[i]
         if name in MARKS:
             marks += -1 if end else 1
-        if name and not end and name not in VOID and _is_aside(name, more, marks > (name in MARKS)):
+        if name and not end and name not in VOID and _is_aside(name, more, marks > (name in MARKS)) and not holds_the_text(i):
             marks -= name in MARKS
             out.append(("hr", "", False))  # blocks on both sides stay apart
             if i in closes:
@@ -158,17 +193,16 @@ def extract(page: str, weights: dict[str, float]) -> str:
     first, end = best_run(found, weights)
     if first == end:
         return ""
-    # of the marked elements, the one that shares most tokens with the run
-    shared = max(((min(end, b) - max(first, a), a, b) for a, b in marked(found)), default=(0, 0, 0))
-    if shared[0] > 0:
-        first, end = shared[1:]
-    else:
+    # the marked elements that the run covers words of
+    covered = [(a, b) for a, b in marked(found) if any(not n and t.strip() for n, t, _ in found[max(first, a) : min(end, b)])]
+    if not covered:
         while first > 0 and found[first - 1][0] not in BLOCKS:
             first -= 1
         while end < len(found) and found[end][0] not in BLOCKS:
             end += 1
+        covered = [(first, end)]
     blocks, parts = [], []
-    for name, text, _ in [*found[first:end], ("hr", "", False)]:
+    for name, text, _ in [t for a, b in covered for t in [*found[a:b], ("hr", "", False)]]:
         if not name:
             parts.append(text)
         elif name == "br":

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.llm import lexical, lines, merkle, topk
+from panelwright.llm import html, lexical, lines, merkle, topk
 from panelwright.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -180,6 +180,43 @@ def test_blocks_are_skipped_and_maxima_are_exact(spark):
     assert search.scored < 0.6 * pairs
 
 
+# ---- op4
+
+WEIGHTS = {"word": 0.5, "other": -1.0, "p": -0.3, "div": -0.5, "article": -0.5, "section": -0.3, "h2": -0.2}
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div class='content with-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='post no-comments has-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<article><p>{LONG}</p><section id='related-work'><h2 id='search-algorithms'>Search</h2><p>kept {LONG}</p></section></article>", f"{LONG}\nSearch\nkept {LONG}"),
+        (f"<div><article><p>{LONG}</p></article><article><p>two {LONG}</p></article></div>", f"{LONG}\ntwo {LONG}"),
+        (f"<body><div><p>{LONG}</p></div><div><p>two {LONG}</p></div></body>", f"{LONG}\ntwo {LONG}"),
+        (f"<form id='aspnet'><div class='page'><p>{LONG}</p></div></form>", LONG),
+        (f"<div class='widget'><main><p>{LONG}</p></main></div>", LONG),
+        (f"<div class='ad-slot'>{'buy now ' * 9}</div><article><p>{LONG}</p><div id='comments'><p>{LONG} {LONG}</p></div></article><div class='cookieNotice'>ok</div>", LONG),
+        (f"<div class='site-footer'>all rights</div><div><p>{LONG}</p></div><ul class='share-buttons'><li>send</li></ul>", LONG),
+        (f"<article><p>a</p></article><article class='teaser'><p>{LONG}</p></article>", "a"),
+        ("<article></article>", ""),
+        (f"<article><p>{LONG * 3000}</p></article>", LONG * 3000),
+    ],
+)
+def test_main_text_of_hard_pages(page, want):
+    assert html.extract(page, WEIGHTS) == want
+
+
+def test_best_run_equals_brute_force():
+    rng = random.Random(7)
+    for _ in range(200):
+        found = [(rng.choice(["p", "div", "x"]), "", False) if rng.random() < 0.6 else ("", "w " * rng.randint(0, 4), False) for _ in range(rng.randint(0, 14))]
+        score = [WEIGHTS.get(n, -1.0) if n else 0.5 * len(t.split()) for n, t, _ in found]
+        best = max([sum(score[a:b]) for a in range(len(score)) for b in range(a, len(score) + 1)], default=0.0)
+        first, end = html.best_run(found, WEIGHTS)
+        assert math.isclose(sum(score[first:end]), best, abs_tol=1e-9)
+
+
 # ---- op10
 
 
