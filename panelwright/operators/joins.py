@@ -72,6 +72,19 @@ def asof_days(days: DataFrame, right: DataFrame, on: str = TIME) -> DataFrame:
     return filled.where("_side = 1").select(on, "_m._at", *[F.col(f"_m.{c}").alias(c) for c in cols])
 
 
+def _cut_again(both: DataFrame, by: Sequence[str], on: str, day: bool, bound: int) -> DataFrame:
+    """``_cut`` of pieces that hold over ``bound`` rows, at moments where their running count passes multiples of it, and the ``_shares`` of its left rows."""
+    moment = F.unix_date(F.col(on)) if day else F.unix_seconds(F.col(on).cast("timestamp"))
+    both = both.withColumn("_moment", moment.cast("long"))
+    large = both.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > bound).select(*by, "_piece")
+    ahead = Window.partitionBy(*by, "_piece").orderBy("_moment").rowsBetween(Window.unboundedPreceding, -1)
+    moments = both.select(*by, "_piece", "_moment").join(large, [*by, "_piece"], "left_semi").groupBy(*by, "_piece", "_moment").agg(F.count(F.lit(1)).alias("_rows"))
+    cuts = moments.withColumn("_cut", F.floor(F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) / bound))
+    whole = Window.partitionBy(*by, "_piece", "_cut")
+    cuts = cuts.select(*by, "_piece", "_moment", "_cut", F.ceil(F.sum("_rows").over(whole) / (2 * bound)).cast("int").alias("_shares"))
+    return both.join(cuts, [*by, "_piece", "_moment"], "left").withColumns({"_cut": F.coalesce("_cut", F.lit(0)), "_shares": F.coalesce("_shares", F.lit(1))})
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -80,7 +93,7 @@ def asof_join(
     tolerance: int | None = None,
     ties: Sequence[str] = (),
     piece: Column | None = None,
-    bound: int = PIECE,
+    bound: int | None = None,
 ) -> DataFrame:
     """Each left row with the latest right row at or before it, within ``tolerance`` days.
 
@@ -88,7 +101,9 @@ def asof_join(
     distinct day and joined back.  With ``by`` both sides are united and the
     last right row carried forward; keys are cut into pieces of time (months
     unless given), and each piece starts from the last right row of the pieces before
-    it.  A piece of over ``bound`` rows is cut again, at the seconds (or days) where its
+    it.  Where times are finer than days, a piece of over ``bound`` rows (PIECE unless
+    given; 0: never) is cut again; tables of days hold a row per key and day, and are cut
+    so if a bound is given.  Cuts lie at the seconds (or days) where its
     row count passes multiples of ``bound``; left rows that share one moment are dealt
     out beyond that, each share with the right rows of its cut.
     """
@@ -116,16 +131,9 @@ def asof_join(
         .unionByName(right_rows.withColumn("_side", F.lit(0)), allowMissingColumns=True)
         .withColumn("_piece", month)
     )
-    # pieces that hold too much, cut where their running count passes multiples of the bound
-    moment = F.unix_date(F.col(on)) if left.schema[on].dataType.simpleString() == "date" else F.unix_seconds(F.col(on).cast("timestamp"))
-    both = both.withColumn("_moment", moment.cast("long"))
-    large = both.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > bound).select(*by, "_piece")
-    ahead = Window.partitionBy(*by, "_piece").orderBy("_moment").rowsBetween(Window.unboundedPreceding, -1)
-    moments = both.select(*by, "_piece", "_moment").join(large, [*by, "_piece"], "left_semi").groupBy(*by, "_piece", "_moment").agg(F.count(F.lit(1)).alias("_rows"))
-    cuts = moments.withColumn("_cut", F.floor(F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) / bound))
-    whole = Window.partitionBy(*by, "_piece", "_cut")
-    cuts = cuts.select(*by, "_piece", "_moment", "_cut", F.ceil(F.sum("_rows").over(whole) / (2 * bound)).cast("int").alias("_shares"))
-    both = both.join(cuts, [*by, "_piece", "_moment"], "left").withColumns({"_cut": F.coalesce("_cut", F.lit(0)), "_shares": F.coalesce("_shares", F.lit(1))})
+    day = left.schema[on].dataType.simpleString() == "date"
+    most = bound if bound is not None else 0 if day else PIECE
+    both = _cut_again(both, by, on, day, most) if most else both.withColumns({"_cut": F.lit(0).cast("long"), "_shares": F.lit(1)})
 
     last_of = F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct(F.col(on), F.col("_tie"))))
     before = Window.partitionBy(*by).orderBy("_piece", "_cut").rowsBetween(Window.unboundedPreceding, -1)
@@ -135,7 +143,7 @@ def asof_join(
         .select(*by, "_piece", "_cut", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
     )
     share = F.when(F.col("_side") == 1, F.array(F.pmod(F.xxhash64("_l"), F.col("_shares")))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("_shares").cast("long") - 1))
-    dealt = both.withColumn("_share", F.explode(share))
+    dealt = both.withColumn("_share", F.explode(share)) if most else both.withColumn("_share", F.lit(0).cast("long"))
     inside = (
         Window.partitionBy(*by, "_piece", "_cut", "_share").orderBy(on, "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -57,17 +57,14 @@ def cut_of(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.lit(CUTS)), F.lit(0)).cast("int")
 
 
-def hex_cut_of(value: Column, low: Column, high: Column) -> Column:
-    """The same of a hexadecimal digest: its next three digits."""
-    return F.conv(F.substring(value, 4, 3), 16, 10).cast("int")
-
-
-def _running(counts: DataFrame, keys: Sequence[str], first: str, cut) -> DataFrame:
+def _running(counts: DataFrame, keys: Sequence[str], first: str, cut=None) -> DataFrame:
     """Distinct values (keys, chunk, value, n) with the rows of their chunk up to each, itself included, as ``upto``.
 
     ``first`` names the least and greatest value of the chunk, columns ``_low`` and ``_high``.
-    Only the values of one part of a chunk are ordered together.
+    With ``cut`` only the values of one part of a chunk are ordered together.
     """
+    if cut is None:
+        return counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "chunk").orderBy(first).rowsBetween(Window.unboundedPreceding, 0)))
     placed = counts.withColumn("_cut", cut(F.col(first), F.col("_low"), F.col("_high")))
     parts = placed.groupBy(*keys, "chunk", "_cut").agg(F.sum("n").alias("_part_n"))
     lower = Window.partitionBy(*keys, "chunk").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +93,7 @@ def _chunk_counts(rows: DataFrame, by: Sequence[str], value: str = "value") -> D
     )
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str], chunk=chunk_of, cut=cut_of) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, by: Sequence[str], chunk=chunk_of, cut=None) -> DataFrame:
     """One row per group and distinct value: ``n`` copies, ``before`` smaller rows, ``total`` rows."""
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, value, chunk(F.col(value)).alias("chunk"))
@@ -115,7 +112,7 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",)
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",), spread: bool = False
 ) -> DataFrame:
     """Exact, linearly interpolated: one row per group, array column ``q_<col>`` in the order of ``probs``."""
     frame, by_ = _grouped(df, by)
@@ -149,7 +146,7 @@ def quantiles(
         F.first("_low").alias("_low"),
         F.first("_high").alias("_high"),
     )
-    ranked = _running(counts, keys, "value", cut_of).withColumn("_end", F.col("chunk_before") + F.col("upto"))
+    ranked = _running(counts, keys, "value", cut_of if spread else None).withColumn("_end", F.col("chunk_before") + F.col("upto"))
     hits = F.filter("wanted", lambda i: (i >= F.col("_end") - F.col("n")) & (i < F.col("_end")))
     entries = ranked.select(*keys, "total", "value", F.explode(hits).alias("index"))
 
@@ -173,26 +170,26 @@ def quantiles(
 
 
 def with_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",)
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ("date",), spread: bool = False
 ) -> DataFrame:
     """Rows with the ``q_<col>`` arrays of their group attached.
 
-    Only the group and the ranked columns are written, for the passes that count them; the
-    rows themselves are read once, where the arrays are attached.
+    The rows are written once for the passes that count, select and attach.  Writing the
+    ranked columns only, and making the rows a second time to attach to, took half as long
+    again.
     """
-    frame, keys = _grouped(df, by)
-    narrow = durable(frame.select(*keys, *dict.fromkeys(c for c in cols if c not in keys))) if not getattr(df, "_written", False) else frame
-    stats = quantiles(narrow, cols, probs, keys)
+    frame, keys = _grouped(durable(df), by)
+    stats = quantiles(frame, cols, probs, keys, spread)
     out = attach(frame, stats, keys, max_rows=bounded_by_dates(keys), width=8 * len(cols) * (len(probs) + 1))
     return out if by else out.drop(_ALL)
 
 
 def avg_rank(
-    df: DataFrame, value: str, out: str, by: Sequence[str] = ("date",), pct: bool = False
+    df: DataFrame, value: str, out: str, by: Sequence[str] = ("date",), pct: bool = False, spread: bool = False
 ) -> DataFrame:
     """Rank within a group, ties sharing their average; ``pct`` divides by the non-null count."""
     frame, keys = _grouped(durable(df), by)
-    ranks = value_ranks(frame.select(*keys, clean(value).alias("_v")), "_v", keys)
+    ranks = value_ranks(frame.select(*keys, clean(value).alias("_v")), "_v", keys, cut=cut_of if spread else None)
     place = F.col("before") + (F.col("n") + 1) / F.lit(2.0)
     if pct:
         place = place / F.col("total")
@@ -228,21 +225,21 @@ def bucket_of(value: Column, edges: Column, start: int = 0) -> Column:
 
 
 def qcut(
-    df: DataFrame, value: str, q: int = 5, by: Sequence[str] = (), start: int = 0, out: str | None = None
+    df: DataFrame, value: str, q: int = 5, by: Sequence[str] = (), start: int = 0, out: str | None = None, spread: bool = False
 ) -> DataFrame:
     """Quantile bucket with right-closed edges and duplicate edges dropped; null for a constant group."""
     probs = [round(i / q, 12) for i in range(q + 1)]
-    framed = with_quantiles(df, [value], probs, by)
+    framed = with_quantiles(df, [value], probs, by, spread)
     bucket = bucket_of(clean(value), F.col(f"q_{value}"), start)
     return framed.withColumn(out or f"{value}_qt", bucket).drop(f"q_{value}")
 
 
 def winsorize(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("date",), alpha: float = 0.01
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("date",), alpha: float = 0.01, spread: bool = False
 ) -> DataFrame:
     """Clip each column at its alpha/2 and 1 - alpha/2 quantiles within the group."""
     cols = list(cols)
-    framed = with_quantiles(df, cols, [alpha / 2, 1 - alpha / 2], by)
+    framed = with_quantiles(df, cols, [alpha / 2, 1 - alpha / 2], by, spread)
     clipped = {
         c: clip(clean(c), F.element_at(f"q_{c}", 1), F.element_at(f"q_{c}", 2)) for c in cols
     }
