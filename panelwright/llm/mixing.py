@@ -18,7 +18,7 @@ from panelwright.llm.tables import LAST_ID, put_back, rest
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64  # words
 SHARD = 4096  # slots of an output shard
-BUCKETS = 4096  # pieces a source is numbered in
+BUCKETS, ROWS = 4096, 8192  # pieces a source is numbered in, at least, and rows that ask for one more
 CHUNK = 1024  # slots made from one row
 WEIGHTS = (1, 2, 3)
 TIMES = 3  # a source gives its words so many times at most
@@ -42,19 +42,22 @@ def permuted(i: Column, n: Column, *seed: Column) -> Column:
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Every row with its place among its source's words (``off``), its source's facts and a key (sid, bucket, nth).
 
-    A source is numbered in ``BUCKETS`` pieces that are joined by the sums before
-    them, so no task holds a source.  Sources are one row each in the tables of facts.
+    A source is numbered in pieces that are joined by the sums before them, so no task
+    holds a source.  Rows go to pieces by id and text, so those of a null or repeated id
+    spread; there is a piece for each ``ROWS`` rows of the input, ``BUCKETS`` at least.
+    Sources are one row each in the tables of facts.
     """
     size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
     source = F.col(f"`{source_col}`").cast("string")
+    pieces = docs.agg(F.greatest(F.lit(BUCKETS).cast("long"), F.ceil(F.count(F.lit(1)) / ROWS))).scalar()
     base = docs.select(
         rest(docs, text_col).alias("rest"),
         F.col(f"`{text_col}`").alias("text"),
         doc.alias("doc"),
         source.isNull().alias("unnamed"),
         F.coalesce(source, F.lit("")).alias("src"),
-        F.pmod(F.xxhash64(doc), F.lit(BUCKETS)).alias("bucket"),
+        F.pmod(F.xxhash64(doc, F.col(f"`{text_col}`")), pieces).alias("bucket"),
         size.alias("size"),
     )
     keys = ["unnamed", "src", "bucket"]

@@ -91,16 +91,16 @@ def _seed_rows(length: int, k: int):
 
 
 def _window_rows(length: int, k: int):
-    """(a, b, doc, settled) of the windows that hold a shared seed; a slice sends a window to the others
+    """(a, b, doc, t, settled) of the windows that hold a shared seed; a slice sends a window to the others
     for its smallest document only, the larger ones are settled where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, source, shared = w.longs(batch.column(0)), w.longs(batch.column(1)), batch.column(2)
+            doc, source, shared, text = w.longs(batch.column(0)), w.longs(batch.column(1)), batch.column(2), w.longs(batch.column(4))
             mine = np.flatnonzero((doc == source) & shared.is_valid().to_numpy(zero_copy_only=False))
             if not len(mine):
                 continue
-            shared, doc = shared.take(pa.array(mine)), doc[mine]
+            shared, doc, text = shared.take(pa.array(mine)), doc[mine], text[mine]
             for first, end, _, _, _, _, bounds, h in _hashed(batch.column(3).take(pa.array(mine))):
                 grams, inside, at = _seeds(h, bounds, length, k)
                 if not len(at):
@@ -117,16 +117,16 @@ def _window_rows(length: int, k: int):
                     continue
                 a = w.ngrams(h, length)[inside].view(np.int64)
                 b = (w.ngrams(h, length, SECOND)[inside] >> w.U(32)).astype(np.int64)
-                d = doc[first:][owner]
-                order = np.lexsort((d, b, a))
-                a, b, d = a[order], b[order], d[order]
-                keep = _first_of(a, b, d)
-                a, b, d = a[keep], b[keep], d[keep]
+                d, t = doc[first:][owner], text[first:][owner]
+                order = np.lexsort((t, d, b, a))
+                a, b, d, t = a[order], b[order], d[order], t[order]
+                keep = _first_of(a, b, d, t)
+                a, b, d, t = a[keep], b[keep], d[keep], t[keep]
                 new = _first_of(a, b)
                 settled = d > d[new][np.cumsum(new) - 1]
                 b = np.where(settled, w.mix(d.view(np.uint64)).view(np.int64), b)  # these need not meet the others
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(d), pa.array(settled)], names=["a", "b", "doc", "settled"]
+                    [pa.array(a), pa.array(b), pa.array(d), pa.array(t), pa.array(settled)], names=["a", "b", "doc", "t", "settled"]
                 )
 
     return run
@@ -225,12 +225,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     facts = first.join(shared, "t", "left")
     windows = (
         base.join(facts, "t")
-        .select("doc", "source", "shared", "text", "rest")  # all columns, so that both joins read one exchange of the texts
-        .mapInArrow(w.trimmed(_window_rows(length, gram)), "a long, b long, doc long, settled boolean")
+        .select("doc", "source", "shared", "text", "t", "rest")  # all columns, so that both joins read one exchange of the texts
+        .mapInArrow(w.trimmed(_window_rows(length, gram)), "a long, b long, doc long, t long, settled boolean")
     )
     least = F.min("doc").over(Window.partitionBy("a", "b"))
-    gone = windows.withColumn("least", least).where("settled OR least < doc").groupBy("doc").agg(F.collect_list("a").alias("gone"))
-    facts = first.join(gone.withColumnRenamed("doc", "source"), "source", "left")
+    gone = windows.withColumn("least", least).where("settled OR least < doc").groupBy("t").agg(F.collect_set("a").alias("gone"))
+    facts = first.join(gone, "t", "left")
     return (
         base.join(facts, "t")
         .select("rest", "doc", "source", "gone", "text")
@@ -242,12 +242,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents with their repeated passages cut out and their length brought up to date; no row is dropped.
 
     A document without such passages stays as it is, one that is cut keeps the white space of what is left.
-    Only spaces after the last character of a text go.
     """
-    text = F.col(f"`{text_col}`")
-    if chars_col in docs.columns:
-        docs = docs.withColumn(chars_col, F.when(text.endswith(" "), F.length(F.rtrim(text))).otherwise(F.col(f"`{chars_col}`")).cast("long"))
-    docs = docs.withColumn(text_col, F.rtrim(text))
     cut = dedup_substrings(docs, id_col, text_col, length, gram, layout=True)
     new = {text_col: F.col("kept")}
     if chars_col in docs.columns:

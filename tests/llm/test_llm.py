@@ -95,6 +95,41 @@ def test_uncut_documents_keep_their_layout(spark):
     assert sorted(map(tuple, cut.collect())) == want
 
 
+def test_substrings_of_null_and_repeated_ids(spark, monkeypatch):
+    rng = random.Random(8)
+    passages = [" ".join(f"p{i}x{k}" for k in range(30)) for i in range(20)]
+    rows = [(i, f"{p} own{i}") for i, p in enumerate(passages)]
+    rows += [(None if i % 2 else 7, " ".join([f"u{i}", passages[i % 20], f"v{rng.random()}", passages[(i * 3 + 1) % 20]])) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    cut = substrings._cut
+
+    def counted(length, layout):
+        run = cut(length, layout)
+
+        def watch(batches):
+            for batch in batches:  # a text carries its own windows only
+                assert all(len(x or []) <= 60 for x in batch.column(3).to_pylist())
+                yield from run(iter([batch]))
+
+        seen.append(length)
+        return watch
+
+    monkeypatch.setattr(substrings, "_cut", counted)
+    got = [(r.rest.doc_id if r.rest.doc_id is not None else 2**63 - 1, r.n_words, r.n_removed, r.kept) for r in substrings.dedup_substrings(frame).collect()]
+    assert seen and sorted(got) == sorted(brute_cut(rows))
+
+
+def test_pieces_of_a_source_with_null_ids(spark, monkeypatch):
+    rows = spark.createDataFrame([(None, f"some words {i}", "a") for i in range(400)] + [(3, f"more {i}", "a") for i in range(200)], "doc_id long, text string, source string")
+    assert mixing.numbered(rows).groupBy("bucket").count().agg(F.max("count")).first()[0] < 10
+    monkeypatch.setattr(mixing, "BUCKETS", 2)
+    monkeypatch.setattr(mixing, "ROWS", 6)  # 600 rows ask for 100 pieces
+    assert 50 < mixing.numbered(rows).select("bucket").distinct().count() <= 100
+    placed = mixing.numbered(rows).select("off", "size").orderBy("off").collect()
+    assert [r.off for r in placed] == [sum(r["size"] for r in placed[:i]) for i in range(len(placed))]
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix_report(docs).collect()
     assert sorted(rows, key=str) == sorted(mixing.mix_report(docs.repartition(7)).collect(), key=str)
@@ -362,5 +397,10 @@ def test_pipeline(spark, docs, tmp_path):
         before, step = step, stage(spark, step, str(tmp_path))
         assert step.columns == docs.columns
         if name == "substring_dedup":
-            want = sorted((i, kept) for i, _, _, kept in brute_cut([(r.doc_id, r.text) for r in before.collect()]))
-            assert sorted((r.doc_id if r.doc_id is not None else 2**63 - 1, r.text) for r in step.collect()) == want
+            rows = [(r.doc_id, r.text) for r in before.collect()]
+            want = list(brute_cut(rows))
+            got = [(r.doc_id if r.doc_id is not None else 2**63 - 1, r.text) for r in step.collect()]
+            assert sorted((i, " ".join(WORD.findall(t))) for i, t in got) == sorted((i, kept) for i, _, _, kept in want)
+            # texts that are not cut stay as they are
+            same = collections.Counter((i, text) for (i, _, n, _), (_, text) in zip(want, rows) if not n)
+            assert same and not same - collections.Counter(got)
