@@ -112,7 +112,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     training = suffix_tree.is_training()
     counts, words = suffix_tree.count_words(docs.where(training))
-    tree = suffix_tree.learn(docs.where(training), words)
+    tree = suffix_tree.learn(docs.where(training), counts, words)
     scores = suffix_tree.score(docs, counts, tree).withColumnRenamed("id", "doc_id")
     return scores.select(
         "doc_id", (~training).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score"

@@ -1,19 +1,21 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
-Learning counts words, then what follows contexts of one and two words, over all
-training rows.  Both thresholds rise with the 2/3 power of the N training tokens: a
-context is a candidate if it is seen ``CONTEXT`` * N^(2/3) times or more, and states
-the symbols that follow it ``EVENT`` * N^(2/3) times or more.  So the tree grows with
-the corpus, as rarer shares are stated the larger it is, and holds N^(1/3) / EVENT
-symbols an order at most (60 million at 3e13 tokens).  A context is kept if its
-distribution diverges from its suffix's: the gain in log-likelihood must pass the
-cost of its parameters.  Stated symbols are discounted, and the rest of the mass
-goes to the suffix's distribution; the root is the smoothed word distribution.  A
-text is scored from the longest suffix state at each token.
-
-Words above ``HEAVY`` of all tokens (1 / HEAVY at most) and the tree are broadcast;
-contexts and stated symbols are heavy words.  The counts of all other words stay a
-table and meet the texts in a join.
+Learning counts words, then the grams of two and more words, over all training rows.
+A gram is a context and the symbol after it.  Contexts of up to ``DEPTH`` words seen
+``CONTEXT`` times or more are candidates, whatever the size of the corpus, and state
+the symbols seen ``EVENT`` times or more after them.  A context is kept if its
+distribution diverges from the one its suffix's state gives: the gain in
+log-likelihood must pass the cost of its parameters.  Stated symbols are discounted,
+and the rest of the mass goes to the suffix's distribution; the root is the smoothed
+word distribution.  A text is scored from the longest suffix state at each token.
+
+A token's score is the root's plus one term for each kept context that ends before it:
+the context's back-off, and where it states the token, what that adds.  So the tree is
+a table of (key, value) that texts join by key, and it grows with the corpus.  What
+tasks and the driver hold has a fixed bound: terms and words above ``HEAVY`` of all
+tokens (1 / HEAVY an order at most; texts need no join for them, so no key of the join
+is hot) and bitmaps of 2^``BITS`` bits, which only tell that a key is not in a table
+and let all keys pass where a table is too large for them.
 """
 
 from __future__ import annotations
@@ -29,17 +31,49 @@ from pyspark.sql import functions as F
 from panelwright.llm import words as w
 from panelwright.llm.tables import written
 
-HEAVY = 2.5e-7  # share of all training tokens
-EVENT, CONTEXT = 5e-4, 0.05  # times the 2/3 power of their number
-BITS, WORD_BITS = 22, 20  # of a symbol's number, and of each word's in a context: enough up to 1e14 tokens
+DEPTH = 4  # words of the longest context
+CONTEXT, EVENT = 32, 4  # occurrences
+HEAVY = 1e-6  # share of all training tokens
+BITS = 26
 ADD, DISCOUNT = 0.1, 0.5
 END = np.uint64(0x5851F42D4C957F2D)
+NODE = 0x3C6EF372FE94F82B  # tells the key of a context from that of the gram of the same words
+
+# The primes of XXH64.
+P1, P2, P3, P4, P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
 
 
 def is_training(id_col: str = "doc_id", folds: int = 10, held_out: int = 0) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(f"`{id_col}`").cast("string")), F.lit(folds)) != held_out, F.lit(True))
 
 
+def _hash_long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    def turned(v: np.ndarray, r: int) -> np.ndarray:
+        return (v << w.U(r)) | (v >> w.U(64 - r))
+
+    h = (seed + w.U(P5 + 8)) ^ (turned(x * w.U(P2), 31) * w.U(P1))
+    h = turned(h, 27) * w.U(P1) + w.U(P4)
+    h = (h ^ (h >> w.U(33))) * w.U(P2)
+    h = (h ^ (h >> w.U(29))) * w.U(P3)
+    return h ^ (h >> w.U(32))
+
+
+def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The keys of grams, from those of all words but the last and all but the first: Spark's ``xxhash64(context, suffix)``."""
+    return _hash_long(suffix, _hash_long(context, np.full(len(context), 42, np.uint64)))
+
+
+def _grams(token: np.ndarray, row: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, whether a gram lies in one text, keys of its context, keys of its suffix), by the place of the last word, for two words and more."""
+    key = token
+    for length in range(2, depth + 2):
+        if len(token) < length:
+            return
+        context, suffix = key[:-1], key[1:]
+        yield length, row[length - 1 :] == row[: 1 - length], context, suffix
+        key = gram_keys(context, suffix)
+
+
 def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, token hashes, the row of each); words lower-cased A-Z, an end after each text."""
     for first, end, buf, offsets in w.text_slices(column, 2 << 20):
@@ -52,6 +86,17 @@ def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield first, end, token, np.repeat(np.arange(end - first), np.diff(bounds) + 1)
 
 
+def _counted(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct key tuples, how often each comes, and where it first is, in order of the keys."""
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    new = np.ones(len(order), bool)
+    if len(order) > 1:
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    at = np.flatnonzero(new)
+    return [k[at] for k in keys], np.diff(np.append(at, len(order))), order[at]
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, token, _ in _tokens(batch.column(0)):
@@ -59,217 +104,220 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
 
 
+@dataclass
+class Terms:
+    """Some keys, in order, and a value of each."""
+
+    key: np.ndarray
+    value: np.ndarray
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value or 0."""
+        if not len(self.key):
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted))
+        at = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
+        ok = self.key[at] == wanted
+        return ok, np.where(ok, self.value[at], 0.0)
+
+
+def _terms(rows: DataFrame) -> Terms:
+    """(key, value) rows, of a bounded number."""
+    found = rows.select("key", F.col("value").cast("double")).toArrow()
+    key, value = (found.column(i).combine_chunks().to_numpy() if found.num_rows else np.empty(0, t) for i, t in ((0, np.int64), (1, float)))
+    key = key.view(np.uint64)
+    order = np.argsort(key)
+    return Terms(key[order], value[order])
+
+
+class Bitmap:
+    """A bit for each key of a table, by the key's low bits: a key whose bit is not set is not there."""
+
+    def __init__(self, keys: DataFrame):
+        place = F.col("key").bitwiseAND((1 << BITS) - 1)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+        found = keys.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        self.mask, self.bits = w.U((1 << BITS) - 1), np.zeros(max((1 << BITS) >> 6, 1), np.uint64)
+        if found.num_rows:
+            self.bits[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+
+    def has(self, key: np.ndarray) -> np.ndarray:
+        place = key & self.mask
+        return (self.bits[place >> w.U(6)] >> (place & w.U(63))) & w.U(1) > 0
+
+
 @dataclass
 class Words:
-    """The heavy words: hashes in order, counts, numbers by falling count; and the corpus totals."""
+    """The corpus totals, and log10(count + ADD) of the heavy words."""
 
     tokens: int
     distinct: int
-    hash: np.ndarray
-    count: np.ndarray
-    number: np.ndarray
-
-    def find(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1: not heavy) and count of each token."""
-        if not len(self.hash):
-            return np.full(len(token), -1), np.zeros(len(token), np.int64)
-        at = np.minimum(np.searchsorted(self.hash, token), len(self.hash) - 1)
-        ok = self.hash[at] == token
-        return np.where(ok, self.number[at], -1), np.where(ok, self.count[at], 0)
-
-    def least(self, factor: float) -> float:
-        """The count that a context or a symbol needs."""
-        return factor * self.tokens ** (2 / 3)
-
-    def above(self, factor: float) -> int:
-        """How many words have that count; they have the first numbers."""
-        return int((self.count >= self.least(factor)).sum())
-
-
-def _context_keys(number: np.ndarray, row: np.ndarray, contexts: int, events: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of (last word, symbol) and of (last two words, symbol) for each token; -1 where one is not a candidate."""
-    n = len(number)
-    one, two = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
-    symbol = np.where(number < events, number, -1)
-    last = np.full(n, -1, np.int64)
-    last[1:] = np.where((row[1:] == row[:-1]) & (number[:-1] < contexts), number[:-1], -1)
-    before = np.full(n, -1, np.int64)
-    before[2:] = np.where(row[2:] == row[:-2], last[1:-1], -1)
-    ok = (symbol >= 0) & (last >= 0)
-    one[ok] = (last[ok] << BITS) | symbol[ok]
-    ok &= before >= 0
-    two[ok] = ((before[ok] + 1) << (BITS + WORD_BITS)) | one[ok]
-    return one, two
+    heavy: Terms
+
+    @property
+    def whole(self) -> float:
+        """The root's probabilities are (count + ADD) / 10 ** whole."""
+        return float(np.log10(self.tokens + ADD * (self.distinct + 1)))
 
 
 @dataclass
 class Tree:
-    """Kept contexts (keys without a symbol) with their back-off, stated symbols with their log probabilities (base 10)."""
+    """(key, value, n) of every kept context and every symbol it states, in a table; those that are heavy again as arrays."""
 
     words: Words
-    contexts: int
-    events: int
-    node: np.ndarray
-    backoff: np.ndarray
-    key: np.ndarray
-    log: np.ndarray
-
-    def root(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + ADD) / (self.words.tokens + ADD * (self.words.distinct + 1)))
-
-    def _at(self, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return at, keys[at] == wanted
-
-    def given(self, last: np.ndarray, below: np.ndarray, stated: np.ndarray) -> np.ndarray:
-        """Log probability in the states ``last`` (-1: none), where ``below`` is that of the suffix's state."""
-        node, is_node = self._at(self.node, last)
-        event, is_event = self._at(self.key, stated)
-        out = np.where(is_node, below + self.backoff[node] if len(self.node) else below, below)
-        return np.where(is_node & is_event, self.log[event] if len(self.key) else out, out)
-
-    def score(self, number: np.ndarray, count: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Log probability of each token; of tokens that are not heavy, without the logarithm of count + ADD."""
-        one, two = _context_keys(number, row, self.contexts, self.events)
-        out = np.where(number >= 0, self.root(count), -np.log10(self.words.tokens + ADD * (self.words.distinct + 1)))
-        # states don't depend on the symbol
-        any_one, any_two = _context_keys(np.where(number < 0, self.events, number), row, self.contexts, self.events + 1)
-        state_one = np.where(any_one >= 0, any_one >> BITS << BITS, -1)
-        state_two = np.where(any_two >= 0, any_two >> BITS << BITS, -1)
-        out = self.given(state_one, out, one)
-        return self.given(state_two, out, two)
+    depth: int
+    table: DataFrame
+    heavy: Terms
+    seen: Bitmap
 
 
 def count_words(training: DataFrame, text_col: str = "text") -> tuple[DataFrame, Words]:
+    """(word, n) of all training rows in a table, and what tasks need of it."""
     rows = training.select(F.col(f"`{text_col}`").alias("text"))
     counts = written(rows.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    heavy = counts.where(F.col("n") >= HEAVY * tokens).toArrow()
-    word, n = (heavy.column(i).combine_chunks().to_numpy() if heavy.num_rows else np.empty(0, np.int64) for i in (0, 1))
-    word = word.view(np.uint64)
-    order = np.argsort(word)
-    word, n = word[order], n[order]
-    number = np.empty(len(word), np.int64)
-    number[np.lexsort((word, -n))] = np.arange(len(word))
-    return counts, Words(tokens, distinct, word, n, number)
-
-
-def learn(training: DataFrame, known: Words, text_col: str = "text") -> Tree:
-    """Count contexts over all training rows and keep those that diverge."""
-    contexts, events = known.above(CONTEXT), known.above(EVENT)
-    if contexts >= 1 << WORD_BITS:
-        raise ValueError(f"{contexts} contexts don't fit into {WORD_BITS} bits")
-    sent = training.sparkSession.sparkContext.broadcast(known)
+    heavy = counts.where(F.col("n") >= HEAVY * tokens).select(F.col("word").alias("key"), F.log10(F.col("n") + ADD).alias("value"))
+    return counts, Words(tokens, distinct, _terms(heavy))
+
+
+def _counted_grams(rows: DataFrame, depth: int, first: int, context: Bitmap, event: Bitmap) -> DataFrame:
+    """(length, context, suffix, n) of grams of ``first`` to depth + 1 words, seen ``EVENT`` times or more.
+
+    For ``first`` = 2 the bitmaps hold words, for 3 they hold pairs: a gram can be that
+    frequent only if all words or pairs in its context and the last one are in them.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast((context, event))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, event = sent.value
         for batch in batches:
             for _, _, token, row in _tokens(batch.column(0)):
-                keys = np.concatenate(_context_keys(sent.value.find(token)[0], row, contexts, events))
-                key, n = np.unique(keys[keys >= 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-
+                ok = None
+                for length, inside, before, suffix in _grams(token, row, depth):
+                    if length < first:
+                        continue
+                    if length == first:
+                        part = np.append(before, suffix[-1:])  # the grams of first - 1 words
+                        in_context, ok = context.has(part), event.has(part)[1:]
+                    else:
+                        ok = ok[1:]
+                    # the context gains the gram of first - 1 words that it starts with
+                    ok = ok & inside & in_context[: len(ok)]
+                    if not ok.any():
+                        break
+                    (c, s), n, _ = _counted(before[ok], suffix[ok])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), length, np.int8)), pa.array(c.view(np.int64)), pa.array(s.view(np.int64)), pa.array(n)], names=["length", "context", "suffix", "n"]
+                    )
+
+    sums = rows.mapInArrow(w.trimmed(run), "length byte, context long, suffix long, n long").groupBy("length", "context", "suffix").agg(F.sum("n").alias("n"))
+    return written(sums.where(F.col("n") >= EVENT).withColumn("key", F.xxhash64("context", "suffix")))
+
+
+def learn(training: DataFrame, counts: DataFrame, words: Words, text_col: str = "text", depth: int = DEPTH) -> Tree:
+    """Shorter contexts first: each is tested against the distribution that the state of its suffix gives by then."""
     rows = training.select(F.col(f"`{text_col}`").alias("text"))
-    sums = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    found = sums.where(F.col("n") >= known.least(EVENT)).toArrow()
-    key, n = (found.column(i).combine_chunks().to_numpy() if found.num_rows else np.empty(0, np.int64) for i in (0, 1))
-    order = np.argsort(key)
-    tree = Tree(known, contexts, events, *(np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0)))
-    by_number = np.zeros(len(known.count), np.int64)
-    by_number[known.number] = known.count
-    return _grow(tree, key[order], n[order], by_number)
-
-
-def _grow(tree: Tree, key: np.ndarray, n: np.ndarray, by_number: np.ndarray) -> Tree:
-    """Shorter contexts first: a context is tested against the state its suffix has by then."""
-    low = (np.int64(1) << BITS) - 1
-    for deep in (False, True):
-        mine = (key >> (BITS + WORD_BITS) > 0) == deep
-        k, times = key[mine], n[mine].astype(float)
-        if not len(k):
-            continue
-        context, symbol = k >> BITS << BITS, k & low
-        below = tree.root(by_number[symbol])
-        short = k & ((np.int64(1) << (BITS + WORD_BITS)) - 1)
-        if deep:
-            below = tree.given(short >> BITS << BITS, below, short)
-            # the context (a, b) has been seen as often as b after a, if that was often enough to be counted
-            a, b = (context >> (BITS + WORD_BITS)) - 1, short >> BITS
-            at = np.minimum(np.searchsorted(key, (a << BITS) | b), len(key) - 1)
-            seen = np.where(key[at] == ((a << BITS) | b), n[at], 0).astype(float)
-        else:
-            seen = by_number[context >> BITS].astype(float)
-        ok = seen >= tree.words.least(CONTEXT)
-        k, times, context, below, seen = k[ok], times[ok], context[ok], below[ok], seen[ok]
-        if not len(k):
-            continue
-        at = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-        size = np.diff(np.append(at, len(k)))
-        p = (times - DISCOUNT) / np.repeat(seen[at], size)
-        left = 1 - np.add.reduceat(p, at)
-        left_below = 1 - np.add.reduceat(10**below, at)
-        usable = (left > 1e-9) & (left_below > 1e-9)
-        backoff = np.log10(np.where(usable, left, 1) / np.where(usable, left_below, 1))
-        gain = np.add.reduceat(times * (np.log10(p) - below), at) + (seen[at] - np.add.reduceat(times, at)) * backoff
-        keep = usable & (gain * np.log(10) > 0.5 * (size + 1) * np.log(seen[at]))
-        stay = np.repeat(keep, size)
-        node, key_all = np.append(tree.node, context[at][keep]), np.append(tree.key, k[stay])
-        first, second = np.argsort(node), np.argsort(key_all)
-        tree = Tree(
-            tree.words, tree.contexts, tree.events, node[first], np.append(tree.backoff, backoff[keep])[first], key_all[second], np.append(tree.log, np.log10(p[stay]))[second]
-        )
-    return tree
+    single = counts.select(F.col("word").alias("key"), "n", (F.log10(F.col("n") + ADD) - words.whole).alias("log"))
+    often = F.col("n") >= CONTEXT
+    pairs = _counted_grams(rows, 1, 2, Bitmap(single.where(often)), Bitmap(single.where(F.col("n") >= EVENT)))
+    levels, longer = [pairs], None
+    if depth > 1:
+        longer = _counted_grams(rows, depth, 3, Bitmap(pairs.where(often)), Bitmap(pairs))
+        levels += [longer.where(F.col("length") == i) for i in range(3, depth + 2)]
+    shorter, parts = single, []
+    for grams in levels:
+        shorter, terms = _grown(grams, shorter)
+        parts.append(terms)
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    table = written(table)
+    return Tree(words, depth, table, _terms(table.where(F.col("n") >= HEAVY * words.tokens)), Bitmap(table))
+
+
+def _grown(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The grams with their probability under the longest state, and the terms (key, value, n) of the contexts kept.
+
+    ``shorter`` holds (key, n, log) of all grams with one word less: a context's own
+    count, and a symbol's probability after the context's suffix.
+    """
+    seen = shorter.where(F.col("n") >= CONTEXT).select(F.col("key").alias("context"), F.col("n").alias("seen"))
+    below = shorter.select(F.col("key").alias("suffix"), F.col("log").alias("below"))
+    p = (F.col("n") - DISCOUNT) / F.col("seen")
+    rows = written(grams.join(seen, "context").join(below, "suffix").select("key", "context", "n", "seen", "below", F.log10(p).alias("own")))
+    sums = rows.groupBy("context", "seen").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("times"),
+        F.sum((F.col("n") - DISCOUNT) / F.col("seen")).alias("mass"),
+        F.sum(F.pow(F.lit(10.0), "below")).alias("mass_below"),
+        F.sum(F.col("n") * (F.col("own") - F.col("below"))).alias("gain"),
+    )
+    left, left_below = 1 - F.col("mass"), 1 - F.col("mass_below")
+    rated = sums.where((left > 1e-9) & (left_below > 1e-9)).withColumn("backoff", F.log10(left) - F.log10(left_below))
+    gain = F.col("gain") + (F.col("seen") - F.col("times")) * F.col("backoff")
+    kept = written(rated.where(gain * float(np.log(10)) > 0.5 * (F.col("size") + 1) * F.log(F.col("seen"))).select("context", "seen", "backoff"))
+    states = rows.join(kept.select("context", "backoff"), "context", "left")
+    stated = F.col("backoff").isNotNull()
+    longest = states.select("key", "n", F.when(stated, F.col("own")).otherwise(F.col("below")).alias("log"))
+    nodes = kept.select(F.col("context").bitwiseXOR(F.lit(NODE)).alias("key"), F.col("backoff").alias("value"), F.col("seen").alias("n"))
+    events = states.where(stated).select("key", (F.col("own") - F.col("below") - F.col("backoff")).alias("value"), "n")
+    return longest, nodes.unionByName(events)
 
 
 def score(docs: DataFrame, counts: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, base_score, score) for each row; a null text is empty, repeated rows score alike.
 
-    Every text sends one row of sums and a row for each of its distinct words that are
-    not heavy; these meet their counts, and sums are added up by text.
+    Every text sends one row of sums and a row for each of its distinct words and terms
+    that are not heavy; these meet their values, and sums are added up by text.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
+    sent = docs.sparkSession.sparkContext.broadcast((tree.words, tree.depth, tree.heavy, tree.seen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = sent.value
+        words, depth, heavy, seen = sent.value
         for batch in batches:
             ids, keys = batch.column(0), w.longs(batch.column(1))
             for first, end, token, row in _tokens(batch.column(2)):
-                number, count = t.words.find(token)
                 size, own = end - first, keys[first:end]
-                rare = number < 0
                 total = np.bincount(row, minlength=size)
-                base = np.bincount(row[~rare], t.root(count[~rare]), size) - np.bincount(row[rare], minlength=size) * np.log10(t.words.tokens + ADD * (t.words.distinct + 1))
-                model = np.bincount(row, t.score(number, count, row), size)
-                h, whose = token[rare], row[rare]
-                order = np.lexsort((h, whose))
-                h, whose = h[order], whose[order]
-                new = np.ones(len(h), bool)
-                if len(h) > 1:
-                    new[1:] = (h[1:] != h[:-1]) | (whose[1:] != whose[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(h)))
-                facts = pa.StructArray.from_arrays(
-                    [ids.slice(first, size), pa.array(total), pa.array(np.bincount(row[~rare], minlength=size)), pa.array(base), pa.array(model)], names=["id", "n", "known", "base", "model"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(w.mix(own.view(np.uint64)).view(np.int64)), pa.array(np.zeros(size, np.int64)), facts], names=["text", "word", "times", "facts"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[whose[at]]), pa.array(h[at].view(np.int64)), pa.array(times), pa.nulls(len(at), facts.type)], names=["text", "word", "times", "facts"]
-                )
+                common, value = words.heavy.find(token)
+                base = np.bincount(row, value, size) - total * words.whole
+                known = np.bincount(row[common], minlength=size)
+                found, whose, more = [token[~common]], [row[~common]], np.zeros(size)
+                gram = token
+                for last in range(1, min(depth + 1, len(token))):  # the place of the first gram's last word
+                    inside, context, gram = row[last:] == row[:-last], gram[:-1], gram_keys(gram[:-1], gram[1:])
+                    for key in (context ^ w.U(NODE), gram):
+                        at = np.flatnonzero(inside & seen.has(key))
+                        there, value = heavy.find(key[at])
+                        owner = row[last:][at]
+                        more += np.bincount(owner, value, size)
+                        found.append(key[at[~there]])
+                        whose.append(owner[~there])
+                word = np.repeat([True, False], [len(found[0]), sum(map(len, found[1:]))])
+                (owner, key), times, place = _counted(np.concatenate(whose), np.concatenate(found))
+                facts = pa.StructArray.from_arrays([ids.slice(first, size), pa.array(total), pa.array(known), pa.array(base), pa.array(more)], names=["id", "n", "known", "base", "more"])
+                spread = w.mix(own.view(np.uint64)).view(np.int64)
+                columns = ([own, spread, np.zeros(size, np.int64), np.zeros(size, bool)], [own[owner], key.view(np.int64), times, word[place]])
+                for arrays, fact in zip(columns, (facts, pa.nulls(len(owner), facts.type))):
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), fact], names=["text", "key", "times", "word", "facts"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    parts = rows.select("id", F.xxhash64("id", "text").alias("key"), "text").mapInArrow(
-        run, "text long, word long, times long, facts struct<id:long,n:long,known:long,base:double,model:double>"
+    parts = rows.select("id", F.xxhash64("id", "text").alias("own"), "text").mapInArrow(
+        w.trimmed(run), "text long, key long, times long, word boolean, facts struct<id:long,n:long,known:long,base:double,more:double>"
     )
-    met = parts.join(counts, "word", "left")
-    seen = F.coalesce("n", F.lit(0))
-    more = met.select("text", "facts", F.when(seen > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10(seen + ADD)).alias("rare"))
-    sums = more.groupBy("text").agg(
-        F.first("facts", ignorenulls=True).alias("facts"), F.count("facts").alias("rows"), F.sum("known").alias("known"), F.sum("rare").alias("rare")
+    light = F.col("n") < HEAVY * tree.words.tokens
+    values = counts.where(light).select(F.col("word").alias("key"), F.log10(F.col("n") + ADD).alias("value"))
+    values = values.unionByName(tree.table.where(light).select("key", "value"))
+    met = parts.join(values, "key", "left")
+    rare = F.col("times") * F.coalesce("value", F.lit(float(np.log10(ADD))))
+    sums = met.groupBy("text").agg(
+        F.first("facts", ignorenulls=True).alias("facts"),
+        F.count("facts").alias("rows"),
+        F.sum(F.when(F.col("word") & F.col("value").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.when(F.col("word"), rare).otherwise(0.0)).alias("base"),
+        F.sum(F.when(~F.col("word"), F.col("times") * F.coalesce("value", F.lit(0.0))).otherwise(0.0)).alias("more"),
     )
-    each = sums.select("facts", (F.col("known") / F.col("rows")).cast("long").alias("known"), (F.col("rare") / F.col("rows")).alias("rare"), F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    each = sums.select("facts", *[(F.col(c) / F.col("rows")).alias(c) for c in ("known", "base", "more")], F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    base = F.col("facts.base") + F.col("base")
     return each.select(
-        "facts.id", F.col("facts.n").alias("n_tokens"), (F.col("facts.known") + F.col("known")).alias("n_known"), (F.col("facts.base") + F.col("rare")).alias("base_score"), (F.col("facts.model") + F.col("rare")).alias("score")
+        "facts.id", F.col("facts.n").alias("n_tokens"), (F.col("facts.known") + F.col("known").cast("long")).alias("n_known"), base.alias("base_score"), (base + F.col("facts.more") + F.col("more")).alias("score")
     )

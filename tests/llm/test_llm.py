@@ -204,39 +204,83 @@ def test_chat(spark):
     assert chat.read_back(chat.examples(turns.limit(0))).count() == 0
 
 
-def test_suffix_tree(docs, empty):
+def brute_tree(texts, depth, context, event):
+    """Probability of a symbol after some words, and the kept contexts with the symbols they state."""
+    grams = [collections.Counter(tuple(ws[i : i + m]) for ws in texts for i in range(len(ws) - m + 1)) for m in range(1, depth + 2)]
+    n, v, kept = grams[0].total(), len(grams[0]), {}
+
+    def p(words, x):
+        if not words:
+            return (grams[0][(x,)] + 0.1) / (n + 0.1 * (v + 1))
+        if words not in kept:
+            return p(words[1:], x)
+        stated, backoff = kept[words]
+        return stated[x] if x in stated else backoff * p(words[1:], x)
+
+    for m in range(1, depth + 1):
+        follow = collections.defaultdict(dict)
+        for g, k in grams[m].items():
+            if k >= event and grams[m - 1][g[:-1]] >= context:
+                follow[g[:-1]][g[-1]] = k
+        new = {}
+        for words, times in follow.items():
+            seen = grams[m - 1][words]
+            stated = {x: (k - 0.5) / seen for x, k in times.items()}
+            left, left_below = 1 - sum(stated.values()), 1 - sum(p(words[1:], x) for x in stated)
+            if left <= 1e-9 or left_below <= 1e-9:
+                continue
+            gain = sum(k * math.log(stated[x] / p(words[1:], x)) for x, k in times.items()) + (seen - sum(times.values())) * math.log(left / left_below)
+            if gain > 0.5 * (len(times) + 1) * math.log(seen):
+                new[words] = stated, left / left_below
+        kept |= new
+    return p, kept
+
+
+# all terms heavy; heavy and light ones; no heavy terms and full bitmaps
+@pytest.mark.parametrize("heavy, bits", [(1e-6, 26), (0.004, 20), (2.0, 4)])
+def test_suffix_tree_equals_brute_force(spark, docs, monkeypatch, heavy, bits):
+    # four words back decide
+    docs = docs.unionByName(spark.createDataFrame([(100 + i, f"k{i % 2} m n o Z{i % 2}\n" * 9, None, None, None) for i in range(12)], DOCS))
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for name, value in (("HEAVY", heavy), ("BITS", bits), ("CONTEXT", 4), ("EVENT", 2)):
+        monkeypatch.setattr(suffix_tree, name, value)
     training = suffix_tree.is_training()
     counts, words = suffix_tree.count_words(docs.where(training))
-    tree = suffix_tree.learn(docs.where(training), words)
+    tree = suffix_tree.learn(docs.where(training), counts, words, depth=4)
     got = suffix_tree.score(docs, counts, tree).collect()
     assert len(got) == docs.count()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
     split = [(r.doc_id, [*WORD.findall((r.text or "").translate(low)), None]) for r in docs.collect()]
     c = collections.Counter(x for i, ws in split if not held(i) for x in ws)
     n, v = sum(c.values()), len(c)
-    want = collections.defaultdict(list)
+    p, kept = brute_tree([ws for i, ws in split if not held(i)], 4, 4, 2)
+    assert {len(known) for known in kept} == {1, 2, 3, 4}
+    assert tree.table.count() == sum(1 + len(stated) for stated, _ in kept.values())
+    for words_, (stated, backoff) in list(kept.items())[::40]:  # distributions sum to one, the last is that of an unknown word
+        assert math.isclose(sum(p(words_, x) for x in c) + p(words_, "never seen"), 1, rel_tol=1e-9)
+    want = collections.Counter()
     for i, ws in split:
-        want[i].append((len(ws), sum(c[x] > 0 for x in ws), sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in ws)))
+        base = sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in ws)
+        model = sum(math.log10(p(tuple(ws[max(k - 4, 0) : k]), x)) for k, x in enumerate(ws))
+        want[i, len(ws), sum(c[x] > 0 for x in ws), round(base, 6), round(model, 6)] += 1
     assert words.tokens == n
-    for r in got:
-        assert any((r.n_tokens, r.n_known) == x[:2] and math.isclose(r.base_score, x[2], rel_tol=1e-9) for x in want[r.id])
-        assert r.score <= 0
+    assert collections.Counter((r.id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in got) == want
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
-    # eight times the tokens: shares half as large are stated, so the tree grows
-    many = suffix_tree.Words(8 * words.tokens, words.distinct, words.hash, 8 * words.count, words.number)
-    assert math.isclose(many.least(suffix_tree.EVENT) / many.tokens, words.least(suffix_tree.EVENT) / words.tokens / 2)
-    assert many.above(suffix_tree.CONTEXT) > words.above(suffix_tree.CONTEXT)
-    # every state's distribution sums to one
-    number = np.append(words.number, -1)
-    for node in tree.node[:3]:
-        below = np.append(tree.root(words.count), tree.root(np.array([0])))
-        short = node & ((1 << (suffix_tree.BITS + suffix_tree.WORD_BITS)) - 1)
-        for state in ([short, node] if short != node else [node]):
-            below = tree.given(np.full(len(number), state), below, np.where(number >= 0, state | np.maximum(number, 0), -1))
-        assert math.isclose((10**below).sum(), 1, rel_tol=1e-6)
+
+
+def test_suffix_tree_without_training_rows(docs, empty):
     counts, words = suffix_tree.count_words(empty)
-    assert suffix_tree.score(empty, counts, suffix_tree.learn(empty, words)).count() == 0
+    tree = suffix_tree.learn(empty, counts, words)
+    assert suffix_tree.score(empty, counts, tree).count() == 0
+    assert all(r.n_known == 0 and r.score == r.base_score for r in suffix_tree.score(docs, counts, tree).collect())
+
+
+def test_gram_keys_are_those_of_spark(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(-(2**63), 2**63 - 1, (2, 50))
+    rows = spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a long, b long")
+    want = [r[0] for r in rows.select(F.xxhash64("a", "b")).collect()]
+    assert suffix_tree.gram_keys(a.view(np.uint64), b.view(np.uint64)).view(np.int64).tolist() == want
 
 
 def test_language_held_out(spark):
