@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,9 @@ from panelwright.llm.tables import written
 
 DEPTH = 4  # words of the longest context
 CONTEXT, EVENT = 32, 4  # occurrences
-HEAVY = 1e-6  # share of all training tokens
-BITS = 26
+HEAVY = 2.5e-7  # share of all training tokens
+INDEX = 24  # bits of a heavy word's place: 1 / HEAVY is less
+BITS = 27
 ADD, DISCOUNT = 0.1, 0.5
 END = np.uint64(0x5851F42D4C957F2D)
 NODE = 0x3C6EF372FE94F82B  # tells the key of a context from that of the gram of the same words
@@ -63,17 +65,6 @@ def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return _hash_long(suffix, _hash_long(context, np.full(len(context), 42, np.uint64)))
 
 
-def _grams(token: np.ndarray, row: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(words, whether a gram lies in one text, keys of its context, keys of its suffix), by the place of the last word, for two words and more."""
-    key = token
-    for length in range(2, depth + 2):
-        if len(token) < length:
-            return
-        context, suffix = key[:-1], key[1:]
-        yield length, row[length - 1 :] == row[: 1 - length], context, suffix
-        key = gram_keys(context, suffix)
-
-
 def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, token hashes, the row of each); words lower-cased A-Z, an end after each text."""
     for first, end, buf, offsets in w.text_slices(column, 2 << 20):
@@ -111,13 +102,17 @@ class Terms:
     key: np.ndarray
     value: np.ndarray
 
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is there, and its value or 0."""
+    def place(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its place among the keys, else any."""
         if not len(self.key):
-            return np.zeros(len(wanted), bool), np.zeros(len(wanted))
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
         at = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
-        ok = self.key[at] == wanted
-        return ok, np.where(ok, self.value[at], 0.0)
+        return self.key[at] == wanted, at
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value or 0."""
+        ok, at = self.place(wanted)
+        return ok, np.where(ok, self.value[at], 0.0) if len(self.key) else np.zeros(len(wanted))
 
 
 def _terms(rows: DataFrame) -> Terms:
@@ -167,7 +162,8 @@ class Tree:
     depth: int
     table: DataFrame
     heavy: Terms
-    seen: Bitmap
+    nodes: Bitmap
+    events: Bitmap
 
 
 def count_words(training: DataFrame, text_col: str = "text") -> tuple[DataFrame, Words]:
@@ -179,63 +175,67 @@ def count_words(training: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     return counts, Words(tokens, distinct, _terms(heavy))
 
 
-def _counted_grams(rows: DataFrame, depth: int, first: int, context: Bitmap, event: Bitmap) -> DataFrame:
-    """(length, context, suffix, n) of grams of ``first`` to depth + 1 words, seen ``EVENT`` times or more.
+def _counted_grams(rows: DataFrame, length: int, context: Bitmap, event: Bitmap, words: Terms) -> DataFrame:
+    """(key, context, suffix, n) of the grams of ``length`` words seen ``EVENT`` times or more.
 
-    For ``first`` = 2 the bitmaps hold words, for 3 they hold pairs: a gram can be that
-    frequent only if all words or pairs in its context and the last one are in them.
+    The bitmaps hold grams with one word less, those that can be a context and those
+    seen often enough to be the end of such a gram.  Pairs of heavy words travel as
+    one number, without a suffix.
     """
-    sent = rows.sparkSession.sparkContext.broadcast((context, event))
+    sent = rows.sparkSession.sparkContext.broadcast((context, event, words))
+    low = (1 << INDEX) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, event = sent.value
+        context, event, words = sent.value
         for batch in batches:
             for _, _, token, row in _tokens(batch.column(0)):
-                ok = None
-                for length, inside, before, suffix in _grams(token, row, depth):
-                    if length < first:
-                        continue
-                    if length == first:
-                        part = np.append(before, suffix[-1:])  # the grams of first - 1 words
-                        in_context, ok = context.has(part), event.has(part)[1:]
-                    else:
-                        ok = ok[1:]
-                    # the context gains the gram of first - 1 words that it starts with
-                    ok = ok & inside & in_context[: len(ok)]
-                    if not ok.any():
-                        break
-                    (c, s), n, _ = _counted(before[ok], suffix[ok])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), length, np.int8)), pa.array(c.view(np.int64)), pa.array(s.view(np.int64)), pa.array(n)], names=["length", "context", "suffix", "n"]
-                    )
-
-    sums = rows.mapInArrow(w.trimmed(run), "length byte, context long, suffix long, n long").groupBy("length", "context", "suffix").agg(F.sum("n").alias("n"))
-    return written(sums.where(F.col("n") >= EVENT).withColumn("key", F.xxhash64("context", "suffix")))
+                part, last = token, length - 1
+                for _ in range(length - 2):
+                    part = gram_keys(part[:-1], part[1:])
+                if len(token) < length:
+                    continue
+                ok = np.flatnonzero((row[last:] == row[:-last]) & context.has(part)[:-1] & event.has(part)[1:])
+                _, first, n = np.unique(gram_keys(part[ok], part[ok + 1]), return_index=True, return_counts=True)
+                before, after = part[ok[first]], part[ok[first] + 1]
+                packed = np.zeros(len(n), bool)
+                if length == 2:
+                    (a, i), (b, j) = words.place(before), words.place(after)
+                    packed = a & b
+                    before = np.where(packed, (i << INDEX | j).view(np.uint64), before)
+                    after = np.where(packed, w.U(0), after)
+                yield pa.RecordBatch.from_arrays([pa.array(before.view(np.int64)), pa.array(after.view(np.int64), mask=packed), pa.array(n)], names=["context", "suffix", "n"])
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = sent.value[2]
+        for batch in batches:
+            whole = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            c, s = batch.column(0).to_numpy().view(np.uint64).copy(), w.longs(batch.column(1)).view(np.uint64).copy()
+            both = c[whole].view(np.int64)
+            c[whole], s[whole] = words.key[both >> INDEX], words.key[both & low]
+            yield pa.RecordBatch.from_arrays([pa.array(gram_keys(c, s).view(np.int64)), pa.array(c.view(np.int64)), pa.array(s.view(np.int64)), batch.column(2)], names=["key", "context", "suffix", "n"])
+
+    sums = rows.mapInArrow(w.trimmed(run), "context long, suffix long, n long").groupBy("context", "suffix").agg(F.sum("n").alias("n"))
+    return written(sums.where(F.col("n") >= EVENT).mapInArrow(unpacked, "key long, context long, suffix long, n long"))
 
 
 def learn(training: DataFrame, counts: DataFrame, words: Words, text_col: str = "text", depth: int = DEPTH) -> Tree:
     """Shorter contexts first: each is tested against the distribution that the state of its suffix gives by then."""
     rows = training.select(F.col(f"`{text_col}`").alias("text"))
-    single = counts.select(F.col("word").alias("key"), "n", (F.log10(F.col("n") + ADD) - words.whole).alias("log"))
-    often = F.col("n") >= CONTEXT
-    pairs = _counted_grams(rows, 1, 2, Bitmap(single.where(often)), Bitmap(single.where(F.col("n") >= EVENT)))
-    levels, longer = [pairs], None
-    if depth > 1:
-        longer = _counted_grams(rows, depth, 3, Bitmap(pairs.where(often)), Bitmap(pairs))
-        levels += [longer.where(F.col("length") == i) for i in range(3, depth + 2)]
-    shorter, parts = single, []
-    for grams in levels:
-        shorter, terms = _grown(grams, shorter)
-        parts.append(terms)
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    table = written(table)
-    return Tree(words, depth, table, _terms(table.where(F.col("n") >= HEAVY * words.tokens)), Bitmap(table))
-
-
-def _grown(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The grams with their probability under the longest state, and the terms (key, value, n) of the contexts kept.
+    shorter = counts.select(F.col("word").alias("key"), "n", (F.log10(F.col("n") + ADD) - words.whole).alias("log"))
+    grams, nodes, events = shorter, [], []
+    for length in range(2, depth + 2):
+        context, event = (Bitmap(grams.where(F.col("n") >= least)) for least in (CONTEXT, EVENT))
+        grams = _counted_grams(rows, length, context, event, words.heavy)
+        shorter, node, stated = _grown(grams, shorter)
+        nodes.append(node)
+        events.append(stated)
+    nodes, events = (written(reduce(DataFrame.unionByName, parts)) for parts in (nodes, events))
+    table = nodes.unionByName(events)
+    return Tree(words, depth, table, _terms(table.where(F.col("n") >= HEAVY * words.tokens)), Bitmap(nodes), Bitmap(events))
+
+
+def _grown(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The grams with their probability under the longest state, and the terms (key, value, n) of the contexts kept and of what they state.
 
     ``shorter`` holds (key, n, log) of all grams with one word less: a context's own
     count, and a symbol's probability after the context's suffix.
@@ -260,7 +260,7 @@ def _grown(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
     longest = states.select("key", "n", F.when(stated, F.col("own")).otherwise(F.col("below")).alias("log"))
     nodes = kept.select(F.col("context").bitwiseXOR(F.lit(NODE)).alias("key"), F.col("backoff").alias("value"), F.col("seen").alias("n"))
     events = states.where(stated).select("key", (F.col("own") - F.col("below") - F.col("backoff")).alias("value"), "n")
-    return longest, nodes.unionByName(events)
+    return longest, nodes, events
 
 
 def score(docs: DataFrame, counts: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,10 +269,10 @@ def score(docs: DataFrame, counts: DataFrame, tree: Tree, id_col: str = "doc_id"
     Every text sends one row of sums and a row for each of its distinct words and terms
     that are not heavy; these meet their values, and sums are added up by text.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((tree.words, tree.depth, tree.heavy, tree.seen))
+    sent = docs.sparkSession.sparkContext.broadcast((tree.words, tree.depth, tree.heavy, tree.nodes, tree.events))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, depth, heavy, seen = sent.value
+        words, depth, heavy, nodes, events = sent.value
         for batch in batches:
             ids, keys = batch.column(0), w.longs(batch.column(1))
             for first, end, token, row in _tokens(batch.column(2)):
@@ -285,13 +285,14 @@ def score(docs: DataFrame, counts: DataFrame, tree: Tree, id_col: str = "doc_id"
                 gram = token
                 for last in range(1, min(depth + 1, len(token))):  # the place of the first gram's last word
                     inside, context, gram = row[last:] == row[:-last], gram[:-1], gram_keys(gram[:-1], gram[1:])
-                    for key in (context ^ w.U(NODE), gram):
-                        at = np.flatnonzero(inside & seen.has(key))
-                        there, value = heavy.find(key[at])
+                    at = np.arange(len(gram))[inside]
+                    for key, there in ((context ^ w.U(NODE), nodes), (gram, events)):  # only a context states symbols
+                        at = at[there.has(key[at])]
+                        common, value = heavy.find(key[at])
                         owner = row[last:][at]
                         more += np.bincount(owner, value, size)
-                        found.append(key[at[~there]])
-                        whose.append(owner[~there])
+                        found.append(key[at[~common]])
+                        whose.append(owner[~common])
                 word = np.repeat([True, False], [len(found[0]), sum(map(len, found[1:]))])
                 (owner, key), times, place = _counted(np.concatenate(whose), np.concatenate(found))
                 facts = pa.StructArray.from_arrays([ids.slice(first, size), pa.array(total), pa.array(known), pa.array(base), pa.array(more)], names=["id", "n", "known", "base", "more"])
