@@ -21,10 +21,11 @@ from panelwright.sources import writers as O
 
 W = "WINDOW w AS (PARTITION BY ticker ORDER BY date)"
 
-# weekly bars of seven line numbers, which trade in nearly every week --------
+# bars of a fortnight of all suppliers, which trade in nearly every one ---------
+_STEP = 14  # days, counted from a Monday
 SQL["lines"] = (
     (),
-    """SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS date, CAST(l_linenumber AS BIGINT) AS ticker, max(floor(l_extendedprice / l_quantity * 10000) / 10000) AS high,
+    """SELECT CAST(l_shipdate AS DATE) - CAST((CAST(l_shipdate AS DATE) - DATE '1990-01-01') % 14 AS INTEGER) AS date, CAST(l_suppkey AS BIGINT) AS ticker, max(floor(l_extendedprice / l_quantity * 10000) / 10000) AS high,
        min(floor(l_extendedprice / l_quantity * 10000) / 10000) AS low,
        arg_max(floor(l_extendedprice / l_quantity * 10000) / 10000, row(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_discount)) AS close
 FROM lineitem GROUP BY 1, 2""",
@@ -40,8 +41,8 @@ SQL["line0"] = (("line_grid",), "SELECT date, ticker, " + ", ".join(f"{cents(f'l
 
 def lines(spark, d):
     rows = V.table(spark, d, "lineitem").select(
-        F.to_date(F.date_trunc("week", "l_shipdate")).alias("date"),
-        F.col("l_linenumber").cast("long").alias("ticker"),
+        F.date_sub(F.to_date("l_shipdate"), F.pmod(F.date_diff(F.to_date("l_shipdate"), F.lit("1990-01-01").cast("date")), F.lit(_STEP))).alias("date"),
+        F.col("l_suppkey").cast("long").alias("ticker"),
         (F.floor(C.ratio("l_extendedprice", "l_quantity") * 10000) / 10000).alias("px"),
         F.col("l_quantity").alias("vol"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount").alias("okey"),
