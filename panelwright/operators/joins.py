@@ -174,6 +174,19 @@ def stitch_segments(predictions: DataFrame, model_dates: DataFrame, model_col: s
     return placed.where(F.col(model_col) == use).drop("_use")
 
 
+def in_force(df: DataFrame, models: DataFrame, start_col: str = "model_date") -> DataFrame:
+    """Each row with the columns of the one model in force on its day: [start, next start), the first open to the left.
+
+    Start days are unique.  What a model does comes after this, so a row is scored once
+    however many models there are; a model's other columns are its parameters.
+    """
+    first = models.agg(F.min(start_col)).scalar()
+    placed = effective_dates(df, models, start_col, out="_use")
+    named = models.withColumnRenamed(start_col, "_use")
+    used = attach(placed.withColumn("_use", F.coalesce("_use", first)), named, ["_use"], max_rows=CALENDAR_DAYS)
+    return used.withColumnRenamed("_use", start_col)
+
+
 def paths_after(
     returns: DataFrame, strikes: DataFrame, n: int = 30, ret: str = "ret_1B", by: str = KEY, time: str = TIME
 ) -> DataFrame:

@@ -160,34 +160,54 @@ def _summaries(hits: Sequence[str]):
     return run
 
 
-def longest_runs(
+def run_summaries(
     df: DataFrame, marks: dict[str, Column], by: Sequence[str] = (), order: Sequence[str] = (TIME, KEY)
 ) -> DataFrame:
-    """For each group and named mark the longest unbroken stretch of marked rows, in ``order``.
+    """For each group its rows ``_n`` and, for mark i, its leading, trailing and longest run ``_lead<i>``, ``_trail<i>``, ``_best<i>``.
 
-    Rows are cut by range of (by, order) into pieces of like size, whatever one day holds.
-    A piece gives the length, leading, trailing and longest run of each group in it; the
-    pieces of a group, one for each partition it meets, are merged in order.
+    Rows are cut by range of (by, order) into pieces of like size, whatever one day holds;
+    the pieces of a group, one for each partition it meets, are merged in order.
     """
     by, names = list(by), list(marks)
     hits = [F.coalesce(marks[m], F.lit(False)).alias(f"_hit{i}") for i, m in enumerate(names)]
     rows = df.select(*by, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)], F.xxhash64(F.lit(0), *by).alias("_key"), *hits)
     sorting = [*by, *[f"_by{i}" for i in range(len(order))]]
     dealt = rows.repartitionByRange(*sorting).sortWithinPartitions(*sorting).select(*by, F.spark_partition_id().alias("_piece"), "_key", *[f"_hit{i}" for i in range(len(names))])
-    longs = ["_n", *[f"_{k}{i}" for i in range(len(names)) for k in ("lead", "trail", "best")]]
-    schema = T.StructType([*dealt.select(*by, "_piece").schema.fields, *[T.StructField(c, T.LongType()) for c in longs]])
+    schema = T.StructType([*dealt.select(*by, "_piece").schema.fields, *[T.StructField(c, T.LongType()) for c in run_fields(len(names))]])
     pieces = dealt.mapInArrow(_summaries([f"_hit{i}" for i in range(len(names))]), schema)
-    listed = pieces.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_piece", *longs))).alias("_pieces"))
+    return merge_runs(pieces, len(names), "_piece", by)
+
+
+def run_fields(marks: int) -> list[str]:
+    return ["_n", *[f"_{k}{i}" for i in range(marks) for k in ("lead", "trail", "best")]]
+
+
+def merge_runs(pieces: DataFrame, marks: int, place: str, by: Sequence[str] = ()) -> DataFrame:
+    """One summary of a group's pieces, neighbours in the order of ``place``; a group must have few pieces."""
+    longs = run_fields(marks)
+    listed = pieces.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(place, *longs))).alias("_pieces"))
 
-    def merged(i: int) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("trail"), F.lit(0).cast("long").alias("best"))
-        step = lambda a, p: F.struct(
-            F.when(p[f"_lead{i}"] == p["_n"], a["trail"] + p["_n"]).otherwise(p[f"_trail{i}"]).alias("trail"),
-            F.greatest(a["best"], a["trail"] + p[f"_lead{i}"], p[f"_best{i}"]).alias("best"),
-        )
-        return F.aggregate(F.coalesce("_pieces", F.array()), start, step)["best"]
+    def step(a: Column, p: Column) -> Column:
+        out = [(a["_n"] + p["_n"]).alias("_n")]
+        for i in range(marks):
+            lead, trail, best = f"_lead{i}", f"_trail{i}", f"_best{i}"
+            out += [
+                F.when(a[lead] == a["_n"], a["_n"] + p[lead]).otherwise(a[lead]).alias(lead),
+                F.when(p[lead] == p["_n"], a[trail] + p["_n"]).otherwise(p[trail]).alias(trail),
+                F.greatest(a[best], a[trail] + p[lead], p[best]).alias(best),
+            ]
+        return F.struct(*out)
 
-    return listed.select(*by, *[merged(i).alias(m) for i, m in enumerate(names)])
+    start = F.struct(*[F.lit(0).cast("long").alias(c) for c in longs])
+    return listed.withColumn("_all", F.aggregate(F.coalesce("_pieces", F.array()), start, step)).select(*by, "_all.*")
+
+
+def longest_runs(
+    df: DataFrame, marks: dict[str, Column], by: Sequence[str] = (), order: Sequence[str] = (TIME, KEY)
+) -> DataFrame:
+    """For each group and named mark the longest unbroken stretch of marked rows, in ``order``."""
+    found = run_summaries(df, marks, by, order)
+    return found.select(*by, *[F.col(f"_best{i}").alias(m) for i, m in enumerate(marks)])
 
 
 def longest_run(

@@ -72,8 +72,15 @@ def sign_agreement(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def run_ratio(df: DataFrame, col: str, by: Sequence[str] = (), chunk: Sequence[str] = (TIME,), order: Sequence[str] = (KEY,)) -> DataFrame:
     """Longest rise and fall and their ratio."""
+    return up_down(longest_runs(df, run_marks(col), by, [*chunk, *order]))
+
+
+def run_marks(col: str) -> dict[str, Column]:
     sign = F.signum(F.col(col))
-    both = longest_runs(df, {"up_periods": sign == 1, "down_periods": sign == -1}, by, [*chunk, *order])
+    return {"up_periods": sign == 1, "down_periods": sign == -1}
+
+
+def up_down(both: DataFrame) -> DataFrame:
     quotient = F.when(F.col("down_periods") != 0, ratio("up_periods", "down_periods")).otherwise(F.col("up_periods").cast("double"))
     return both.withColumn("up_down_ratio", quotient)
 
@@ -200,6 +207,12 @@ def metric(name: str, needs: Sequence[str] = ()):
     return add
 
 
+def metric_rows(name: str, row: DataFrame) -> DataFrame:
+    """The columns of a metric's one row as rows (metric, field, value)."""
+    long = row.select(*[F.col(c).cast("double").alias(c) for c in row.columns]).unpivot([], row.columns, "field", "value")
+    return long.select(F.lit(name).alias("metric"), "field", "value")
+
+
 def run_metrics(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """All chosen metrics as rows (metric, field, value)."""
     out = None
@@ -208,9 +221,7 @@ def run_metrics(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         missing = set(needs) - set(df.columns)
         if missing:
             raise ValueError(f"metric {name} lacks columns {sorted(missing)}")
-        row = fn(df)
-        long = row.select(*[F.col(c).cast("double").alias(c) for c in row.columns]).unpivot([], row.columns, "field", "value")
-        part = long.select(F.lit(name).alias("metric"), "field", "value")
+        part = metric_rows(name, fn(df))
         out = part if out is None else out.unionByName(part)
     return out
 

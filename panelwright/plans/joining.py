@@ -242,10 +242,9 @@ _MODEL_DAYS = ["1996-01-01", "1998-06-01", "2000-03-01"]
     ),
 )
 def model_segments(spark, d):
-    made = F.array(*[F.struct(F.lit(x).cast("date").alias("model_date"), F.lit(float(i + 1)).alias("k")) for i, x in enumerate(_MODEL_DAYS)])
-    rows = V.scores(spark, d).select("date", "ticker", "momentum_score", F.explode(made).alias("m"))
-    preds = rows.select("date", "ticker", "m.model_date", (F.col("momentum_score") * F.col("m.k")).alias("score"))
-    return rnd(J.stitch_segments(preds, preds.select("model_date")))
+    models = spark.createDataFrame([(x, float(i + 1)) for i, x in enumerate(_MODEL_DAYS)], "model_date string, k double").withColumn("model_date", F.col("model_date").cast("date"))
+    placed = J.in_force(V.scores(spark, d).select("date", "ticker", "momentum_score"), models)
+    return rnd(placed.select("date", "ticker", "model_date", (F.col("momentum_score") * F.col("k")).alias("score")))
 
 
 # calendar ------------------------------------------------------------------

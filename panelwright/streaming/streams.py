@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from panelwright.operators.joins import lookup
-from panelwright.operators.strategy import run_metrics
+from panelwright.operators.strategy import METRICS, run_metrics
+from panelwright.session import durable
+from panelwright.streaming.partials import PARTIALS, Store, update_metrics
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", per_trigger: int | None = None) -> DataFrame:
@@ -88,17 +91,23 @@ def stream_append(ticks: DataFrame, master: DataFrame, target: str, checkpoint:
 def stream_metrics(
     predictions: DataFrame, table: str, target: str, checkpoint: str, names: Sequence[str] | None = None
 ) -> StreamingQuery:
-    """Strategy metrics of the whole ``table`` whenever rows are added to it.
+    """Strategy metrics of all rows so far whenever rows are added to ``table``.
 
-    ``predictions`` is the stream of that table's files; it only tells that there are
-    new ones.  A repeated batch overwrites its own rows.
+    ``predictions`` is the stream of that table's files.  Metrics with a partial form add
+    a batch's own rows to what is kept below ``target``; others, such as metrics added by
+    the caller, read the whole table.  A repeated batch overwrites its own rows.
     """
-    schema = predictions.schema
+    schema, chosen = predictions.schema, list(names or sorted(METRICS))
+    kept, others = ([n for n in chosen if (n in PARTIALS) == has] for has in (True, False))
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        whole = batch.sparkSession.read.schema(schema).parquet(table)
-        out = run_metrics(whole, names).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        spark, out = batch.sparkSession, []
+        if kept:
+            out.append(update_metrics(durable(batch), Store(spark, f"{target}/_kept", batch_id), kept))
+        if others:
+            out.append(run_metrics(spark.read.schema(schema).parquet(table), others))
+        made = reduce(DataFrame.unionByName, out).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        made.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
         predictions.writeStream.foreachBatch(score)
