@@ -40,12 +40,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(_fingerprints(shingle), "id long, fp long")
 
 
-def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
+def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE, links=vptree.shard_links) -> DataFrame:
     """Star links (u, v) between the ``doc`` values of fingerprints (fp, doc) within the radius.
 
     The links connect exactly what all pairs within the radius connect.  The upper
     tree is grown from one fingerprint in 128 (``sample`` at most), its shards from
-    all of them.
+    all of them.  ``links=vptree.shard_neighbours`` adds the nearest of each one.
     """
     n = distinct.count()
     depth = max(0, math.ceil(math.log2(max(1, n) / shard)))
@@ -63,7 +63,7 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, shard: int = SH
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(fp[rows]), pa.array(doc[rows]), pa.array(home)], names=["shard", "fp", "doc", "home"])
 
     dealt = distinct.select("fp", "doc").mapInArrow(deal, "shard long, fp long, doc long, home boolean")
-    return dealt.groupBy("shard").applyInArrow(vptree.shard_links(radius), "u long, v long")
+    return dealt.groupBy("shard").applyInArrow(links(radius), "u long, v long")
 
 
 def _groups(known: DataFrame, radius: int) -> DataFrame:

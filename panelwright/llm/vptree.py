@@ -132,3 +132,29 @@ def shard_links(radius: int):
         return pa.table({"u": doc[linked], "v": doc[root[linked]]})
 
     return run
+
+
+def shard_neighbours(radius: int):
+    """For applyInArrow: each fingerprint of a shard that has others within the radius, with the first it is linked with and with its nearest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        fp = table.column("fp").combine_chunks().to_numpy().view(np.uint64)
+        doc = table.column("doc").combine_chunks().to_numpy()
+        home = table.column("home").combine_chunks().to_numpy(zero_copy_only=False)
+        order = np.argsort(doc, kind="stable")
+        fp, doc, home = fp[order], doc[order], home[order]
+        best = np.full(len(fp), np.iinfo(np.int64).max)  # distance, then index of the nearest
+
+        def seen() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for i, j in near(fp, home, radius):
+                far = distance(fp[i], fp[j]).astype(np.int64) << 48
+                np.minimum.at(best, i, far | j)
+                np.minimum.at(best, j, far | i)
+                yield i, j
+
+        root = roots(len(fp), seen())
+        linked, met = np.flatnonzero(root != np.arange(len(fp))), np.flatnonzero(best < np.iinfo(np.int64).max)
+        nearest = best[met] & ((1 << 48) - 1)
+        return pa.table({"u": np.concatenate([doc[linked], doc[met]]), "v": np.concatenate([doc[root[linked]], doc[nearest]])})
+
+    return run

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -373,6 +374,26 @@ def test_similar_documents_equal_brute_force(spark):
     assert stage.count() == len(groups)
 
 
+def test_pipeline_links_by_fingerprint(spark, monkeypatch):
+    """SimHash and vantage-point shards alone, no MinHash key shared, link likely pairs of the pipeline's stage."""
+    rng = random.Random(4)
+    body = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    rows = [(1, " ".join(body)), (2, " ".join([*body[:-1], "end"])), (3, " ".join(body[::-1])), (4, "  ".join(body)), (5, None), (6, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = frame.select(F.col("doc_id").alias("t"), F.coalesce("text", F.lit("")).alias("text"))
+    pairs = {(max(r), min(r)) for r in similar.near_fingerprints(texts).collect()}
+    assert {(2, 1), (4, 1), (6, 5)} <= pairs and not {3} & {x for pair in pairs for x in pair}
+    monkeypatch.setattr(similar, "_key_rows", lambda size: lambda batches: iter(()))
+    assert sorted(r.doc_id for r in similar.keep_first(frame).collect()) == [1, 3, 5]
+
+
+def test_nearest_of_a_shard_are_linked():
+    fps = np.array([0, 1, 3, 7, 255 << 40], np.int64)
+    table = pa.table({"fp": fps, "doc": np.arange(5), "home": np.ones(5, bool)})
+    got = vptree.shard_neighbours(1)(table).to_pydict()
+    assert set(zip(got["u"], got["v"])) == {(1, 0), (2, 0), (3, 0), (0, 1), (2, 1), (3, 2)}
+
+
 def test_vantage_point_shards(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 400, dtype=np.int64)
