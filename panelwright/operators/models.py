@@ -47,7 +47,9 @@ def fit(
     grid: dict[str, Sequence] | None = None, **params,
 ) -> Model:
     """Fit one estimator; with a grid, folds given by ``fold_col`` choose its setting."""
-    rows = df.fillna(0.0, [*features, target])
+    # an estimator reads its rows several times: the columns it takes are written once
+    wanted = dict.fromkeys([*features, target, *([fold_col] if fold_col else [])])
+    rows = durable(df.select(*[F.col(f"`{c}`") for c in wanted]).fillna(0.0, [*features, target]))
     learner = estimator(algo, target, **params)
     if grid:
         builder = ParamGridBuilder()
