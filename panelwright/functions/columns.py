@@ -112,6 +112,72 @@ def rolling_extreme(df: DataFrame, c: str, n: int, fn: str, out: str, by: str =
     return short.withColumn(out, F.when(full, whole)).drop("_x")
 
 
+_SHORT = 10  # windows below this are computed row by row
+
+
+def rolled(
+    df: DataFrame, stats: dict[str, tuple[str, int, str]], by: str = KEY, order: str = TIME, shift: int = 0
+) -> DataFrame:
+    """Adds ``out: (column, n, fn)`` as :func:`rolling` does, null unless all n rows are present, at little more cost for long n.
+
+    Statistics of about sqrt(n) rows are combined at lags that cover the n rows once, so no
+    result depends on rows outside its window.  Variances come from the blocks' own means and
+    variances; what is below the last digits of the mean counts as none.
+    """
+    w = own(by, order)
+    upto, first, second, short = w.rowsBetween(Window.unboundedPreceding, 0), {}, {}, {}
+    names = {c: i for i, c in enumerate(dict.fromkeys(c for c, _, _ in stats.values()))}
+    parts = {"sum": ("sum",), "avg": ("sum",), "std": ("avg", "var"), "var": ("avg", "var"), "max": ("max",), "min": ("min",)}
+    made = {"sum": F.sum, "avg": F.avg, "var": F.var_pop, "max": F.max, "min": F.min}
+
+    def at(c: str, k: int) -> Column:
+        return F.lag(c, k).over(w) if k else F.col(c)
+
+    plans = {}
+    for out, (c, n, fn) in stats.items():
+        if n < _SHORT:
+            short[out] = rolling(c, n, fn, by=by, order=order, shift=shift)
+            continue
+        key, step = f"_w{names[c]}", int(n**0.5)
+        first[f"{key}_n"] = F.count(c).over(upto)
+        second[f"{key}_n{n}"] = at(f"{key}_n", shift) - F.coalesce(at(f"{key}_n", shift + n), F.lit(0))
+        blocks = [(step, step * i) for i in range(n // step)]
+        if n % step:  # extremes may overlap
+            blocks.append((n % step, n - n % step) if fn not in ("max", "min") else (step, n - step))
+        for part in parts[fn]:
+            for size, back in blocks:
+                block = f"{key}_{part}{size}"
+                first[block] = made[part](c).over(w.rowsBetween(-(size - 1), 0))
+                second[f"{block}_{back}"] = at(block, shift + back)
+        plans[out] = (key, n, fn, blocks)
+    held = df.withColumns({**first, **short}).withColumns(second)
+
+    def each(out: str, part: str) -> list[tuple[int, Column]]:
+        key, _, _, blocks = plans[out]
+        return [(size, F.col(f"{key}_{part}{size}_{back}")) for size, back in blocks]
+
+    means = {
+        f"_m_{out}": reduce(Column.__add__, [x * size for size, x in each(out, "avg")]) / n
+        for out, (_, n, fn, _) in plans.items() if fn in ("std", "var")
+    }
+    values = {}
+    for out, (key, n, fn, _) in plans.items():
+        if fn in ("sum", "avg"):
+            value = reduce(Column.__add__, [x for _, x in each(out, "sum")])
+            value = value / n if fn == "avg" else value
+        elif fn in ("max", "min"):
+            value = {"max": F.greatest, "min": F.least}[fn](*[x for _, x in each(out, fn)])
+        else:
+            mean = F.col(f"_m_{out}")
+            apart = [(x * size, (m - mean) * (m - mean) * size) for (size, x), (_, m) in zip(each(out, "var"), each(out, "avg"))]
+            whole = reduce(Column.__add__, [x for pair in apart for x in pair])
+            noise = mean * mean * (n * 1e-28)
+            value = F.when(whole <= noise, 0.0).otherwise(whole / (n - 1))
+            value = F.sqrt(value) if fn == "std" else value
+        values[out] = F.when(F.col(f"{key}_n{n}") == n, value)
+    return held.withColumns(means).withColumns(values).drop(*first, *second, *means)
+
+
 def rolling_moments(
     df: DataFrame, a: str, b: str, n: int, by: str = KEY, order: str = TIME
 ) -> DataFrame:

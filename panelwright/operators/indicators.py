@@ -21,8 +21,8 @@ from panelwright.functions.columns import (
     lag_n,
     pct_change,
     ratio,
+    rolled,
     rolling,
-    rolling_extreme,
     rolling_moments,
 )
 from panelwright.operators.grid import densify
@@ -67,9 +67,8 @@ def smoothed(df: DataFrame, c: str, n: int, out: str) -> DataFrame:
 def add_volatility(df: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), price: str = "close") -> DataFrame:
     shift = 0 if price == "open" else 1
     logs = df.withColumn("_x", F.ln(price)).withColumn("_r", lag_n("_x", shift) - lag_n("_x", shift + 1))
-    return logs.withColumns(
-        {f"volatility_{n}": rolling("_r", n, "std") * F.sqrt(F.lit(252.0)) for n in lookbacks}
-    ).drop("_x", "_r")
+    deviations = rolled(logs, {f"volatility_{n}": ("_r", n, "std") for n in lookbacks})
+    return deviations.withColumns({f"volatility_{n}": F.col(f"volatility_{n}") * F.sqrt(F.lit(252.0)) for n in lookbacks}).drop("_x", "_r")
 
 
 def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), price: str = "close") -> DataFrame:
@@ -80,7 +79,7 @@ def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), pric
 def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
     """Williams %R and its moving average."""
     base = prepared(prices, ["high", "low", "close"], **prep)
-    ranged = rolling_extreme(rolling_extreme(base, "high", n, "max", "_hh"), "low", n, "min", "_ll")
+    ranged = rolled(base, {"_hh": ("high", n, "max"), "_ll": ("low", n, "min")})
     span = F.col("_hh") - F.col("_ll")
     value = F.when(span == 0, 0.0).otherwise((F.col("_hh") - F.col("close")) / F.nullif(span, F.lit(0.0)) * -100.0)
     name = f"WILLR_{n}"
@@ -89,7 +88,7 @@ def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
 
 
 def _raw_stochastic(base: DataFrame, high: str, low: str, close: str, n: int, out: str) -> DataFrame:
-    ranged = base.withColumns({"_hh": rolling(high, n, "max"), "_ll": rolling(low, n, "min")})
+    ranged = rolled(base, {"_hh": (high, n, "max"), "_ll": (low, n, "min")})
     span = F.col("_hh") - F.col("_ll")
     value = F.when(span == 0, 0.0).otherwise((F.col(close) - F.col("_ll")) / F.nullif(span / 100.0, F.lit(0.0)))
     return ranged.withColumn(out, F.when(F.col(close).isNotNull(), value)).drop("_hh", "_ll")
@@ -118,7 +117,7 @@ def add_ppo(df: DataFrame, fast: int = 12, slow: int = 26, sign: float = -1.0, p
     shift = 0 if price == "open" else 1
     filled = df.withColumn("_x", F.col(price)).withColumn("_x", ffill("_x", limit))
     quick, slowly = min(fast, slow), max(fast, slow)
-    parts = filled.withColumns({"_f": rolling("_x", quick), "_s": rolling("_x", slowly)})
+    parts = rolled(filled, {"_f": ("_x", quick, "avg"), "_s": ("_x", slowly, "avg")})
     value = F.when(F.col("_s") == 0, 0.0).otherwise((F.col("_f") - F.col("_s")) / F.nullif("_s", F.lit(0.0)) * 100.0)
     return parts.withColumn("_p", sign * value).withColumn(f"PPO_{fast}_{slow}", lag_n("_p", shift)).drop("_x", "_f", "_s", "_p")
 
@@ -137,9 +136,7 @@ def ultosc(prices: DataFrame, n: Sequence[int] = (7, 14, 28), smooth: int = 3, *
     spread = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("_pc") - F.col("high")), F.abs(F.col("_pc") - F.col("low")))
     parts = prev.withColumns({"_bp": F.when(whole, F.col("close") - low_true), "_tr": F.when(whole, spread)})
     short, mid, long = sorted(n)
-    sums = parts.withColumns(
-        {f"_{k}{m}": rolling(f"_{k}", m, "sum") for m in (short, mid, long) for k in ("bp", "tr")}
-    )
+    sums = rolled(parts, {f"_{k}{m}": (f"_{k}", m, "sum") for m in (short, mid, long) for k in ("bp", "tr")})
 
     def term(m: int):
         return F.coalesce(ratio(f"_bp{m}", f"_tr{m}"), F.lit(0.0))
@@ -156,8 +153,8 @@ def dollar_volume(prices: DataFrame, n: int = 21) -> DataFrame:
         TIME, KEY, F.expr("(open + close) / 2.0").alias("_p"), F.expr("volume * (open + close) / 2.0").alias("_d")
     )
     grid = densify(daily).withColumns({"_p": ffill("_p"), "_d": ffill("_d")})
-    means = grid.withColumns({"_p": rolling("_p", n), "_d": rolling("_d", n)})
-    return means.select(TIME, KEY, lag_n("_p", 1).alias("avg_price"), lag_n("_d", 1).alias("avg_dollar_volume"))
+    means = rolled(grid, {"_pm": ("_p", n, "avg"), "_dm": ("_d", n, "avg")})
+    return means.select(TIME, KEY, lag_n("_pm", 1).alias("avg_price"), lag_n("_dm", 1).alias("avg_dollar_volume"))
 
 
 def add_overnight_return(df: DataFrame) -> DataFrame:
@@ -233,9 +230,7 @@ def correlation(prices: DataFrame, benchmark, n: int = 63, price: str = "close",
     """Rolling correlation of rolling-standardized log returns with a benchmark, and its rank per date; ``digits`` as in :func:`beta`."""
     name = name or str(benchmark)
     filled = log_returns(prices, price, pad).withColumn("r", F.coalesce("r", F.lit(0.0)))
-    scored = filled.withColumns({"_m": rolling("r", n), "_s": rolling("r", n, "std")}).withColumn(
-        "z", ratio(F.col("r") - F.col("_m"), "_s")
-    )
+    scored = rolled(filled, {"_m": ("r", n, "avg"), "_s": ("r", n, "std")}).withColumn("z", ratio(F.col("r") - F.col("_m"), "_s"))
     both = _with_benchmark(scored.select(TIME, KEY, "z"), "z", benchmark)
     moments = rolling_moments(both, "z", "_b", n)
     raw = moments.withColumn("_corr", ratio("cov", F.sqrt(F.greatest(F.col("var_a") * F.col("var_b"), F.lit(0.0)))))
@@ -270,14 +265,14 @@ def sampled_returns(
     return whole
 
 
-def liquidity(prices: DataFrame, shares: DataFrame | None = None, pad_limit: int | None = None) -> DataFrame:
+def liquidity(prices: DataFrame, shares: DataFrame | str | None = None, pad_limit: int | None = None) -> DataFrame:
     """Volatility, maximum, dollar volume, distance to high, illiquidity and idle days, moved down one row.
 
-    The 252-row high is that of the closing price.  ``shares`` (date, ticker,
-    shares) adds the 252-row change of the share count.
+    The 252-row high is that of the closing price.  ``shares``, a table (date, ticker,
+    shares) or a column of the prices, adds the 252-row change of the share count.
     """
-    rows = prices.select(TIME, KEY, "close", "volume")
-    if shares is not None:
+    rows = prices.select(TIME, KEY, "close", "volume", *([F.col(shares).alias("shares")] if isinstance(shares, str) else []))
+    if isinstance(shares, DataFrame):
         rows = rows.join(shares.select(TIME, KEY, "shares"), [TIME, KEY], "left")
     grid = densify(rows)
     grid = grid.withColumn("_pad", ffill("close")).withColumn("_ret", ratio("_pad", lag_n("_pad", 1)) - 1)
@@ -287,15 +282,17 @@ def liquidity(prices: DataFrame, shares: DataFrame | None = None, pad_limit: int
             "_idle": F.when(F.coalesce(F.col("volume") == 0, F.lit(False)), 1.0).otherwise(0.0),
         }
     ).withColumn("_ill", ratio(F.abs("_ret"), "dolvol"))
-    grid = rolling_extreme(grid, "close", 252, "max", "_high")
-    feats = {
-        "retvol": rolling("_ret", 21, "std"),
-        "maxret": rolling("_ret", 21, "max"),
-        "dolvol": F.col("dolvol"),
-        "rel_to_high": ratio("close", "_high"),
-        "amihud": rolling("_ill", 21),
-        "zerodays": rolling("_idle", 21, "sum"),
-    }
+    grid = rolled(
+        grid,
+        {
+            "_high": ("close", 252, "max"),
+            "retvol": ("_ret", 21, "std"),
+            "maxret": ("_ret", 21, "max"),
+            "amihud": ("_ill", 21, "avg"),
+            "zerodays": ("_idle", 21, "sum"),
+        },
+    )
+    feats = {c: F.col(c) for c in ("retvol", "maxret", "dolvol")} | {"rel_to_high": ratio("close", "_high"), "amihud": F.col("amihud"), "zerodays": F.col("zerodays")}
     if shares is not None:
         grid = grid.withColumn("_sh", ffill("shares"))
         feats["chcsho"] = ratio("_sh", lag_n("_sh", 252)) - 1

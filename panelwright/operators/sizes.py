@@ -33,6 +33,17 @@ def day_like(df: DataFrame, key: str) -> bool:
     return kind == "date" or not (key in _DAYS or kind.startswith("timestamp"))
 
 
+PIECE = 400_000  # rows of a scan whose days are filled in, or whose windows are wide, in one task
+
+
+def pieces(scan: DataFrame) -> int:
+    """Partitions for rows of a scan that grow after their exchange: in proportion to the rows, the session's parallelism at least.
+
+    Given to ``repartition`` as a number, it is not lowered by the size of the rows before they grow.
+    """
+    return max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // PIECE))
+
+
 def bounded_by_dates(keys: Sequence[str]) -> int | None:
     """Largest number of key combinations, or None if a key has no fixed domain."""
     rows = 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.columns import ratio
 from panelwright.operators.order_stats import avg_ranks, qcut
+from panelwright.operators.sizes import pieces
 from panelwright.sources.readers import read_table
 
 SQL: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -67,7 +68,7 @@ FROM ticks GROUP BY date, ticker""",
 
 
 def bars(tick_rows: DataFrame, *keys: str) -> DataFrame:
-    """Open, high, low, close and volume per key; ticks are combined before the exchange."""
+    """Open, high, low, close and volume per key; ticks are combined before the exchange, if they need one."""
     return tick_rows.groupBy(*keys).agg(
         F.min_by("px", "okey").alias("open"),
         F.max("px").alias("high"),
@@ -78,7 +79,13 @@ def bars(tick_rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, d: str) -> DataFrame:
-    return bars(ticks(spark, d), "date", "ticker")
+    """Daily bars; ticks move once, to their security, and in its order serve the windows over it as they are.
+
+    A security trades about once a day it trades at all, so combining its ticks of a day
+    beforehand saves no rows, and sorts them twice more.
+    """
+    rows = ticks(spark, d)
+    return bars(rows.repartition(pieces(rows), "ticker"), "ticker", "date").select("date", "ticker", "open", "high", "low", "close", "volume")
 
 
 # months --------------------------------------------------------------------

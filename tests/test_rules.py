@@ -353,3 +353,27 @@ def test_numbers_as_text(spark):
     rows = spark.createDataFrame([(1.5,), (-0.25,), (0.0,), (None,)], "x double")
     found = rows.select(C.percent_text("x").alias("p"), C.signed_text("x").alias("s")).collect()
     assert [tuple(r) for r in found] == [("1.50%", "+1.50"), ("-0.25%", "-0.25"), ("0.00%", "0.00"), (None, None)]
+
+
+@pytest.mark.parametrize("fn", ["sum", "avg", "std", "var", "max", "min"])
+@pytest.mark.parametrize("n,shift", [(5, 0), (12, 0), (21, 1), (26, 0)])
+def test_rolled_equals_window(series, values, n, shift, fn):
+    xs = [((i * 37) % 11) * 1.5 - 4 if i not in (3, 60) else None for i in range(100)] + [0.1] * 60
+    df = series(xs)
+    want = values(df.withColumn("y", C.rolling("x", n, fn, shift=shift)), "y")
+    got = C.rolled(df, {"y": ("x", n, fn), "z": ("x", 13, "avg")}, shift=shift)
+    near(values(got, "y"), want)
+    assert got.columns == ["date", "ticker", "x", "y", "z"]
+    if fn == "std":
+        assert values(got, "y")[-1] == 0.0
+
+
+def test_rolled_frames_are_short(series):
+    """No window over a long lookback goes through it row by row."""
+    import re
+
+    from panelwright.operators import indicators as T
+
+    df = series([100.0 + i for i in range(5)], "close")
+    plan = T.volatility(df, (126,))._jdf.queryExecution().optimizedPlan().toString()
+    assert max(int(k) for k in re.findall(r"specifiedwindowframe\(RowFrame, -(\d+), currentrow", plan)) < 30
