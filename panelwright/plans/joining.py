@@ -11,6 +11,7 @@ from panelwright.operators import joins as J
 from panelwright.operators import lookups as L
 from panelwright.operators import picks as K
 from panelwright.operators.crosssec import attach_macro, demean, group_means
+from panelwright.operators.sizes import pieces
 from panelwright.plans import views as V
 from panelwright.plans.registry import query, r, rnd, rs
 from panelwright.plans.technical import own_rows_sql
@@ -45,9 +46,13 @@ _MERGED = [("volatility", {"lookbacks": [n]}) for n in (63, 21, 126)] + [("ppo",
 _MERGED += [("past_returns", {"lags": [n]}) for n in (1, 2, 5, 10, 21, 63, 126, 252)] + [("overnight_return", {}), ("willr", {"n": 5})]
 
 
-def bucketed_features(spark, d, buckets=8):
-    """Bars and sixteen feature tables of them, each stored in the same buckets by security; names in the catalog."""
+def bucketed_features(spark, d, buckets=None):
+    """Bars and sixteen feature tables of them, each stored in the same buckets by security; names in the catalog.
+
+    Buckets are as many as the ticks ask for, so that none outgrows a task; a number given holds.
+    """
     base = scratch(spark, "features")
+    buckets = buckets or pieces(V.ticks(spark, d))
     bars = B.write_bucketed(V.prices(spark, d), "bars", base, buckets)
     made = [T.indicators(spark.table(bars), [one]) for one in _MERGED]
     return [B.write_bucketed(df, f"feature_{i}", base, buckets, aligned=True) for i, df in enumerate(made)]
