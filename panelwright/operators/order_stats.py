@@ -7,6 +7,9 @@ the count of the chunks below to a rank inside the chunk; quantiles go back
 only for the rows of the chunks that hold the wanted positions.  Equal values
 are counted together before they are ordered, so a frequent value costs no more
 than a rare one.
+
+Groups by day are many and hold a row a security, so their chunks are wider (8 per power
+of two): the rows that a task has of a day share chunks, and few counts move.
 """
 
 from __future__ import annotations
@@ -17,10 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.columns import clip
-from panelwright.operators.sizes import attach, bounded_by_dates
+from panelwright.operators.sizes import attach, bounded_by_dates, day_like
 from panelwright.session import durable
 
 CHUNKS_PER_E = 230.0  # about 160 chunks per power of two
+DAY_CHUNKS_PER_E = 11.5  # about 8
 _SHIFT = 200_000  # ln of a double stays within +-746
 CUTS = 4096
 _ALL = "_all"
@@ -38,10 +42,15 @@ def clean(c: str | Column) -> Column:
     return F.nanvl(x, F.lit(None).cast("double")) + F.lit(0.0)
 
 
-def chunk_of(value: Column) -> Column:
+def _by_day(df: DataFrame, by: Sequence[str]) -> bool:
+    """Whether the groups are calendar days, of which there are boundedly many."""
+    return list(by) != [_ALL] and bounded_by_dates(by) is not None and all(day_like(df, k) for k in by)
+
+
+def chunk_of(value: Column, per_e: float = CHUNKS_PER_E) -> Column:
     """Increasing step function of a double: its place on a logarithmic scale."""
     size = F.abs(value)
-    step = F.floor(F.ln(F.least(size, F.lit(1.7e308))) * CHUNKS_PER_E) + _SHIFT
+    step = F.floor(F.ln(F.least(size, F.lit(1.7e308))) * per_e) + _SHIFT
     return F.when(value == 0, 0).when(value > 0, step).otherwise(-step).cast("int")
 
 
@@ -102,13 +111,14 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str], chunk=chunk_of, cu
     return placed.select(*by, value, "n", (F.col("chunk_before") + F.col("upto") - F.col("n")).alias("before"), "total")
 
 
-def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], per_e: float) -> DataFrame:
+    """One row per value, with the place of its column in ``cols`` as ``feature`` and its chunk."""
     if len(cols) == 1:
-        long = df.select(*by, F.lit(cols[0]).alias("feature"), clean(cols[0]).alias("value"))
+        long = df.select(*by, F.lit(0).alias("feature"), clean(cols[0]).alias("value"))
     else:
-        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), clean(c).alias("value")) for c in cols])
+        pairs = F.array(*[F.struct(F.lit(i).alias("feature"), clean(c).alias("value")) for i, c in enumerate(cols)])
         long = df.select(*by, F.explode(pairs).alias("pair")).select(*by, "pair.feature", "pair.value")
-    return long.where(F.col("value").isNotNull()).withColumn("chunk", chunk_of(F.col("value")))
+    return long.where(F.col("value").isNotNull()).withColumn("chunk", chunk_of(F.col("value"), per_e))
 
 
 def quantiles(
@@ -116,7 +126,9 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated: one row per group, array column ``q_<col>`` in the order of ``probs``."""
     frame, by_ = _grouped(df, by)
-    long, keys = _long(frame, cols, by_), [*by_, "feature"]
+    daily = _by_day(frame, by_)
+    per_e = DAY_CHUNKS_PER_E if daily else CHUNKS_PER_E
+    long, keys = _long(frame, cols, by_, per_e), [*by_, "feature"]
 
     def position(p: float, total: Column) -> tuple[Column, Column, Column]:
         exact = (total - 1) * F.lit(float(p))
@@ -151,8 +163,8 @@ def quantiles(
     entries = ranked.select(*keys, "total", "value", F.explode(hits).alias("index"))
 
     aggs = []
-    for i, c in enumerate(cols):
-        mine = F.col("feature") == c
+    for i in range(len(cols)):
+        mine = F.col("feature") == i
         # at most two positions per probability
         aggs += [
             F.map_from_entries(F.collect_list(F.when(mine, F.struct("index", "value")))).alias(f"_v{i}"),

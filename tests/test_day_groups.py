@@ -1,12 +1,28 @@
 """Ranks and quantiles of groups by day, and buckets by the size of the input."""
 
-from panelwright.operators import sizes
+import datetime as dt
+
+import numpy as np
+
+from panelwright.operators import order_stats, sizes
 from panelwright.plans import joining
 from panelwright.plans import views as V
 
+DAY = dt.date(2020, 1, 1)
 SF = "/root/testdata/sf0.001"
 
 
+def test_day_quantiles_count_few_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = rng.uniform(1.0, 2.0, 400)
+    df = spark.createDataFrame([(DAY, k, float(x)) for k, x in enumerate(values)], "date date, ticker long, x double")
+    counts, plain = [], order_stats._chunk_counts
+    monkeypatch.setattr(order_stats, "_chunk_counts", lambda *a: counts.append(plain(*a)) or counts[-1])
+    got = order_stats.quantiles(df, ["x"], [0.005, 0.5, 0.995]).first()["q_x"]
+    assert np.allclose(got, np.quantile(values, [0.005, 0.5, 0.995]))
+    assert counts[0].count() < 12  # a chunk a value, or nearly, does not shrink before it moves
+
+
 def test_buckets_grow_with_the_ticks(spark, monkeypatch):
     monkeypatch.setattr(sizes, "PIECE", 1000)
     ticks = V.ticks(spark, SF).count()
