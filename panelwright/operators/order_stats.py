@@ -201,6 +201,8 @@ def avg_rank(
 ) -> DataFrame:
     """Rank within a group, ties sharing their average; ``pct`` divides by the non-null count."""
     frame, keys = _grouped(durable(df), by)
+    if not spread and _by_day(frame, keys):
+        return _day_rank(frame, value, out, keys, pct)
     ranks = value_ranks(frame.select(*keys, clean(value).alias("_v")), "_v", keys, cut=cut_of if spread else None)
     place = F.col("before") + (F.col("n") + 1) / F.lit(2.0)
     if pct:
@@ -210,6 +212,25 @@ def avg_rank(
     return joined if by else joined.drop(_ALL)
 
 
+def _day_rank(frame: DataFrame, value: str, out: str, keys: Sequence[str], pct: bool) -> DataFrame:
+    """:func:`avg_rank` of groups by day: rows move once, to their chunk, and are ranked there as they are."""
+    present = clean(value).isNotNull()
+    chunked = frame.where(present).withColumn("chunk", chunk_of(clean(value), DAY_CHUNKS_PER_E))
+    rows = chunked.repartition(*keys, "chunk").withColumn("_v", clean(value))  # made here, so that it does not move
+    inside = Window.partitionBy(*keys, "chunk").orderBy("_v")
+    placed = rows.select(
+        *frame.columns, "chunk", F.rank().over(inside).alias("_first"),
+        F.count(F.lit(1)).over(inside.rangeBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+    )
+    counts = _chunk_counts(chunked.select(*keys, clean(value).alias("_v"), "chunk"), keys, "_v").select(*keys, "chunk", "chunk_before", "total")
+    place = F.col("chunk_before") + (F.col("_first") + F.col("_upto")) / F.lit(2.0)
+    if pct:
+        place = place / F.col("total")
+    # days that are null stand apart, as they match no other
+    ranked = placed.join(counts, [*keys, "chunk"], "left").select(*frame.columns, place.alias(out))
+    return ranked.unionByName(frame.where(~present).withColumn(out, F.lit(None).cast("double")))
+
+
 def avg_ranks(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str], by: Sequence[str] = ("date",), pct: bool = False
 ) -> DataFrame:
