@@ -197,6 +197,12 @@ class Encoder:
         return [b"".join(map(look.__getitem__, own)) for own in pieces]
 
 
+def _whole(df: DataFrame, read: str, made: str) -> tuple[DataFrame, int]:
+    """All columns but ``made`` as one struct, so that each travels once, and the place of ``read`` in it."""
+    columns = [c for c in df.columns if c != made]
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")), columns.index(read)
+
+
 _ENCODERS: dict[str, Encoder] = {}  # one per worker process and file, so that words are remembered between tasks
 
 
@@ -207,23 +213,21 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     read on the driver and broadcast: its size is fixed by the tokenizer.
     """
     sent = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
-    columns = df.columns
+    row, place = _whole(df, text_col, ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _ENCODERS:
             _ENCODERS[path] = Encoder(sent.value)
         encoder = _ENCODERS[path]
         for batch in batches:
-            for first, end, buf, offsets in w.text_slices(batch.column(1), SLICE):
+            for first, end, buf, offsets in w.text_slices(batch.column(0).field(place), SLICE):
                 raw = buf.tobytes()
                 ids = encoder.encode([raw[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
                 counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 values = w.list_array(np.frombuffer(b"".join(ids), np.int32), counts, pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), values], names=["row", "ids"])
 
-    row = F.struct(*[F.col(f"`{c}`") for c in columns if c != ids_col])
-    named = df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    out = named.mapInArrow(w.trimmed(run), f"row {named.schema['row'].dataType.simpleString()}, ids array<int>")
+    out = row.mapInArrow(w.trimmed(run), f"row {row.schema['row'].dataType.simpleString()}, ids array<int>")
     return out.select("row.*", F.col("ids").alias(ids_col))
 
 
@@ -232,15 +236,16 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
 
     Null ids give an empty text; special tokens are kept.
     """
-    sent = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    sent = df.sparkSession.sparkContext.broadcast(Vocabulary(path).bytes)
+    row, place = _whole(df, ids_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value.bytes
+        table = sent.value
         width = np.fromiter(map(len, table), np.int64, len(table))
         flat = np.frombuffer(b"".join(table), np.uint8)
         start = np.cumsum(width) - width
         for batch in batches:
-            lists = batch.column(1).fill_null([])
+            lists = batch.column(0).field(place).fill_null([])
             n = len(lists)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes)
@@ -258,7 +263,5 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(texts, pa.string())], names=["row", "text"])
                 first = end
 
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
-    named = df.select(row.alias("row"), F.col(f"`{ids_col}`").alias("ids"))
-    out = named.mapInArrow(w.trimmed(run), f"row {named.schema['row'].dataType.simpleString()}, text string")
+    out = row.mapInArrow(w.trimmed(run), f"row {row.schema['row'].dataType.simpleString()}, text string")
     return out.select("row.*", F.col("text").alias(text_col))
