@@ -32,6 +32,7 @@ def densify(
     time: str = TIME,
     lead_in: bool = True,
     cols: Sequence[str] | None = None,
+    undated: bool = False,
 ) -> DataFrame:
     """Every security on every day of the grid, missing values as null.
 
@@ -39,23 +40,26 @@ def densify(
     produced by one pass over the securities and stays partitioned by them for
     the windows that follow.  Input: one row per (date, security); repeated rows
     are all kept, and add no empty cells.  Rows off a given grid are dropped.  ``lead_in=False`` leaves out the empty cells before
-    the first row of a security.
+    the first row of a security.  ``undated`` keeps rows without a day of the grid, their day null.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (by, time)]
     days = numbered_days(dates if dates is not None else df, time)
     w = own(by, "_seq")
     placed = (
         df.select(by, time, *cols)
-        .join(F.broadcast(days), time)
+        .join(F.broadcast(days), time, "left" if undated else "inner")
         .withColumn("_first", F.lag("_seq").over(w).isNull() if lead_in else F.lit(False))
         .withColumn("_upto", F.greatest(F.coalesce(F.lead("_seq").over(w) - 1, F.col("_last")), "_seq"))
     )
     start = F.when(F.col("_first"), F.lit(1)).otherwise(F.col("_seq"))
-    cells = placed.withColumn("_cell", F.explode(F.sequence(start, F.col("_upto"))))
-    present = F.col("_cell") == F.col("_seq")
+    opened = F.sequence(start, F.col("_upto"))
+    if undated:
+        opened = F.when(F.col("_seq").isNull(), F.array(F.lit(None).cast("int"))).otherwise(opened)
+    cells = placed.withColumn("_cell", F.explode(opened))
+    present = F.col("_cell").eqNullSafe(F.col("_seq"))
     filled = cells.select(by, "_cell", *[F.when(present, F.col(c)).alias(c) for c in cols])
     back = days.select(F.col("_seq").alias("_cell"), time)
-    return filled.join(F.broadcast(back), "_cell").select(time, by, *cols)
+    return filled.join(F.broadcast(back), "_cell", "left" if undated else "inner").select(time, by, *cols)
 
 
 def with_universe(grid: DataFrame, universe: DataFrame, by: str = KEY, time: str = TIME) -> DataFrame:

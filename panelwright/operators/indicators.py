@@ -37,12 +37,13 @@ def prepared(
     shift: int = 1,
     digits: int | None = 2,
     grid: bool = True,
+    others: Sequence[str] = (),
 ) -> DataFrame:
     """Price columns on the grid (or the security's own rows): filled, shifted, rounded.
 
-    ``fill_limit`` 0 leaves gaps open, None fills without limit.
+    ``fill_limit`` 0 leaves gaps open, None fills without limit; ``others`` of the own rows stay as they are.
     """
-    frame = densify(prices, cols=cols, lead_in=False) if grid else prices.select(TIME, KEY, *cols)
+    frame = densify(prices, cols=cols, lead_in=False) if grid else prices.select(TIME, KEY, *others, *cols)
     if fill_limit == 0:
         moved = {c: lag_n(c, shift) if shift else F.col(c) for c in cols}
     else:
@@ -76,17 +77,40 @@ def volatility(prices: DataFrame, lookbacks: Sequence[int] = (63, 21, 126), pric
     return _only_new(prices, add_volatility, lookbacks=lookbacks, price=price)
 
 
-def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
-    """Williams %R and its moving average."""
-    base = prepared(prices, ["high", "low", "close"], **prep)
+def _williams(base: DataFrame, n: int, name: str, *others: str) -> DataFrame:
     ranged = rolled(base, {"_hh": ("high", n, "max"), "_ll": ("low", n, "min")})
     span = F.col("_hh") - F.col("_ll")
     value = F.when(span == 0, 0.0).otherwise((F.col("_hh") - F.col("close")) / F.nullif(span, F.lit(0.0)) * -100.0)
+    return ranged.select(TIME, KEY, *others, F.when(F.col("close").isNotNull(), value).alias(name))
+
+
+def willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
+    """Williams %R and its moving average."""
     name = f"WILLR_{n}"
-    rows = ranged.select(TIME, KEY, F.when(F.col("close").isNotNull(), value).alias(name))
+    rows = _williams(prepared(prices, ["high", "low", "close"], **prep), n, name)
     return smoothed(rows, name, smooth, f"{name}_MA_{smooth}")
 
 
+def with_willr(prices: DataFrame, n: int = 14, smooth: int = 3, **prep) -> DataFrame:
+    """All rows of ``prices``, the columns beside the prices, and what :func:`willr` has for a row.
+
+    The other columns go over the grid in one struct, so that the two tables need no join;
+    one row per (date, security).  A row without a day or security has no value.
+    """
+    used, name = ["high", "low", "close"], f"WILLR_{n}"
+    others = [c for c in prices.columns if c not in (TIME, KEY, "open", "volume", *used)]
+    dated = [F.when(F.col(TIME).isNotNull(), F.col(c)).alias(c) for c in used]
+    rows = prices.select(TIME, KEY, F.struct(*others).alias("_row"), *dated)
+    grid = densify(rows, cols=["_row", *used], lead_in=False, undated=True)
+    values = _williams(prepared(grid, used, grid=False, others=["_row"], **prep), n, name, "_row")
+    # rows of the grid stay, so the mean is of the last values and not of the last rows
+    back = [F.expr(f"lag({name}, {k}) IGNORE NULLS OVER (PARTITION BY {KEY} ORDER BY {TIME})") for k in range(smooth - 1, 0, -1)]
+    mean = reduce(Column.__add__, [*back, F.col(name)], F.lit(0.0)) / float(smooth)
+    smooth_name = f"{name}_MA_{smooth}"
+    made = values.withColumn(smooth_name, mean).where(F.col("_row").isNotNull())
+    return made.select(TIME, KEY, "_row.*", *[F.when(F.col(KEY).isNotNull(), F.col(c)).alias(c) for c in (name, smooth_name)])
+
+
 def _raw_stochastic(base: DataFrame, high: str, low: str, close: str, n: int, out: str) -> DataFrame:
     ranged = rolled(base, {"_hh": (high, n, "max"), "_ll": (low, n, "min")})
     span = F.col("_hh") - F.col("_ll")
@@ -353,5 +377,5 @@ def indicators(prices: DataFrame, configs: Sequence[tuple[str, dict]]) -> DataFr
 __all__ = [
     "INDICATORS", "beta", "correlation", "dollar_volume", "future_returns", "indicators", "liquidity",
     "log_returns", "overnight_return", "past_returns", "ppo", "prepared", "sampled_returns", "smoothed",
-    "stoch", "stochf", "ultosc", "volatility", "willr", "pct_change",
+    "stoch", "stochf", "ultosc", "volatility", "willr", "with_willr", "pct_change",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from panelwright.functions import columns as C
@@ -35,11 +37,11 @@ _WILLR = f"""LEFT JOIN (SELECT date, ticker, w5, {roll('avg', 'w5', 3)} AS m5 FR
 
 @query("j01_merge_feature_tables", S(own_rows_sql(f", {r('y.w5', 'WILLR_5')}, {r('y.m5', 'WILLR_5_MA_3')}", _WILLR), "prices", "prep3"))
 def merge_feature_tables(spark, d):
-    # the tables on own rows are one pass over the bars; the one on the grid is joined
+    # the tables on own rows are one pass over the bars, and go along to the one on the grid
     own = [("volatility", {"lookbacks": [n]}) for n in (63, 21, 126)] + [("ppo", {"fast": a, "slow": b}) for a, b in ((12, 26), (3, 14), (21, 126))]
     own += [("past_returns", {"lags": [n]}) for n in (1, 2, 5, 10, 21, 63, 126, 252)]
-    rows = V.prices(spark, d)
-    return rnd(J.merge_panel(T.indicators(rows, [("overnight_return", {}), *own]), [T.willr(rows, 5)]))
+    merged = reduce(lambda rows, one: T.OWN_ROWS[one[0]](rows, **one[1]), [("overnight_return", {}), *own], V.prices(spark, d))
+    return rnd(T.with_willr(merged, 5))
 
 
 _MERGED = [("volatility", {"lookbacks": [n]}) for n in (63, 21, 126)] + [("ppo", {"fast": a, "slow": b}) for a, b in ((12, 26), (3, 14), (21, 126))]
