@@ -129,6 +129,7 @@ def rolled(
     names = {c: i for i, c in enumerate(dict.fromkeys(c for c, _, _ in stats.values()))}
     parts = {"sum": ("sum",), "avg": ("sum",), "std": ("avg", "var"), "var": ("avg", "var"), "max": ("max",), "min": ("min",)}
     made = {"sum": F.sum, "avg": F.avg, "var": F.var_pop, "max": F.max, "min": F.min}
+    alone = {"sum": lambda x: x, "avg": lambda x: x.cast("double"), "var": lambda x: (x - x).cast("double")}  # a row that makes a block by itself
 
     def at(c: str, k: int) -> Column:
         return F.lag(c, k).over(w) if k else F.col(c)
@@ -147,7 +148,7 @@ def rolled(
         for part in parts[fn]:
             for size, back in blocks:
                 block = f"{key}_{part}{size}"
-                first[block] = made[part](c).over(w.rowsBetween(-(size - 1), 0))
+                first[block] = made[part](c).over(w.rowsBetween(-(size - 1), 0)) if size > 1 else alone[part](F.col(c))
                 second[f"{block}_{back}"] = at(block, shift + back)
         plans[out] = (key, n, fn, blocks)
     held = df.withColumns({**first, **short}).withColumns(second)

@@ -33,6 +33,7 @@ def densify(
     lead_in: bool = True,
     cols: Sequence[str] | None = None,
     undated: bool = False,
+    reach: int | None = None,
 ) -> DataFrame:
     """Every security on every day of the grid, missing values as null.
 
@@ -41,16 +42,20 @@ def densify(
     the windows that follow.  Input: one row per (date, security); repeated rows
     are all kept, and add no empty cells.  Rows off a given grid are dropped.  ``lead_in=False`` leaves out the empty cells before
     the first row of a security.  ``undated`` keeps rows without a day of the grid, their day null.
+    ``reach`` opens no more than so many empty cells after a row, for fills that go no further.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in (by, time)]
     days = numbered_days(dates if dates is not None else df, time)
-    w = own(by, "_seq")
+    # days are in the order of their numbers, and bars come in it; of an undated frame only the days of the grid have one
+    w = own(by, "_seq" if undated and dates is not None else time)
     placed = (
         df.select(by, time, *cols)
         .join(F.broadcast(days), time, "left" if undated else "inner")
         .withColumn("_first", F.lag("_seq").over(w).isNull() if lead_in else F.lit(False))
         .withColumn("_upto", F.greatest(F.coalesce(F.lead("_seq").over(w) - 1, F.col("_last")), "_seq"))
     )
+    if reach is not None:
+        placed = placed.withColumn("_upto", F.least("_upto", F.col("_seq") + F.lit(reach)))
     start = F.when(F.col("_first"), F.lit(1)).otherwise(F.col("_seq"))
     opened = F.sequence(start, F.col("_upto"))
     if undated:

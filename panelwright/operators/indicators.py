@@ -299,13 +299,16 @@ def liquidity(prices: DataFrame, shares: DataFrame | str | None = None, pad_limi
     if isinstance(shares, DataFrame):
         rows = rows.join(shares.select(TIME, KEY, "shares"), [TIME, KEY], "left")
     grid = densify(rows)
-    grid = grid.withColumn("_pad", ffill("close")).withColumn("_ret", ratio("_pad", lag_n("_pad", 1)) - 1)
-    grid = grid.withColumns(
+    dolvol = F.col("close") * F.col("volume")
+    held = {"_ret": ratio(ffill("close"), ffill("close", shift=1)) - 1, "dolvol": lag_n(dolvol, 1), "_close": lag_n("close", 1)}
+    if shares is not None:
+        held["chcsho"] = ratio(ffill("shares", shift=1), ffill("shares", shift=253)) - 1
+    grid = grid.withColumns(held).withColumns(
         {
-            "dolvol": F.col("close") * F.col("volume"),
             "_idle": F.when(F.coalesce(F.col("volume") == 0, F.lit(False)), 1.0).otherwise(0.0),
+            "_ill": ratio(F.abs("_ret"), dolvol),
         }
-    ).withColumn("_ill", ratio(F.abs("_ret"), "dolvol"))
+    )
     grid = rolled(
         grid,
         {
@@ -315,14 +318,12 @@ def liquidity(prices: DataFrame, shares: DataFrame | str | None = None, pad_limi
             "amihud": ("_ill", 21, "avg"),
             "zerodays": ("_idle", 21, "sum"),
         },
+        shift=1,
     )
-    feats = {c: F.col(c) for c in ("retvol", "maxret", "dolvol")} | {"rel_to_high": ratio("close", "_high"), "amihud": F.col("amihud"), "zerodays": F.col("zerodays")}
-    if shares is not None:
-        grid = grid.withColumn("_sh", ffill("shares"))
-        feats["chcsho"] = ratio("_sh", lag_n("_sh", 252)) - 1
-    now = grid.select(TIME, KEY, *[x.alias(n) for n, x in feats.items()])
-    moved = now.select(TIME, KEY, *[lag_n(n, 1).alias(n) for n in feats])
-    kept = moved.dropna("all", subset=list(feats))
+    feats = ["retvol", "maxret", "dolvol", "rel_to_high", "amihud", "zerodays", *(["chcsho"] if shares is not None else [])]
+    # where 21 rows are there, idle days are counted; no other column but dollar volume has a value before
+    held = grid.where(F.col("zerodays").isNotNull() | F.col("dolvol").isNotNull())
+    kept = held.withColumn("rel_to_high", ratio("_close", "_high")).select(TIME, KEY, *feats)
     return kept.withColumn("amihud", -F.ln(F.col("amihud") + 1e-12))
 
 
