@@ -166,7 +166,7 @@ def fill_membership(
     """
     timeline = membership.select(TIME).union(days.select(TIME)).distinct()
     others = [c for c in membership.columns if c not in (key, TIME)]
-    grid = densify(membership, timeline, key, lead_in=False)
+    grid = densify(membership, timeline, key, lead_in=False, reach=limit)  # rows further on would not be kept
     near = Window.partitionBy(key).orderBy(TIME).rowsBetween(-limit, 0)
     kept = grid.withColumn("_in", F.last(weights[0], ignorenulls=True).over(near)).where(F.col("_in").isNotNull())
     far = Window.partitionBy(key).orderBy(TIME).rowsBetween(Window.unboundedPreceding, 0)
@@ -174,12 +174,19 @@ def fill_membership(
 
 
 def universe(
-    df: DataFrame, membership: DataFrame, caps: DataFrame, default_cap: float = 2e9,
+    df: DataFrame, membership: DataFrame, caps: DataFrame | str, default_cap: float = 2e9,
     weights: Sequence[str] = ("wt-r1", "wt-r1g", "wt-r1v"), limit: int = 5,
 ) -> DataFrame:
-    """Panel with index weights (missing as 0) and market cap (missing as the default)."""
+    """Panel with index weights (missing as 0) and market cap (missing as the default).
+
+    ``caps`` is a table (date, ticker, marketcap) or a column of the panel.
+    """
     filled = fill_membership(membership, df, weights, limit)
     side = filled.select(TIME, F.col("dcm_security_id").alias(KEY), *weights)
+    if isinstance(caps, str):
+        own_cols = [c for c in df.columns if c != caps]
+        joined = df.select(*own_cols, F.col(caps).alias("marketcap")).join(side, [TIME, KEY], "left").fillna(0.0, list(weights))
+        return joined.select(*own_cols, *weights, "marketcap").fillna(default_cap, ["marketcap"])
     joined = df.join(side, [TIME, KEY], "left").fillna(0.0, list(weights))
     return joined.join(caps.select(TIME, KEY, "marketcap"), [TIME, KEY], "left").fillna(default_cap, ["marketcap"])
 
@@ -210,12 +217,15 @@ def split_population(
         weight, needs_large = MODES[mode]
         return (F.col(weight) > 0) & large if needs_large else F.col(weight) > 0
 
-    tags = F.array(*[F.struct(F.lit(m).alias("mode"), F.coalesce(inside(m), F.lit(False)).alias("in")) for m in modes])
-    rows = framed.withColumn("_t", F.explode(tags)).select(*univ.columns, "_t.mode", F.col("_t.in").alias("_in"))
-    late = F.col(TIME) > F.lit(carry_after).cast("date")
-    seen = rows.where("_in").select("mode", KEY).distinct().withColumn("_seen", F.lit(True))
-    kept = rows.join(seen, ["mode", KEY], "left").where(F.col("_in") | (late & F.col("_seen")))
-    return kept.drop("_in", "_seen").dropDuplicates(["mode", TIME, KEY])
+    # a row for each security and its days meets what the security was in before; rows open to the modes they belong to after that
+    modes = list(modes)
+    held = framed.withColumn("_in", F.array(*[F.coalesce(inside(m), F.lit(False)) for m in modes]))
+    seen = held.groupBy(KEY).agg(F.array(*[F.max(F.col("_in")[i]) for i in range(len(modes))]).alias("_seen"))
+    late = F.coalesce(F.col(TIME) > F.lit(carry_after).cast("date"), F.lit(False))
+    belongs = [F.col("_in")[i] | (late & F.coalesce(F.col("_seen")[i], F.lit(False))) for i in range(len(modes))]
+    tags = F.filter(F.array(*[F.when(x, F.lit(m)) for m, x in zip(modes, belongs)]), lambda m: m.isNotNull())
+    kept = held.join(seen, KEY, "left").select(*univ.columns, F.explode(tags).alias("mode"))
+    return kept.dropDuplicates(["mode", TIME, KEY])
 
 
 def price_cap_floor(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.columns import ratio
 from panelwright.operators.order_stats import avg_ranks, qcut
 from panelwright.operators.sizes import pieces
+from panelwright.session import durable
 from panelwright.sources.readers import read_table
 
 SQL: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -238,7 +239,7 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
     """Monthly index weights: whole index, growth style, value style."""
     price, key = F.col("l_extendedprice"), F.col("l_suppkey")
     flag = F.col("l_returnflag")
-    sums = (
+    sums = durable(
         table(spark, d, "lineitem")
         .groupBy(
             F.trunc("l_shipdate", "month").alias("date"),
