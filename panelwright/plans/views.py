@@ -307,9 +307,9 @@ SQL["signals"] = (
 )
 
 
-def signals(spark: SparkSession, d: str) -> DataFrame:
-    """Percent ranks of the three scores and their weighted sum, with the later return."""
-    rows = scores(spark, d)
+def signals(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    """Percent ranks of the three scores and their weighted sum, with the later return; ``rows`` are the scores, if a caller has them."""
+    rows = durable(scores(spark, d) if rows is None else rows)
     ranks = avg_ranks(rows, list(ENSEMBLE), ["date", "ticker"], ["date"], pct=True)
     named = ranks.withColumnsRenamed({c: c.replace("score", "rank") for c in ENSEMBLE})
     blend = 0.5 * F.col("momentum_rank") + 0.3 * F.col("calm_rank") + 0.2 * F.col("size_rank")
@@ -338,8 +338,8 @@ SQL["predictions"] = (
 )
 
 
-def predictions(spark: SparkSession, d: str) -> DataFrame:
-    rows = signals(spark, d).select("date", "ticker", "ensemble", "future_ret_5B")
+def predictions(spark: SparkSession, d: str, scored: DataFrame | None = None) -> DataFrame:
+    rows = signals(spark, d, scored).select("date", "ticker", "ensemble", "future_ret_5B")
     return qcut(rows, "ensemble", 5, ["date"]).select("date", "ticker", "ensemble", "ensemble_qt", "future_ret_5B")
 
 
