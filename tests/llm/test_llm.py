@@ -387,6 +387,82 @@ def test_pipeline_links_by_fingerprint(spark, monkeypatch):
     assert sorted(r.doc_id for r in similar.keep_first(frame).collect()) == [1, 3, 5]
 
 
+def like_groups(rows, size=5, likeness=0.8):
+    """The smallest id of each group of texts (id, text) linked by their likeness, by brute force."""
+    sets = []
+    for _, t in rows:
+        ws = t.lower().split()
+        sets.append({tuple(ws[k : k + size]) for k in range(max(1, len(ws) - size + 1))})
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= likeness * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return sorted({min(i for (i, _), r in zip(rows, root) if r == group) for group in root})
+
+
+@pytest.mark.parametrize("part", [4 << 20, 400_000])
+def test_all_texts_of_a_ball_are_compared(spark, monkeypatch, part):
+    """Texts of one SimHash whose first and nearest are not alike still meet the others, in one part or in several."""
+    rng = random.Random(12)
+    said = [f"s{i}" for i in range(41)] * 400
+    rows = []
+    for i in range(12):
+        tail = [f"w{rng.randrange(50000)}" for _ in range(100)]
+        rows.append((len(rows), " ".join(said + tail)))
+        if i % 2:
+            rows.append((len(rows), " ".join([*said, *tail[:50], "new", *tail[51:]])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = frame.select(F.xxhash64("text").alias("t"), "text")
+    assert len(similar.near_fingerprints(texts).distinct().collect()) < len(rows) + 20  # links of all texts, not all their pairs
+    monkeypatch.setattr(similar, "_key_rows", lambda size: lambda batches: iter(()))
+    monkeypatch.setattr(similar, "PART", part)
+    want = like_groups(rows)
+    assert len(want) == 12 and sorted(r.doc_id for r in similar.keep_first(frame).collect()) == want
+
+
+def test_all_texts_of_a_key_are_compared(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = []
+    for i in range(30):
+        body = [f"w{rng.randrange(50000)}" for _ in range(60)]
+        rows += [(len(rows) + k, " ".join(body[k:])) for k in (0, 5, 10, 13)]  # a chain: the ends are less alike
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def one_key(size):
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([7] * n, pa.int64()), batch.column(0), pa.array([0] * n, pa.int8())], names=["key", "t", "turn"])
+
+        return run
+
+    monkeypatch.setattr(similar, "_key_rows", one_key)
+    want = like_groups(rows)
+    assert len(want) < len(rows) - 40 and sorted(r.doc_id for r in similar.keep_first(frame).collect()) == want
+
+
+def test_alike_groups_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(8)
+    for gather in (1 << 20, 64):
+        monkeypatch.setattr(similar, "GATHER", gather)
+        for likeness in (0.5, 0.8, 1.0):
+            sets = [np.empty(0, np.uint64)] * 3
+            for _ in range(25):
+                base = rng.integers(0, 4000, rng.integers(1, 60))
+                sets += [np.unique(np.where(rng.random(len(base)) < p, rng.integers(0, 4000, len(base)), base)).astype(np.uint64) for p in (0, 0.03, 0.08, 0.2)]
+            group, side = np.arange(len(sets)) // rng.integers(1, 3), rng.integers(0, 2, len(sets))
+            for sides in (np.zeros(len(sets), np.int64), side):
+                alike = {(a, b) for a in range(len(sets)) for b in range(a)
+                         if (sides is not side or side[a] != side[b]) and len(np.intersect1d(sets[a], sets[b])) >= likeness * len(np.union1d(sets[a], sets[b]))}
+                got = list(similar.alike_groups(sets, group, sides, likeness))
+                assert all((max(p), min(p)) in alike for p in got)
+                own = [(np.array([a]), np.array([b])) for a in range(len(sets)) for b in range(a) if group[a] == group[b]]
+                as_pairs = lambda pairs: own + [(np.array([a]), np.array([b])) for a, b in pairs]
+                assert (vptree.roots(len(sets), as_pairs(alike)) == vptree.roots(len(sets), as_pairs(got))).all()
+
+
 def test_nearest_of_a_shard_are_linked():
     fps = np.array([0, 1, 3, 7, 255 << 40], np.int64)
     table = pa.table({"fp": fps, "doc": np.arange(5), "home": np.ones(5, bool)})
