@@ -54,8 +54,9 @@ def bucketed_features(spark, d, buckets=None):
     Buckets are as many as the ticks ask for, so that none outgrows a task; a number given holds.
     """
     base = scratch(spark, "features")
-    buckets = buckets or pieces(V.ticks(spark, d))
-    bars = B.write_bucketed(V.prices(spark, d), "bars", base, buckets)
+    lie = pieces(V.ticks(spark, d))  # the partitions by security that bars come in
+    buckets = buckets or lie
+    bars = B.write_bucketed(V.prices(spark, d), "bars", base, buckets, aligned=buckets == lie)
     made = [T.indicators(spark.table(bars), [one]) for one in _MERGED]
     return [B.write_bucketed(df, f"feature_{i}", base, buckets, aligned=True) for i, df in enumerate(made)]
 

@@ -95,6 +95,28 @@ def test_bucketed_merge_moves_no_rows(spark):
     assert merged.count() == spark.table(names[0]).count()
 
 
+def test_bucketed_merge_moves_no_rows_in_a_plain_session(spark, monkeypatch):
+    made, plain = [], buckets.write_bucketed
+    monkeypatch.setattr(buckets, "write_bucketed", lambda *a, **k: made.append((a[1], k["aligned"])) or plain(*a, **k))
+    names = joining.bucketed_features(spark, SF)
+    assert made[0] == ("bars", True)  # bars lie by security in as many pieces as buckets
+    settings = {buckets.CO_PARTITION: "true", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    want = sorted(map(str, buckets.merge_bucketed(spark, names).collect()))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        merged = buckets.merge_bucketed(spark, names)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, merged.collect()))
+        assert spark.conf.get(buckets.CO_PARTITION) == "true"  # the caller's session stays as it is
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plan.count("SortMergeJoin") == 15 and "Exchange" not in plan
+    assert got == want and len(got) == spark.table(names[0]).count()
+
+
 def test_bucketed_load_of_an_empty_table(spark, tmp_path):
     name = buckets.write_bucketed(spark.createDataFrame([], "date date, ticker long, x double"), "odd name!", str(tmp_path), 3)
     assert spark.table(name).count() == 0
